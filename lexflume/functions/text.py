@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,3 +68,48 @@ def ngrams(col: Column, n: int) -> Column:
     starts = F.when(F.size(col) >= n, F.sequence(F.lit(1), F.size(col) - (n - 1)))
     grams = F.transform(starts, lambda i: F.array_join(F.slice(col, i, F.lit(n)), " "))
     return F.coalesce(grams, F.array().cast("array<string>"))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Use a costly array several times in an expression, but compute it once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def item_counts(items: Column) -> Column:
+    """Distinct items of an array with how often each occurs: array of (item, n).
+
+    Row-local counterpart of group-and-count: one native sort, then linear steps.
+    """
+
+    def runs(ordered: Column) -> Column:
+        placed = F.transform(ordered, lambda x, i: F.struct(x.alias("item"), i.alias("at")))
+        starts = F.filter(placed, lambda e: ~F.get(ordered, e["at"] - 1).eqNullSafe(e["item"]))
+        return _let(
+            starts,
+            lambda firsts: F.transform(
+                firsts,
+                lambda e, i: F.struct(
+                    e["item"].alias("item"),
+                    (F.coalesce(F.get(firsts, i + 1)["at"], F.size(ordered)) - e["at"]).alias("n"),
+                ),
+            ),
+        )
+
+    return _let(F.sort_array(items), runs)
+
+
+def shared_items(a: Column, b: Column) -> Column:
+    """Size of the intersection of two arrays, repeated items counted as often as both have them."""
+
+    def numbered(items: Column) -> Column:
+        """Second, third, ... occurrences become items of their own."""
+        return F.flatten(
+            F.transform(
+                item_counts(items),
+                lambda c: F.transform(
+                    F.sequence(F.lit(1), c["n"]), lambda k: F.concat(c["item"], F.lit("\x01"), k.cast("string"))
+                ),
+            )
+        )
+
+    return F.size(F.array_intersect(numbered(a), numbered(b)))

@@ -8,7 +8,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,6 +31,19 @@ LOOKUP_HEAD = 10_000
 LOOKUP_KEY_CHARS = 64
 
 
+def _leading(items: Column, size: int, holds: Callable[[Column], Column]) -> Column:
+    """How many leading items of a sorted array (of at most ``size``) meet a condition.
+
+    Binary search: log2(size) comparisons per row.
+    """
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(size.bit_length()))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(holds(F.get(items, at + step - 1)), at + step).otherwise(at),
+    )
+
+
 def _ranked_within(df: DataFrame, bucket: str, order: list[Column], position: str) -> DataFrame:
     """Rank rows inside each bucket and shift by the rows of all buckets before it."""
     totals = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_rows"))
@@ -70,9 +83,9 @@ def sorted_position(df: DataFrame, key: str, order: Column, position: str = "pos
         .limit(KEY_SAMPLE)
         .agg(F.array_sort(F.collect_list("_order")).alias("s"))
     )
-    step = F.greatest(F.lit(1), (F.size("s") / KEY_BUCKETS).cast("int"))
+    step = F.greatest(F.lit(1), F.ceil(F.size("s") / KEY_BUCKETS))
     splitters = sample.select(F.filter("s", lambda x, i: (i % step == 0) & (i > 0))).scalar()
-    below = F.size(F.filter("_splitters", lambda s: s <= F.col("_order")))
+    below = _leading(F.col("_splitters"), KEY_BUCKETS, lambda s: s <= F.col("_order"))
     bucketed = keyed.withColumn("_splitters", splitters).withColumn("_bucket", below).drop("_splitters")
     return _ranked_within(bucketed, "_bucket", [F.col("_order")], position).drop("_order")
 
@@ -87,11 +100,24 @@ def join_by(left: DataFrame, right: DataFrame, by: By) -> DataFrame:
 
 
 def value_counts(df: DataFrame, value: str, by: By = ()) -> DataFrame:
-    """Rows per distinct value and group; missing values (null, NaN) are left out."""
-    present = df.where(F.col(value).isNotNull())
+    """Rows per distinct value and group; missing values (null, NaN) are left out.
+
+    They are left out by their count of 0: a filter on the value would be pushed
+    to the scan and compute a derived value (a word count, say) a second time.
+    """
+    present = F.col(value)
     if dict(df.dtypes)[value] in ("double", "float"):
-        present = present.where(~F.isnan(value))
-    return present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+        present = F.nullif(present, F.lit(float("nan")))
+    return df.groupBy(*by, value).agg(F.count(present).alias("n")).where(F.col("n") > 0)
+
+
+def exploded(df: DataFrame, items: Column, name: str, *keep: str) -> DataFrame:
+    """One row per array item; empty and null arrays give none.
+
+    Same rows as ``explode``, which however computes its array twice: once more in
+    a filter that leaves out empty arrays ahead of time.
+    """
+    return df.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
 
 
 def exact_quantiles(
@@ -115,7 +141,7 @@ def exact_quantiles(
         one = groups.select(F.struct("_cuts", "_total")).scalar()
         cut_up = counts.withColumn("_g", one).select("*", "_g._cuts", "_g._total").drop("_g")
     cut_up = cut_up.withColumn(
-        "_bucket", F.size(F.filter(F.array_distinct("_cuts"), lambda c: c < F.col(value)))
+        "_bucket", _leading(F.col("_cuts"), buckets, lambda c: c < F.col(value))
     ).drop("_cuts")
 
     in_group = Window.partitionBy(*by).orderBy("_bucket")
@@ -174,8 +200,11 @@ def lookup(
     The most frequent keys go out as a broadcast of bounded size, so the hot rows
     never travel by key; the rest is shuffled and holds no hot key.
     """
+    # Stated over the weight, so that it stays above the aggregation that made the
+    # table and both uses of the table share its shuffle.
+    short = F.when(F.length(key) <= LOOKUP_KEY_CHARS, F.col(weight)) > 0
     frequent = (
-        table.where(F.length(key) <= LOOKUP_KEY_CHARS)
+        table.where(short)
         .orderBy(F.col(weight).desc(), F.col(key))
         .limit(head)
     )

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from lexflume.constants import CLASS_IDS, CLASS_NAMES
 from lexflume.functions.language import lcs, stem_tokens, stem_word
 from lexflume.functions.scores import class_name
-from lexflume.functions.text import ngrams, strip, tokens
-from lexflume.operators.distributed import exact_quantiles, merge_rows, value_counts
+from lexflume.functions.text import ngrams, shared_items, strip, tokens
+from lexflume.operators.distributed import exact_quantiles, exploded, merge_rows, value_counts
 from lexflume.operators.scoring import class_grid
 
 By = Sequence[str]
@@ -24,8 +24,12 @@ By = Sequence[str]
 
 def confusion(df: DataFrame, by: By = ()) -> DataFrame:
     """Rows per (label, pred), the full class grid with zeros."""
-    counts = df.groupBy(*by, "label", "pred").agg(F.count(F.lit(1)).alias("n"))
-    groups = counts.select(*by).distinct() if by else df.sparkSession.range(1).select()
+    if by:
+        counts = df.groupBy(*by, "label", "pred").agg(F.count(F.lit(1)).alias("n"))
+        groups = counts.select(*by).distinct()
+    else:
+        counts = df.select("label", "pred", F.lit(1).cast("bigint").alias("n"))
+        groups = df.sparkSession.range(1)
     grid = groups.select(*by, F.inline(class_grid())).withColumn("n", F.lit(0).cast("bigint"))
     return counts.unionByName(grid).groupBy(*by, "label", "pred").agg(F.sum("n").alias("n"))
 
@@ -139,9 +143,12 @@ def align(pred: DataFrame, truth: DataFrame, *key: str) -> DataFrame:
     return pred.join(truth, list(key))
 
 
-def _pair_tokens(df: DataFrame, stem: bool) -> tuple[Column, Column]:
+def _with_tokens(df: DataFrame, stem: bool) -> DataFrame:
     ref, pred = tokens(F.col("reference")), tokens(F.col("prediction"))
-    return (stem_tokens(ref), stem_tokens(pred)) if stem else (ref, pred)
+    if stem:
+        ref, pred = stem_tokens(ref), stem_tokens(pred)
+    empty = F.array().cast("array<string>")
+    return df.withColumns({"_r": F.coalesce(ref, empty), "_p": F.coalesce(pred, empty)})
 
 
 def _f_score(hits: Column, a: Column, b: Column) -> Column:
@@ -149,64 +156,37 @@ def _f_score(hits: Column, a: Column, b: Column) -> Column:
     return _ratio(2 * hits, a + b)
 
 
-def _overlaps(df: DataFrame, key: By, sizes: Sequence[int], stem: bool) -> DataFrame:
-    """Clipped n-gram overlap per pair, one row per pair with ``rouge<n>`` columns.
+def _rouge_n(n: int) -> Column:
+    ref, pred = ngrams(F.col("_r"), n), ngrams(F.col("_p"), n)
+    grams = lambda col: F.greatest(F.size(col) - (n - 1), F.lit(0))
+    return _f_score(shared_items(ref, pred), grams("_r"), grams("_p")).alias(f"rouge{n}")
 
-    The two texts are shuffled once, as texts; both aggregations then find their
-    rows already placed by pair, so the far larger set of n-grams never travels.
-    """
-    ref, pred = _pair_tokens(df, stem)
-    arrays = df.repartition(*key).select(*key, ref.alias("_r"), pred.alias("_p"))
-    empty = F.array().cast("array<string>")
 
-    def side(col: str, n: int, in_ref: int) -> Column:
-        return F.transform(
-            ngrams(F.coalesce(F.col(col), empty), n),
-            lambda g: F.struct(F.lit(n).alias("size"), g.alias("gram"), F.lit(in_ref).alias("r"), F.lit(1 - in_ref).alias("p")),
-        )
-
-    grams = F.concat(*[side(c, n, in_ref) for n in sizes for c, in_ref in (("_r", 1), ("_p", 0))])
-    counted = (
-        arrays.select(*key, F.inline_outer(grams))
-        .groupBy(*key, "size", "gram")
-        .agg(F.sum("r").alias("r"), F.sum("p").alias("p"))
-    )
-    scores = []
-    for n in sizes:
-        mine = F.col("size") == n
-        hits, in_ref, in_pred = (
-            F.sum(F.when(mine, c).otherwise(0)) for c in (F.least("r", "p"), F.col("r"), F.col("p"))
-        )
-        scores.append(_f_score(hits, in_ref, in_pred).alias(f"rouge{n}"))
-    return counted.groupBy(*key).agg(*scores)
+def _rouge_l() -> Column:
+    return _f_score(lcs(F.col("_r"), F.col("_p")), F.size("_r"), F.size("_p")).alias("rougeL")
 
 
 def rouge_n(df: DataFrame, n: int, key: By = ("pair_id",), stem: bool = False) -> DataFrame:
-    """ROUGE-n F score per pair of ``reference`` and ``prediction``."""
-    return _overlaps(df, key, (n,), stem)
+    """ROUGE-n F score (clipped n-gram overlap) of each ``reference`` and ``prediction``.
 
+    Grams are counted within the row, so neither texts nor grams are shuffled.
+    """
+    return _with_tokens(df, stem).select(*key, _rouge_n(n))
 
-def rouge_l(df: DataFrame, key: By = ("pair_id",), stem: bool = False) -> DataFrame:
-    """ROUGE-L F score per pair: longest common subsequence of the whole texts.
 
-    Works within each row; nothing is shuffled.
-    """
-    ref, pred = _pair_tokens(df, stem)
-    sized = df.select(*key, ref.alias("_r"), pred.alias("_p"))
-    n_ref, n_pred = F.coalesce(F.size("_r"), F.lit(0)), F.coalesce(F.size("_p"), F.lit(0))
-    return sized.select(*key, _f_score(lcs(F.col("_r"), F.col("_p")), n_ref, n_pred).alias("rougeL"))
+def rouge_l(df: DataFrame, key: By = ("pair_id",), stem: bool = False) -> DataFrame:
+    """ROUGE-L F score per pair: longest common subsequence of the whole texts, within the row."""
+    return _with_tokens(df, stem).select(*key, _rouge_l())
 
 
-def rouge_report(df: DataFrame, key: By = ("pair_id",), by: By = (), stem: bool = False) -> DataFrame:
-    """Mean ROUGE-1, ROUGE-2 and ROUGE-L and the number of pairs."""
-    ids = [*by, *key]
-    grams = _overlaps(df, ids, (1, 2), stem).groupBy(*by)
-    overlap = grams.agg(F.avg("rouge1").alias("rouge1"), F.avg("rouge2").alias("rouge2"), F.count(F.lit(1)).alias("num_samples_evaluated"))
-    order = rouge_l(df, ids, stem).groupBy(*by).agg(F.avg("rougeL").alias("rougeL"))
-    return merge_rows([overlap, order], by)
+def rouge_report(df: DataFrame, by: By = (), stem: bool = False) -> DataFrame:
+    """Mean ROUGE-1, ROUGE-2 and ROUGE-L and the number of pairs, in one pass."""
+    scores = _with_tokens(df, stem).select(*by, _rouge_n(1), _rouge_n(2), _rouge_l())
+    means = [F.avg(c).alias(c) for c in ("rouge1", "rouge2", "rougeL")]
+    return scores.groupBy(*by).agg(*means, F.count(F.lit(1)).alias("num_samples_evaluated"))
 
 
 def stem_vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     """Stem of every distinct token: each word of the corpus is stemmed once."""
-    words = df.select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    words = exploded(df, tokens(F.col(text)), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     return words.select("token", stem_word(F.col("token")).alias("stem"), "n")

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from lexflume.constants import CLASS_IDS, DEFAULT_KEYWORDS
-from lexflume.functions.text import join_keywords, tokens
-from lexflume.operators.distributed import lookup
+from lexflume.functions.text import item_counts, join_keywords, tokens
+from lexflume.operators.distributed import exploded, lookup
 
 # Width of the hashed term space: the fitted model is classes x this many numbers.
 FEATURES = 1 << 14
@@ -92,27 +92,24 @@ def baseline_classifier(train: DataFrame, test: DataFrame, label: str = "label")
 
 
 def term_counts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (document, term, tf)."""
-    words = df.select(key, F.explode(tokens(F.col(text))).alias("term"))
-    return words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """Rows (document, term, tf); counted within each document's row, so nothing is shuffled."""
+    counted = df.select(key, F.explode_outer(item_counts(tokens(F.col(text)))).alias("c"))
+    return counted.where(F.col("c").isNotNull()).select(
+        key, F.col("c.item").alias("term"), F.col("c.n").cast("bigint").alias("tf")
+    )
 
 
 def _idf(n_docs, doc_freq):
     return F.log((n_docs + 1) / (doc_freq + 1))
 
 
-def _with_idf(tf: DataFrame, df: DataFrame) -> DataFrame:
-    n_docs = df.agg(F.count(F.lit(1))).scalar()
-    found = tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")).withColumn("n_docs", n_docs)
-    return found.withColumn("idf", _idf(F.col("n_docs"), F.col("doc_freq")))
-
-
 def idf_table(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (term, doc_freq, n_docs, idf): what keyword scoring has to know of a corpus.
 
-    A term counts once per document row, so no (document, term) shuffle is needed.
+    A term counts once per document row and is combined in every task, so only
+    distinct terms travel.
     """
-    words = df.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
+    words = exploded(df, F.array_distinct(tokens(F.col(text))), "term")
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     found = words.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")).withColumn("n_docs", n_docs)
     return found.withColumn("idf", _idf(F.col("n_docs"), F.col("doc_freq")))
@@ -139,7 +136,7 @@ def extract_keywords(
     """
     tf = term_counts(df, key, text)
     if idf is None:
-        matched = lookup(tf, _with_idf(tf, df), "term", "doc_freq")
+        matched = lookup(tf, idf_table(df, key, text), "term", "doc_freq")
     else:
         n_docs = idf.agg(F.max("n_docs")).scalar()
         matched = lookup(tf, idf, "term", "doc_freq", how="left").withColumn(
@@ -149,8 +146,14 @@ def extract_keywords(
 
 
 def baseline_keywords(df: DataFrame, k: int = DEFAULT_KEYWORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Top ``k`` terms per document by frequency alone."""
-    return _top(term_counts(df, key, text).withColumn("score", F.col("tf").cast("double")), key, k)
+    """Top ``k`` terms per document by frequency alone; works within each row."""
+    by_frequency = F.sort_array(
+        F.transform(item_counts(tokens(F.col(text))), lambda c: F.struct((-c["n"]).alias("w"), c["item"].alias("term")))
+    )
+    top = df.select(key, F.posexplode_outer(F.slice(by_frequency, 1, k)).alias("pos", "t"))
+    return top.where(F.col("t").isNotNull()).select(
+        key, (F.col("pos") + 1).alias("rank"), F.col("t.term").alias("term"), (-F.col("t.w")).cast("double").alias("score")
+    )
 
 
 def keywords_per_document(ranked: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -80,10 +80,10 @@ def sentiment_record(conf: DataFrame, batches: DataFrame, run: dict[str, object]
 
 
 def keyword_record(
-    pairs: DataFrame, batches: DataFrame, run: dict[str, object], key: By = ("pair_id",), by: By = (), stem: bool = False
+    pairs: DataFrame, batches: DataFrame, run: dict[str, object], by: By = (), stem: bool = False
 ) -> DataFrame:
     """All metrics of a keyword run as one typed row."""
-    return _described(merge_rows([rouge_report(pairs, key, by, stem), latency(batches, by)], by), "keyword", run)
+    return _described(merge_rows([rouge_report(pairs, by, stem), latency(batches, by)], by), "keyword", run)
 
 
 def confusion_findings(conf: DataFrame, k: int = 3) -> DataFrame:

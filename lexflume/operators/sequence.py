@@ -17,7 +17,7 @@ from lexflume.constants import (
 )
 from lexflume.functions.hashing import seeded_key
 from lexflume.functions.text import tokens
-from lexflume.operators.distributed import global_position, lookup, sorted_position
+from lexflume.operators.distributed import exploded, global_position, lookup, sorted_position
 
 
 def build_vocab(df: DataFrame, text: str = "text", min_count: int = 1) -> DataFrame:
@@ -27,7 +27,7 @@ def build_vocab(df: DataFrame, text: str = "text", min_count: int = 1) -> DataFr
     one row per task.
     """
     counts = (
-        df.select(F.explode(tokens(F.col(text))).alias("token"))
+        exploded(df, tokens(F.col(text)), "token")
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= min_count)

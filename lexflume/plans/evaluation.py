@@ -179,12 +179,12 @@ REPORT_SQL = (
     views=("pairs",),
 )
 def rouge_report(v: Views) -> DataFrame:
-    return _rounded(evaluate.rouge_report(v.pairs(), PAIR), "rouge1", "rouge2", "rougeL")
+    return _rounded(evaluate.rouge_report(v.pairs()), "rouge1", "rouge2", "rougeL")
 
 
 @registered()
 def rouge_report_stemmed(v: Views) -> DataFrame:
-    return _rounded(evaluate.rouge_report(v.pairs(), PAIR, stem=True), "rouge1", "rouge2", "rougeL")
+    return _rounded(evaluate.rouge_report(v.pairs(), stem=True), "rouge1", "rouge2", "rougeL")
 
 
 @registered()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexflume.operators import evaluate, report, scoring
-from lexflume.plans.evaluation import PAIR, REPORT_SQL, confusion_of
+from lexflume.plans.evaluation import REPORT_SQL, confusion_of
 from lexflume.plans.fixtures import Views, sql_class, sql_key
 from lexflume.plans.registry import registered
 
@@ -85,7 +85,7 @@ def evaluation_record(v: Views) -> DataFrame:
 )
 def keyword_record(v: Views) -> DataFrame:
     run = {"model": "next turn", "type": "baseline"}
-    record = report.keyword_record(v.pairs(), v.batches(), run, PAIR)
+    record = report.keyword_record(v.pairs(), v.batches(), run)
     return _rounded(record, "rouge1", "rouge2", "rougeL", "mean_latency_ms", "p95_latency_ms")
 
 
