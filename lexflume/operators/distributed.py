@@ -100,7 +100,7 @@ def join_by(left: DataFrame, right: DataFrame, by: By) -> DataFrame:
 
 
 def value_counts(df: DataFrame, value: str, by: By = ()) -> DataFrame:
-    """Rows per distinct value and group; missing values (null, NaN) are left out.
+    """Rows per distinct value and group, as ``_n``; missing values (null, NaN) are left out.
 
     They are left out by their count of 0: a filter on the value would be pushed
     to the scan and compute a derived value (a word count, say) a second time.
@@ -108,7 +108,7 @@ def value_counts(df: DataFrame, value: str, by: By = ()) -> DataFrame:
     present = F.col(value)
     if dict(df.dtypes)[value] in ("double", "float"):
         present = F.nullif(present, F.lit(float("nan")))
-    return df.groupBy(*by, value).agg(F.count(present).alias("n")).where(F.col("n") > 0)
+    return df.groupBy(*by, value).agg(F.count(present).alias("_n")).where(F.col("_n") > 0)
 
 
 def exploded(df: DataFrame, items: Column, name: str, *keep: str) -> DataFrame:
@@ -133,7 +133,7 @@ def exact_quantiles(
     cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     groups = counts.groupBy(*by).agg(
         F.percentile_approx(value, cuts, F.lit(10_000)).alias("_cuts"),
-        F.sum("n").alias("_total"),
+        F.sum("_n").alias("_total"),
     )
     if by:
         cut_up = join_by(counts, groups, by)
@@ -147,7 +147,7 @@ def exact_quantiles(
     in_group = Window.partitionBy(*by).orderBy("_bucket")
     totals = (
         cut_up.groupBy(*by, "_bucket", "_total")
-        .agg(F.sum("n").alias("_rows"))
+        .agg(F.sum("_n").alias("_rows"))
         .withColumn("_end", F.sum("_rows").over(in_group))
         .withColumn("_start", F.col("_end") - F.col("_rows"))
     )
@@ -163,8 +163,8 @@ def exact_quantiles(
     running = Window.partitionBy(*by, "_bucket").orderBy(value)
     placed = (
         join_by(cut_up, wanted, [*by, "_bucket"])
-        .withColumn("_last", F.col("_start") + F.sum("n").over(running))
-        .withColumn("_first", F.col("_last") - F.col("n"))
+        .withColumn("_last", F.col("_start") + F.sum("_n").over(running))
+        .withColumn("_first", F.col("_last") - F.col("_n"))
     )
 
     def at(rank: Column) -> Column:

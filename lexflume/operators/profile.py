@@ -49,10 +49,10 @@ def length_summary(df: DataFrame, length: str, by: By = ()) -> DataFrame:
     counts = value_counts(df, length, by)
     median = exact_quantiles(counts, length, {"median": 0.5}, by)
     rest = counts.groupBy(*by).agg(
-        (F.sum(F.col(length) * F.col("n")) / F.sum("n")).alias("mean"),
+        (F.sum(F.col(length) * F.col("_n")) / F.sum("_n")).alias("mean"),
         F.min(length).alias("min"),
         F.max(length).alias("max"),
-        F.sum("n").alias("n"),
+        F.sum("_n").alias("n"),
     )
     return merge_rows([rest, median], by)
 
@@ -63,7 +63,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     A column with one value gets a range of width 1 around it.
     """
     if dict(df.dtypes)[col] in ("double", "float"):
-        counts = df.where(F.col(col).isNotNull() & ~F.isnan(col)).select(col, F.lit(1).alias("n"))
+        counts = df.where(F.col(col).isNotNull() & ~F.isnan(col)).select(col, F.lit(1).alias("_n"))
     else:
         counts = value_counts(df, col)
     low, high = F.min(col).cast("double"), F.max(col).cast("double")
@@ -75,9 +75,9 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     ).scalar()
     edged = counts.withColumn("_e", edges)
     scaled = (F.col(col) - F.col("_e.low")) / (F.col("_e.high") - F.col("_e.low")) * bins
-    placed = edged.select(F.least(F.floor(scaled), F.lit(bins - 1)).alias("bin"), "n")
-    empty = df.sparkSession.range(bins).select(F.col("id").alias("bin"), F.lit(0).cast("bigint").alias("n"))
-    filled = placed.unionByName(empty).groupBy("bin").agg(F.sum("n").alias("n")).withColumn("_e", edges)
+    placed = edged.select(F.least(F.floor(scaled), F.lit(bins - 1)).alias("bin"), "_n")
+    empty = df.sparkSession.range(bins).select(F.col("id").alias("bin"), F.lit(0).cast("bigint").alias("_n"))
+    filled = placed.unionByName(empty).groupBy("bin").agg(F.sum("_n").alias("n")).withColumn("_e", edges)
     width = (F.col("_e.high") - F.col("_e.low")) / bins
     return filled.select(
         F.col("bin").cast("int").alias("bin"),
@@ -106,8 +106,8 @@ def box_stats(df: DataFrame, value: str, by: By) -> DataFrame:
             F.max("q3").alias("q3"),
             F.min(F.when(inside, F.col(value))).alias("whisker_low"),
             F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
-            F.sum("n").alias("n"),
+            F.sum(F.when(inside, 0).otherwise(F.col("_n"))).alias("outliers"),
+            F.sum("_n").alias("n"),
         )
     )
 
