@@ -22,7 +22,7 @@ def word_count(col: Column) -> Column:
 
 def tokens(col: Column) -> Column:
     """Lower-case alphanumeric words in order of appearance."""
-    return F.filter(F.split(F.lower(col), "[^a-z0-9]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(col), "[^a-z0-9]+"), "")
 
 
 def strip(col: Column) -> Column:
@@ -82,15 +82,16 @@ def item_counts(items: Column) -> Column:
     """
 
     def runs(ordered: Column) -> Column:
-        placed = F.transform(ordered, lambda x, i: F.struct(x.alias("item"), i.alias("at")))
-        starts = F.filter(placed, lambda e: ~F.get(ordered, e["at"] - 1).eqNullSafe(e["item"]))
+        n = F.size(ordered)
+        places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(places, lambda i: ~F.get(ordered, i - 1).eqNullSafe(F.get(ordered, i)))
         return _let(
             starts,
             lambda firsts: F.transform(
                 firsts,
-                lambda e, i: F.struct(
-                    e["item"].alias("item"),
-                    (F.coalesce(F.get(firsts, i + 1)["at"], F.size(ordered)) - e["at"]).alias("n"),
+                lambda at, i: F.struct(
+                    F.get(ordered, at).alias("item"),
+                    (F.coalesce(F.get(firsts, i + 1), n) - at).alias("n"),
                 ),
             ),
         )

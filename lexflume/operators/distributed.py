@@ -24,10 +24,10 @@ QUANTILE_BUCKETS = 256
 # Splitters that cut a sorted key space, and the sample they are read from.
 KEY_BUCKETS = 128
 KEY_SAMPLE = 4096
-# Most frequent keys of a lookup table that are broadcast. Keys beyond this rank hold
-# less than 1/LOOKUP_HEAD of all fact rows each, so the shuffled rest has no hot key.
-LOOKUP_HEAD = 10_000
-# Broadcast keys are at most this long, so the broadcast stays below ~2 MB.
+# A key with at least 1/LOOKUP_SHARES of all fact rows is frequent. There can be no more
+# than LOOKUP_SHARES of them, and every other key is too rare to make a partition hot.
+LOOKUP_SHARES = 50_000
+# Broadcast keys are at most this long, so the broadcast stays below ~8 MB.
 LOOKUP_KEY_CHARS = 64
 
 
@@ -193,21 +193,18 @@ def lookup(
     key: str,
     weight: str,
     how: str = "inner",
-    head: int = LOOKUP_HEAD,
+    shares: int = LOOKUP_SHARES,
 ) -> DataFrame:
     """Join facts to a table with one row per key and ``weight`` = its fact rows.
 
-    The most frequent keys go out as a broadcast of bounded size, so the hot rows
-    never travel by key; the rest is shuffled and holds no hot key.
+    Frequent keys, of which there are at most ``shares``, go out as a broadcast, so
+    hot rows never travel by key; the rest is shuffled and holds no hot key.
     """
+    total = table.agg(F.sum(weight)).scalar()
     # Stated over the weight, so that it stays above the aggregation that made the
-    # table and both uses of the table share its shuffle.
-    short = F.when(F.length(key) <= LOOKUP_KEY_CHARS, F.col(weight)) > 0
-    frequent = (
-        table.where(short)
-        .orderBy(F.col(weight).desc(), F.col(key))
-        .limit(head)
-    )
+    # table and all uses of the table share its shuffle.
+    short = F.when(F.length(key) <= LOOKUP_KEY_CHARS, F.col(weight))
+    frequent = table.where(short * shares >= total)
     hot = facts.join(F.broadcast(frequent), key)
     rest = facts.join(F.broadcast(frequent.select(key)), key, "left_anti").join(table, key, how)
     return hot.unionByName(rest)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
@@ -36,28 +36,30 @@ def train_classifier(
     Gradients are summed on the executors; only coefficients (classes x
     ``FEATURES``) reach the driver. Terms are hashed once for all settings.
     """
-    features = Pipeline(
+    hashed = PipelineModel(
         stages=[
             RegexTokenizer(inputCol=text, outputCol="_terms", pattern="[^a-z0-9]+", minTokenLength=1),
             HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=FEATURES),
-            IDF(inputCol="_tf", outputCol="features"),
         ]
     )
-    known = train.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(text, label)
-    checked = validation.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(text, label)
-    prepared = features.fit(known)
-    seen = prepared.transform(known).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    held_out = prepared.transform(checked).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def prepared(df: DataFrame) -> DataFrame:
+        known = df.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(text, label)
+        return hashed.transform(known).select(label, "_tf").persist(StorageLevel.MEMORY_AND_DISK)
+
+    seen, held_out = prepared(train), prepared(validation)
+    scaled = IDF(inputCol="_tf", outputCol="features").fit(seen)
     loss = MulticlassClassificationEvaluator(labelCol=label, metricName="logLoss")
     best, best_loss = None, float("inf")
     for strength in grid:
-        fitted = LogisticRegression(labelCol=label, family="multinomial", maxIter=max_iter, regParam=strength).fit(seen)
-        found = loss.evaluate(fitted.transform(held_out))
+        learner = LogisticRegression(labelCol=label, family="multinomial", maxIter=max_iter, regParam=strength)
+        fitted = learner.fit(scaled.transform(seen))
+        found = loss.evaluate(fitted.transform(scaled.transform(held_out)))
         if best is None or found < best_loss:
             best, best_loss = fitted, found
     seen.unpersist()
     held_out.unpersist()
-    return PipelineModel(stages=[*prepared.stages, best])
+    return PipelineModel(stages=[*hashed.stages, scaled, best])
 
 
 def score_classifier(df: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:

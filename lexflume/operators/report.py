@@ -116,9 +116,8 @@ def confusion_findings(conf: DataFrame, k: int = 3) -> DataFrame:
 
 def target_check(metrics: DataFrame, targets: Sequence[tuple[str, str, str, float]] = TARGETS) -> DataFrame:
     """Each metric that has a target, its limit, and whether it is met."""
-    stated = metrics.sparkSession.createDataFrame(
-        list(targets), "task string, metric string, direction string, target double"
-    )
+    rows = F.array(*[F.struct(*[F.lit(x) for x in row]) for row in targets])
+    stated = metrics.sparkSession.range(1).select(F.inline(rows).alias("task", "metric", "direction", "target"))
     long = metrics_long(metrics)
     met = F.when(F.col("direction") == ">", F.col("value") > F.col("target")).otherwise(
         F.col("value") < F.col("target")

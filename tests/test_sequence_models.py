@@ -1,11 +1,12 @@
 import math
 import random
 from collections import Counter
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
-from lexflume.operators import models, sequence
+from lexflume.operators import distributed, models, sequence
 from lexflume.session import stored
 
 DOCS = [(1, "The cat. The dog!"), (2, "the end"), (3, "..."), (4, None), (5, " ".join(f"w{i}" for i in range(40)))]
@@ -92,10 +93,10 @@ def corpus(frame):
     return rows, frame([(i, " ".join(t)) for i, t in rows], "doc_id int, text string", 5)
 
 
-@pytest.mark.parametrize("head", [2, 10_000])
-def test_keywords_against_brute_force(corpus, head, monkeypatch):
+@pytest.mark.parametrize("shares", [2, 50_000])
+def test_keywords_against_brute_force(corpus, shares, monkeypatch):
     rows, df = corpus
-    monkeypatch.setattr(models, "lookup", lambda *a, **k: __import__("lexflume.operators.distributed", fromlist=["lookup"]).lookup(*a, head=head, **k))
+    monkeypatch.setattr(models, "lookup", partial(distributed.lookup, shares=shares))
     found = [tuple(r) for r in models.extract_keywords(df, 5).collect()]
     assert sorted(found) == sorted(tf_idf(rows, 5))
     by_table = [tuple(r) for r in models.extract_keywords(df, 5, stored(models.idf_table(df), "idf")).collect()]
