@@ -2,6 +2,7 @@
 
 * ``global_position``, ``sorted_position`` - rank of every row without one all-rows window,
 * ``exact_quantiles`` - interpolated percentiles without one all-values group,
+* ``join_group_facts`` - join of rows to their group when one group is hot,
 * ``lookup`` - join of skewed facts to a keyed table that may be large,
 * ``merge_rows`` - put one-row-per-group frames side by side without a join.
 """
@@ -27,6 +28,8 @@ KEY_SAMPLE = 4096
 # A key with at least 1/LOOKUP_SHARES of all fact rows is frequent. There can be no more
 # than LOOKUP_SHARES of them, and every other key is too rare to make a partition hot.
 LOOKUP_SHARES = 50_000
+# Parts a group is split into when its rows meet the facts of the group.
+SALTS = 16
 # Broadcast keys are at most this long, so the broadcast stays below ~8 MB.
 LOOKUP_KEY_CHARS = 64
 
@@ -99,6 +102,17 @@ def join_by(left: DataFrame, right: DataFrame, by: By) -> DataFrame:
     return left.join(renamed, same).drop(*[f"_by_{c}" for c in by])
 
 
+def join_group_facts(rows: DataFrame, facts: DataFrame, by: By, spread_by: str) -> DataFrame:
+    """Join rows to the one fact row of their group, a group's rows being any share of all.
+
+    A hot group is split into ``SALTS`` parts by a hash of ``spread_by``; the fact
+    rows, few against the rows, are repeated once per part.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+    repeated = facts.withColumn("_salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])))
+    return join_by(salted, repeated, [*by, "_salt"]).drop("_salt")
+
+
 def value_counts(df: DataFrame, value: str, by: By = ()) -> DataFrame:
     """Rows per distinct value and group, as ``_n``; missing values (null, NaN) are left out.
 
@@ -136,7 +150,7 @@ def exact_quantiles(
         F.sum("_n").alias("_total"),
     )
     if by:
-        cut_up = join_by(counts, groups, by)
+        cut_up = join_group_facts(counts, groups, by, value)
     else:
         one = groups.select(F.struct("_cuts", "_total")).scalar()
         cut_up = counts.withColumn("_g", one).select("*", "_g._cuts", "_g._total").drop("_g")

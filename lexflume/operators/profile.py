@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from lexflume.constants import SEED, SPLITS
 from lexflume.functions.hashing import seeded_key
 from lexflume.functions.text import join_keywords, preview, word_count
-from lexflume.operators.distributed import exact_quantiles, join_by, merge_rows, value_counts
+from lexflume.operators.distributed import (
+    exact_quantiles,
+    join_group_facts,
+    merge_rows,
+    value_counts,
+)
 
 By = Sequence[str]
 
@@ -98,7 +103,7 @@ def box_stats(df: DataFrame, value: str, by: By) -> DataFrame:
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        join_by(counts, quartiles, by)
+        join_group_facts(counts, quartiles, by, value)
         .groupBy(*by)
         .agg(
             F.max("q1").alias("q1"),
