@@ -68,8 +68,9 @@ def global_position(
 
     The first hex digits are the bucket: equal-sized whatever the data holds, and
     in key order. Only bucket totals (at most ``16**digits`` rows) meet in one task.
+    A null key comes first.
     """
-    keyed = df.withColumn("_key", hex_key).withColumn("_bucket", F.substring("_key", 1, digits))
+    keyed = df.withColumn("_key", F.coalesce(hex_key, F.lit(""))).withColumn("_bucket", F.substring("_key", 1, digits))
     return _ranked_within(keyed, "_bucket", [F.col("_key"), F.col(tie)], position).drop("_key")
 
 

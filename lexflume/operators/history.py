@@ -11,10 +11,14 @@ By = Sequence[str]
 
 
 def epoch_losses(df: DataFrame, by: By = ()) -> DataFrame:
-    """Mean training and validation loss per epoch; every batch weighs the same."""
-    return df.groupBy(*by, "epoch").agg(
-        *[F.avg(F.when(F.col("phase") == p, F.col("loss"))).alias(f"{p}_loss") for p in ("train", "val")]
-    )
+    """Mean training and validation loss per epoch; every batch weighs the same.
+
+    Batches that also carry ``step`` and ``learning_rate`` give the rate the epoch ended with.
+    """
+    kept = [F.avg(F.when(F.col("phase") == p, F.col("loss"))).alias(f"{p}_loss") for p in ("train", "val")]
+    if {"step", "learning_rate"} <= set(df.columns):
+        kept.append(F.max_by("learning_rate", "step").alias("learning_rate"))
+    return df.groupBy(*by, "epoch").agg(*kept)
 
 
 def _finite(history: DataFrame) -> DataFrame:

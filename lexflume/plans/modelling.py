@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.operators import history, models, scoring
+from lexflume.operators import evaluate, history, models, scoring
 from lexflume.plans.fixtures import Views, sql_tokens
 from lexflume.plans.registry import registered
 
@@ -18,6 +18,16 @@ def trained(v: Views) -> tuple[DataFrame, models.PipelineModel]:
 
 @registered()
 def train_classifier(v: Views) -> DataFrame:
+    """How the trained model does on each split."""
+    sent, model = trained(v)
+    scored = scoring.with_predictions(models.score_classifier(sent.select("split", "label", "text"), model))
+    conf = evaluate.confusion(scored, ["split"])
+    return evaluate.classification_metrics(conf, ["split"])
+
+
+@registered()
+def score_classifier(v: Views) -> DataFrame:
+    """What the trained model says of each text."""
     sent, model = trained(v)
     scored = models.score_classifier(sent.select("doc_id", "text"), model)
     answered = scoring.predict_sentiment(scored)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,17 +25,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     )
 
 
+@lru_cache(maxsize=None)
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="lexflume-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the session.
 
-    Only a session that names none (local tests) gets a temporary folder.
+    Only a local session that names none (tests) gets a temporary folder.
     """
-    named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named.rstrip("/")
-    made = tempfile.mkdtemp(prefix="lexflume-")
-    spark.conf.set(CHECKPOINT_CONF, made)
-    return made
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
+    return _local_dir(spark.conf.get("spark.app.id", ""))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -88,6 +88,11 @@ def read_dataset(spark: SparkSession, path: str, fmt: str, schema: T.StructType)
     return spark.read.schema(with_split).parquet(path)
 
 
+def write_samples(sample: DataFrame, path: str) -> None:
+    """Export a sample report (a few dozen rows) as one CSV file."""
+    sample.coalesce(1).write.mode("overwrite").options(**_CSV_OUT).csv(path)
+
+
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("project", T.StringType()),

@@ -47,6 +47,15 @@ def test_quantiles_of_nothing(frame):
     assert d.exact_quantiles(d.value_counts(df, "v"), "v", {"m": 0.5}).collect() in ([], [(None,)])
 
 
+def test_rows_without_a_key_are_kept(frame):
+    df = frame([(None,), (1,), (2,)], "id int")
+    found = d.global_position(df, seeded_key(F.col("id"), 42), "id").collect()
+    assert sorted(r["position"] for r in found) == [1, 2, 3]
+    assert {r["position"]: r["id"] for r in found}[1] is None
+    found = d.sorted_position(df, "id", F.struct("id")).collect()
+    assert sorted((r["position"], r["id"]) for r in found) == [(1, None), (2, 1), (3, 2)]
+
+
 @pytest.mark.parametrize("digits", [1, 2, 4])
 def test_global_position(frame, digits):
     df = frame([(i,) for i in range(500)], "id int", 4)

@@ -142,6 +142,11 @@ def test_epoch_losses(frame):
     assert second["train_loss"] != second["train_loss"] and second["val_loss"] is None
 
 
+def test_last_learning_rate_of_an_epoch(frame):
+    df = frame([(1, 1, "train", 1.0, 0.2), (1, 2, "train", 1.0, 0.1), (2, 3, "train", 1.0, 0.05)], "epoch int, step int, phase string, loss double, learning_rate double")
+    assert rows(history.epoch_losses(df), "epoch", "learning_rate") == [(1, 0.1), (2, 0.05)]
+
+
 def test_validation(frame):
     data = [(1, "x", None), (2, "", 5), (3, None, 5), (4, "x" * 2048, 20), (5, "x" * 2049, 21), (6, "x", 0), (7, "x", 1)]
     df = frame(data, "id int, text string, max_keywords int")

@@ -69,10 +69,37 @@ def test_metrics_store(spark, frame, tmp_path):
         metrics.read_metrics(spark, path, "other")
 
 
-def test_shared_folder_is_the_sessions(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark)
-    assert shared_dir(spark) == named
-    assert scratch_path(spark, "x").startswith(named) and scratch_path(spark, "x") != scratch_path(spark, "x")
+class NamedSession:
+    """Just the settings of a session."""
+
+    def __init__(self, **settings):
+        self.settings = {k.replace("_", "."): v for k, v in settings.items()}
+        self.conf = self
+
+    def get(self, key, default):
+        return self.settings.get(key, default)
+
+
+def test_shared_folder_is_the_sessions(tmp_path):
+    named = NamedSession(spark_checkpoint_dir="hdfs:///shared/", spark_master="yarn")
+    assert shared_dir(named) == "hdfs:///shared"
+    assert scratch_path(named, "x").startswith("hdfs:///shared/x-")
+    assert scratch_path(named, "x") != scratch_path(named, "x")
+
+
+def test_temporary_folder_is_for_local_sessions_only():
+    local = NamedSession(spark_master="local[2]", spark_app_id="a")
+    assert shared_dir(local) == shared_dir(local) != shared_dir(NamedSession(spark_master="local[2]", spark_app_id="b"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(NamedSession(spark_master="yarn"))
+
+
+def test_sample_export(spark, frame, tmp_path):
+    sample = frame([(1, 'a "b"\nc', 0.5)], "id int, input_text string, confidence double")
+    corpora.write_samples(sample, str(tmp_path / "s"))
+    files = list((tmp_path / "s").glob("*.csv"))
+    assert len(files) == 1
+    assert files[0].read_text() == '"id","input_text","confidence"\n"1","a ""b""\nc","0.5"\n'
 
 
 REQUESTS = [
