@@ -30,7 +30,9 @@ KEY_SAMPLE = 4096
 LOOKUP_SHARES = 50_000
 # Parts a group is split into when its rows meet the facts of the group.
 SALTS = 16
-# Broadcast keys are at most this long, so the broadcast stays below ~8 MB.
+# A lookup table of at most this many rows is broadcast whole.
+LOOKUP_WHOLE_ROWS = 500_000
+# Broadcast keys are at most this long, so a broadcast stays below ~50 MB.
 LOOKUP_KEY_CHARS = 64
 
 
@@ -202,6 +204,12 @@ def exact_quantiles(
     )
 
 
+def _fits_a_broadcast(table: DataFrame, key: str, rows: int) -> bool:
+    """Whether the table has at most ``rows`` rows, all with short keys (one scan of its keys)."""
+    seen = table.select(F.length(key).alias("chars")).limit(rows + 1).agg(F.count(F.lit(1)), F.max("chars")).first()
+    return seen[0] <= rows and (seen[1] or 0) <= LOOKUP_KEY_CHARS
+
+
 def lookup(
     facts: DataFrame,
     table: DataFrame,
@@ -209,17 +217,18 @@ def lookup(
     weight: str,
     how: str = "inner",
     shares: int = LOOKUP_SHARES,
+    whole_rows: int = LOOKUP_WHOLE_ROWS,
 ) -> DataFrame:
-    """Join facts to a table with one row per key and ``weight`` = its fact rows.
+    """Join facts to a stored table with one row per key and ``weight`` = its fact rows.
 
-    Frequent keys, of which there are at most ``shares``, go out as a broadcast, so
-    hot rows never travel by key; the rest is shuffled and holds no hot key.
+    A table counted to be small goes out whole. Of a larger one only the frequent
+    keys do, at most ``shares`` of them, so hot rows never travel by key; the rest
+    is shuffled and holds no hot key.
     """
+    if _fits_a_broadcast(table, key, whole_rows):
+        return facts.join(F.broadcast(table), key, how)
     total = table.agg(F.sum(weight)).scalar()
-    # Stated over the weight, so that it stays above the aggregation that made the
-    # table and all uses of the table share its shuffle.
-    short = F.when(F.length(key) <= LOOKUP_KEY_CHARS, F.col(weight))
-    frequent = table.where(short * shares >= total)
+    frequent = table.where((F.length(key) <= LOOKUP_KEY_CHARS) & (F.col(weight) * shares >= total))
     hot = facts.join(F.broadcast(frequent), key)
     rest = facts.join(F.broadcast(frequent.select(key)), key, "left_anti").join(table, key, how)
     return hot.unionByName(rest)

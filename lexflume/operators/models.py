@@ -16,6 +16,7 @@ from pyspark.storagelevel import StorageLevel
 from lexflume.constants import CLASS_IDS, DEFAULT_KEYWORDS
 from lexflume.functions.text import item_counts, join_keywords, tokens
 from lexflume.operators.distributed import exploded, lookup
+from lexflume.session import stored
 
 # Width of the hashed term space: the fitted model is classes x this many numbers.
 FEATURES = 1 << 14
@@ -105,7 +106,7 @@ def _idf(n_docs, doc_freq):
     return F.log((n_docs + 1) / (doc_freq + 1))
 
 
-def idf_table(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def idf_table(df: DataFrame, text: str = "text") -> DataFrame:
     """Rows (term, doc_freq, n_docs, idf): what keyword scoring has to know of a corpus.
 
     A term counts once per document row and is combined in every task, so only
@@ -133,12 +134,13 @@ def extract_keywords(
     """Top ``k`` terms per document by tf-idf, idf = ln((N + 1) / (df + 1)).
 
     With a stored ``idf`` table only scoring is done; terms it lacks get the idf
-    of a term in no document. Scores are rounded before they are ranked, so the
-    order does not hang on the last digit.
+    of a term in no document. Without one the table of this corpus is stored first.
+    Scores are rounded before they are ranked, so the order does not hang on the
+    last digit.
     """
     tf = term_counts(df, key, text)
     if idf is None:
-        matched = lookup(tf, idf_table(df, key, text), "term", "doc_freq")
+        matched = lookup(tf, stored(idf_table(df, text), "idf"), "term", "doc_freq")
     else:
         n_docs = idf.agg(F.max("n_docs")).scalar()
         matched = lookup(tf, idf, "term", "doc_freq", how="left").withColumn(

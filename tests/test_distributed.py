@@ -83,13 +83,14 @@ def test_sorted_position_of_one_row_and_none(frame):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup_is_a_join(frame, how):
+@pytest.mark.parametrize("limits", [{}, {"whole_rows": 5}, {"whole_rows": 5, "shares": 3}, {"whole_rows": 5, "shares": 1}])
+def test_lookup_is_a_join(frame, how, limits):
     rng = random.Random(6)
     long_word = "x" * 100
     words = ["hot"] * 400 + [long_word] * 50 + [f"w{rng.randint(0, 60)}" for _ in range(400)] + ["absent"] * 10
     facts = frame([(i, w) for i, w in enumerate(words)], "id int, w string", 5)
     table = frame([(w, words.count(w), len(w)) for w in sorted(set(words) - {"absent"})], "w string, n int, size int")
-    found = d.lookup(facts, table, "w", "n", how, shares=3).select("id", "w", "size").collect()
+    found = d.lookup(facts, table, "w", "n", how, **limits).select("id", "w", "size").collect()
     expected = facts.join(table, "w", how).select("id", "w", "size").collect()
     assert sorted(found, key=repr) == sorted(expected, key=repr)
 

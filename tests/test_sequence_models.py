@@ -25,7 +25,9 @@ def test_vocab(docs):
     assert [r["token"] for r in sequence.build_vocab(docs, min_count=2).collect()] == ["the"]
 
 
-def test_encode(docs):
+@pytest.mark.parametrize("limits", [{}, {"whole_rows": 0, "shares": 3}])
+def test_encode(docs, limits, monkeypatch):
+    monkeypatch.setattr(sequence, "lookup", partial(distributed.lookup, **limits))
     vocab = sequence.build_vocab(docs.where("doc_id < 3"))
     ids = {r["token"]: r["id"] for r in vocab.collect()}
     found = {r["doc_id"]: r for r in sequence.encode(docs, vocab, 6).collect()}
@@ -93,10 +95,10 @@ def corpus(frame):
     return rows, frame([(i, " ".join(t)) for i, t in rows], "doc_id int, text string", 5)
 
 
-@pytest.mark.parametrize("shares", [2, 50_000])
-def test_keywords_against_brute_force(corpus, shares, monkeypatch):
+@pytest.mark.parametrize("limits", [{}, {"whole_rows": 0, "shares": 2}, {"whole_rows": 0, "shares": 500}])
+def test_keywords_against_brute_force(corpus, limits, monkeypatch):
     rows, df = corpus
-    monkeypatch.setattr(models, "lookup", partial(distributed.lookup, shares=shares))
+    monkeypatch.setattr(models, "lookup", partial(distributed.lookup, **limits))
     found = [tuple(r) for r in models.extract_keywords(df, 5).collect()]
     assert sorted(found) == sorted(tf_idf(rows, 5))
     by_table = [tuple(r) for r in models.extract_keywords(df, 5, stored(models.idf_table(df), "idf")).collect()]
