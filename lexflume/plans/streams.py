@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexflume.constants import MAX_CHARS
 from lexflume.operators.models import idf_table
-from lexflume.plans.fixtures import Views
+from lexflume.plans.fixtures import Views, sql_tokens
 from lexflume.plans.modelling import trained
 from lexflume.plans.registry import registered
 from lexflume.session import scratch_path, stored
@@ -29,7 +30,23 @@ def stream_sentiment(v: Views) -> DataFrame:
     return answers.select("request_id", "text", "label", F.round("confidence", 6).alias("confidence"))
 
 
-@registered()
+@registered(
+    "SELECT * FROM (WITH valid AS (SELECT request_id, text, coalesce(max_keywords, 10) AS k FROM req WHERE "
+    f"length(text) BETWEEN 1 AND {MAX_CHARS['keyword']} AND coalesce(max_keywords, 10) BETWEEN 1 AND 20), "
+    "size AS (SELECT count(*) AS n FROM documents), "
+    f"idf AS (SELECT term, ln(((SELECT n FROM size) + 1) / (count(DISTINCT doc_id) + 1)) AS idf FROM "
+    f"(SELECT doc_id, unnest({sql_tokens('text')}) AS term FROM documents) GROUP BY term), "
+    "tf AS (SELECT request_id, term, count(*) AS tf FROM (SELECT request_id, "
+    f"unnest({sql_tokens('text')}) AS term FROM valid) GROUP BY request_id, term), "
+    "scored AS (SELECT request_id, term, round(tf * coalesce(idf, ln((SELECT n FROM size) + 1)), 6) AS score "
+    "FROM tf LEFT JOIN idf USING (term)), "
+    "ranked AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, term) AS r FROM scored) "
+    "SELECT request_id, any_value(CASE WHEN length(text) > 200 THEN substring(text, 1, 200) || '...' ELSE text END) AS text, "
+    "coalesce(string_agg(term, '; ' ORDER BY r) FILTER (WHERE r <= k), '') AS keywords_string, "
+    "CAST(count(term) FILTER (WHERE r <= k) AS INTEGER) AS n_keywords "
+    "FROM valid LEFT JOIN ranked USING (request_id) GROUP BY request_id)",
+    views=("req",),
+)
 def stream_keywords(v: Views) -> DataFrame:
     arrived, path = _arrived(v)
     idf = stored(idf_table(v.table("documents")), "idf")
