@@ -40,7 +40,8 @@ def confusion_matrix(df: DataFrame, by: By = ()) -> DataFrame:
         F.sum(F.when(F.col("pred") == c, F.col("n")).otherwise(0)).alias(f"pred_{CLASS_NAMES[c]}") for c in CLASS_IDS
     ]
     matrix = confusion(df, by).groupBy(*by, "label").agg(*cells)
-    return matrix.select(*by, class_name(F.col("label")).alias("true_label"), *[c for c in matrix.columns if c.startswith("pred_")])
+    predicted = [f"pred_{CLASS_NAMES[c]}" for c in CLASS_IDS]
+    return matrix.select(*by, class_name(F.col("label")).alias("true_label"), *predicted)
 
 
 def accuracy(conf: DataFrame, by: By = ()) -> DataFrame:
@@ -81,7 +82,8 @@ def per_class(conf: DataFrame, by: By = ()) -> DataFrame:
 
 def _macro_columns() -> list[Column]:
     seen = (F.col("support") > 0) | (F.col("predicted") > 0)
-    return [F.avg(F.when(seen, F.col(m))).alias(n) for m, n in (("f1", "f1_macro"), ("precision", "precision"), ("recall", "recall"))]
+    named = {"f1": "f1_macro", "precision": "precision", "recall": "recall"}
+    return [F.avg(F.when(seen, F.col(metric))).alias(name) for metric, name in named.items()]
 
 
 def macro(conf: DataFrame, by: By = ()) -> DataFrame:

@@ -50,8 +50,17 @@ def answer_keywords(requests: DataFrame, idf: DataFrame) -> DataFrame:
     return answered.select("request_id", F.col("preview").alias("text"), "keywords", "keywords_string")
 
 
+# Answer what has arrived, then stop; {"processingTime": "10 seconds"} goes on.
+ARRIVED = {"availableNow": True}
+
+
 def _run(
-    requests: DataFrame, task: str, answer: Callable[[DataFrame], DataFrame], out: str, checkpoint: str
+    requests: DataFrame,
+    task: str,
+    answer: Callable[[DataFrame], DataFrame],
+    out: str,
+    checkpoint: str,
+    trigger: dict[str, object],
 ) -> StreamingQuery:
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         checked = validate_requests(batch, task).persist(StorageLevel.MEMORY_AND_DISK)
@@ -64,19 +73,31 @@ def _run(
     return (
         requests.writeStream.foreachBatch(one_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
 
-def stream_sentiment(requests: DataFrame, model: PipelineModel, out: str, checkpoint: str) -> StreamingQuery:
-    """Answer all sentiment requests that have arrived."""
-    return _run(requests, "sentiment", lambda valid: answer_sentiment(valid, model), out, checkpoint)
+def stream_sentiment(
+    requests: DataFrame,
+    model: PipelineModel,
+    out: str,
+    checkpoint: str,
+    trigger: dict[str, object] = ARRIVED,
+) -> StreamingQuery:
+    """Answer sentiment requests with a trained model."""
+    return _run(requests, "sentiment", lambda valid: answer_sentiment(valid, model), out, checkpoint, trigger)
 
 
-def stream_keywords(requests: DataFrame, idf: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Answer all keyword requests that have arrived, with a stored IDF table."""
-    return _run(requests, "keyword", lambda valid: answer_keywords(valid, idf), out, checkpoint)
+def stream_keywords(
+    requests: DataFrame,
+    idf: DataFrame,
+    out: str,
+    checkpoint: str,
+    trigger: dict[str, object] = ARRIVED,
+) -> StreamingQuery:
+    """Answer keyword requests with a stored IDF table."""
+    return _run(requests, "keyword", lambda valid: answer_keywords(valid, idf), out, checkpoint, trigger)
 
 
 ANSWER_SCHEMAS = {

@@ -227,3 +227,12 @@ def test_records(frame):
     pairs = frame([(1, "a b", "a b")], "pair_id int, reference string, prediction string")
     row = report.keyword_record(pairs, batches, {"model": "k"}).first()
     assert (row["rouge1"], row["rougeL"], row["num_samples_evaluated"], row["p95_latency_ms"]) == (1.0, 1.0, 1, 500.0)
+
+
+def test_records_of_many_runs(judged, frame):
+    batches = frame([("a", 1.0, 2), ("b", 1.0, 4), ("b", 3.0, 4)], "run_id string, batch_seconds double, batch_n int")
+    conf = evaluate.confusion(judged, ["run_id"])
+    found = {r["run_id"]: r for r in report.sentiment_record(conf, batches, {"model": "m"}, ["run_id"]).collect()}
+    assert set(found) == {"a", "b", "c"}
+    assert (found["a"]["mean_latency_ms"], found["b"]["mean_latency_ms"], found["c"]["mean_latency_ms"]) == (500.0, 500.0, None)
+    assert found["c"]["accuracy"] == pytest.approx(2 / 3)
