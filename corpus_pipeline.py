@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexflume.llm import exact_dedup, minhash
+from lexflume.llm import bpe, exact_dedup, minhash, mixing, queries, toxicity
 from lexflume.session import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose chance of being toxic at any grade is below one half."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.drop_toxic(docs, toxicity.train(docs, labels))
+
+
 def without_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact_dedup.drop_exact_duplicates(docs)
@@ -22,9 +28,22 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return minhash.drop_near_duplicates(docs, width=5, percent=80)
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their fitted rates say; the classifier is taught by the labelled table."""
+    return mixing.mixed(docs, queries.fitted_domains(spark, sf_dir), queries.DOMAIN_WEIGHTS)
+
+
+def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded text of every document."""
+    return bpe.round_trip(docs, queries.vocabulary())
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
     ("exact dedup", without_exact_copies),
     ("near dedup", without_near_copies),
+    ("mixing", mixed),
+    ("bpe", as_tokens),
 ]
 
 # Trained models and sketches take part in the result, which SQL cannot express.
