@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexflume.llm import bpe, chat, exact_dedup, langid, licenses, minhash, mixing, toxicity
+from lexflume.llm import bpe, chat, exact_dedup, langid, licenses, lm, minhash, mixing, toxicity
 
 # Target weights of the domains: languages as the labelled table's good rows have them, and its junk.
 DOMAIN_WEIGHTS = {"en": 0.52, "de": 0.16, "fr": 0.16, "es": 0.12, "junk": 0.04}
@@ -72,6 +72,11 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.severity(docs, toxicity.train(docs, _table(spark, folder, "labels")))
 
 
+def op6_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram and model log10 probabilities of every text."""
+    return lm.score(_table(spark, folder, "documents"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of two-word shingles have a Jaccard of 0.8 or more."""
     return minhash.near_duplicates(_table(spark, folder, "documents"), width=2, percent=80)
@@ -103,6 +108,7 @@ QUERIES = {
         op3_chat_format,
         op4_mix_sources,
         op5_toxicity,
+        op6_lm_score,
         op7_minhash_near_dedup,
         op8_license_scan,
         op9_language_id,
