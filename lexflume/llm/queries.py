@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexflume.llm import bpe, chat, exact_dedup, langid, licenses, lm, minhash, mixing, toxicity
+from lexflume.llm import bpe, chat, embedding_dedup, exact_dedup, langid, licenses, lm, minhash, mixing, toxicity
 
 # Target weights of the domains: languages as the labelled table's good rows have them, and its junk.
 DOMAIN_WEIGHTS = {"en": 0.52, "de": 0.16, "fr": 0.16, "es": 0.12, "junk": 0.04}
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of vectors of one label whose cosine is 0.93 or more."""
+    return embedding_dedup.near_duplicates(_table(spark, folder, "embeddings"), least=0.93)
+
+
 def vocabulary() -> str:
     """Path of the byte-level vocabulary file."""
     import public_tokenizers
@@ -104,6 +109,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_embedding_near_dedup,
         op2_bpe_round_trip,
         op3_chat_format,
         op4_mix_sources,
