@@ -174,13 +174,24 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     return sided.where(fits).where(allowed).select("a", "b")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _whole_sets(docs: DataFrame, likely: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """Stored (node, members, _n): whole sets of the nodes of likely pairs, and in how many pairs they are b."""
+    ends = likely.select(F.col("a").alias("node"), F.lit(0).alias("one")).unionByName(
+        likely.select(F.col("b").alias("node"), F.lit(1).alias("one"))
+    )
+    used = ends.groupBy("node").agg(F.sum("one").alias("_n")).join(nodes.select("node", "set_key", "doc_id"), "node")
+    used = stored(used, "used")
+    texts = keep_where(docs.select("doc_id", "text"), used, "doc_id", "left_semi").select("text")
+    found = texts.mapInArrow(partial(_set_batches, width=width), "set_key binary, members binary")
+    sets = used.join(found, "set_key").groupBy("node").agg(F.first("members").alias("members"), F.first("_n").alias("_n"))
+    return stored(sets, "members")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """Stored (a, b) whose exact Jaccard reaches the threshold; b may be part of very many pairs."""
     likely = stored(_estimated(pairs, nodes, percent / 100), "likely")
-    degrees = likely.groupBy("b").agg(F.count(F.lit(1)).alias("_n"))
-    right = stored(
-        degrees.join(sets.select(F.col("node").alias("b"), F.col("members").alias("members_b")), "b"), "members"
-    )
+    sets = _whole_sets(docs, likely, nodes, width)
+    right = sets.where("_n > 0").select(F.col("node").alias("b"), F.col("members").alias("members_b"), "_n")
     sided = likely.join(sets.select(F.col("node").alias("a"), F.col("members").alias("members_a")), "a")
     whole = attach(sided, right, "b", "_n", "a", "inner")
     return stored(whole.mapInArrow(partial(_confirm_batches, percent=percent), "a bigint, b bigint"), "links")
@@ -236,13 +247,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nodes = set_nodes(rows)
     lists = rare_lists(nodes, percent / 100)
 
-    listed = lists.select("node").distinct().join(nodes.select("node", "set_key", "doc_id"), "node")
-    listed = stored(listed, "listed")
-    texts = keep_where(docs.select("doc_id", "text"), listed, "doc_id", "left_semi").select("text")
-    found = texts.mapInArrow(partial(_set_batches, width=width), "set_key binary, members binary")
-    sets = listed.join(found, "set_key").groupBy("node").agg(F.first("members").alias("members"))
-    sets = stored(sets, "members")
-
     links, roots = None, None
     for turn in range(STARS + 1):
         labelled = stored(_labelled(lists, roots), "labelled")
@@ -250,7 +254,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
             break
-        fresh = _verified(pairs, nodes, sets, percent)
+        fresh = _verified(docs, pairs, nodes, width, percent)
         links = fresh if links is None else links.unionByName(fresh)
         roots = connected(links)
 
