@@ -60,9 +60,9 @@ def _known_role(role: Column) -> Column:
     return out
 
 
-def _turns(items: Column, role: str, text: str) -> Callable[[DataFrame], DataFrame]:
+def _turns(items: str, role: str, text: str) -> Callable[[DataFrame], DataFrame]:
     def to_rows(df: DataFrame) -> DataFrame:
-        return df.select("conv_id", F.posexplode(items).alias("turn", "_t")).select(
+        return df.select("conv_id", F.posexplode(F.col(items)).alias("turn", "_t")).select(
             "conv_id", F.col("turn").cast("bigint").alias("turn"),
             _known_role(F.col("_t")[role]).alias("role"), F.col("_t")[text].alias("text"),
         )
@@ -77,7 +77,7 @@ def _exchange(prompt: list[str], answer: str) -> Callable[[DataFrame], DataFrame
             F.struct(F.lit("user").alias("role"), asked.alias("text")),
             F.struct(F.lit("assistant").alias("role"), F.col(answer).alias("text")),
         )
-        return _turns(both, "role", "text")(df.select("conv_id", *prompt, answer))
+        return _turns("_both", "role", "text")(df.select("conv_id", both.alias("_both")))
 
     return to_rows
 
@@ -85,8 +85,8 @@ def _exchange(prompt: list[str], answer: str) -> Callable[[DataFrame], DataFrame
 # Layouts by their field paths: columns a layout is known by, and its mapping to rows by turn.
 LAYOUTS: list[tuple[list[str], Callable[[DataFrame], DataFrame]]] = [
     (["conv_id", "role", "text", "turn"], lambda df: df.select("conv_id", F.col("turn").cast("bigint").alias("turn"), "role", "text")),
-    (["conv_id", "messages[].content", "messages[].role"], _turns(F.col("messages"), "role", "content")),
-    (["conv_id", "conversations[].from", "conversations[].value"], _turns(F.col("conversations"), "from", "value")),
+    (["conv_id", "messages[].content", "messages[].role"], _turns("messages", "role", "content")),
+    (["conv_id", "conversations[].from", "conversations[].value"], _turns("conversations", "from", "value")),
     (["completion", "conv_id", "prompt"], _exchange(["prompt"], "completion")),
     (["conv_id", "prompt", "response"], _exchange(["prompt"], "response")),
     (["conv_id", "input", "instruction", "output"], _exchange(["instruction", "input"], "output")),
