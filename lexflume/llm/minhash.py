@@ -132,7 +132,7 @@ def set_nodes(rows: DataFrame) -> DataFrame:
 
 
 def rare_lists(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Stored (value, node): nodes under their rarest retained values.
+    """Stored (value, node): nodes under their rarest retained values, apart by bands of set sizes.
 
     Two sketches that share c values share one among the ``size - c + 1`` rarest of either. Values
     that one node alone holds are the rarest of all and need no list.
@@ -151,8 +151,11 @@ def rare_lists(nodes: DataFrame, threshold: float) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("df", "value"))).alias("held"), F.first("n").alias("n")
     )
     rarest = F.slice("held", 1, F.greatest(F.lit(0), size - bound + 1 - (size - F.size("held"))).cast("int"))
-    chosen = held.select("node", F.explode(F.transform(rarest, lambda x: x["value"])).alias("value"))
-    return stored(chosen, "lists")
+    # sets at the threshold differ in size by 1/threshold at most, so by one band: each node is listed in two
+    band = F.floor(F.log("n") / F.log(F.lit(1.0001 / threshold)))
+    chosen = held.select("node", band.alias("band"), F.explode(F.transform(rarest, lambda x: x["value"])).alias("value"))
+    banded = chosen.select("node", "value", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
+    return stored(banded.select("node", F.xxhash64("value", "band").alias("value")), "lists")
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
