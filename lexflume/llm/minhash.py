@@ -1,22 +1,24 @@
 """Near-duplicates of texts by bottom-k sketches of one hash function.
 
 A document's shingle hashes, sorted, are its set; the k smallest are its sketch. Inverted lists of
-retained values give overlapping sketches: every node enters only the lists of its rarest retained
-values, as many as are needed for any two sketches with the least overlap to meet in one list.
+retained values give overlapping sketches. A list is named by two retained values that are next to
+each other in a sketch: one value alone is held by a fixed share of unrelated documents, so its list
+would grow with the corpus. Nodes of small sets enter only the lists of their rarest neighbours.
 Lists are linked star-wise to a pivot, round by round; what stars leave open is compared member by
-member. The union sketch of a pair filters, and exact Jaccard on whole sets confirms.
+member, where sizes and 128 bits drawn from the same hashes rule most pairs out before they are
+written. The union sketch of the others filters, and exact Jaccard on whole sets confirms.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexflume.llm.relations import attach, connected, keep_where
@@ -24,8 +26,12 @@ from lexflume.llm.texts import lowered, pieces, words
 from lexflume.session import stored
 
 SKETCH = 48
+# From this similarity on, two sketches share two neighbouring values but for a chance below 3e-10 (1e-14 at 0.8).
+LEAST_PERCENT = 70
 # Chance that a pair at exactly the threshold shares fewer retained values than asked for.
 MISS = 1e-10
+# One bit of the smallest hash of each of so many slices of a set; two longs hold them.
+SLICES = 128
 # Star rounds before open lists are compared member by member.
 STARS = 1
 WORD_SEED = 7
@@ -51,6 +57,29 @@ def shingle_set(text: bytes, width: int) -> np.ndarray:
     return np.unique((out >> np.uint64(1)).astype(np.int64))
 
 
+def slice_bits(members: np.ndarray) -> np.ndarray:
+    """Two longs: for each slice of a set (its hashes by their low bits), one bit of the slice's smallest hash."""
+    slices, smallest = np.unique(members & (SLICES - 1), return_index=True)
+    bits = np.zeros(SLICES, np.uint8)
+    bits[slices] = (members[smallest] >> 7) & 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def most_bits_apart(threshold: float) -> int:
+    """Smallest x so that more than x slice bits of two sets at the threshold differ with chance <= MISS.
+
+    A slice's smallest hash is in one set only with chance ``1 - threshold`` and then differs in its bit
+    half of the time. Sets of few members differ in no more slices than members.
+    """
+    p, total, x = (1 - threshold) / 2, 0.0, SLICES
+    while x > 0:
+        total += comb(SLICES, x) * p**x * (1 - p) ** (SLICES - x)
+        if total > MISS:
+            break
+        x -= 1
+    return x
+
+
 def least_overlap(threshold: float, k: int = SKETCH) -> int:
     """Largest c so that two full sketches of sets at the threshold share fewer than c values with chance <= MISS.
 
@@ -68,14 +97,17 @@ def least_overlap(threshold: float, k: int = SKETCH) -> int:
 def _profile_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
         sets = [shingle_set(t, width) for t in lowered(batch.column(1))]
+        bits = np.array([slice_bits(s) for s in sets], np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64())),
+                pa.array(bits[:, 0]),
+                pa.array(bits[:, 1]),
             ],
-            names=["doc_id", "n", "set_key", "sketch"],
+            names=["doc_id", "n", "set_key", "sketch", "bits0", "bits1"],
         )
 
 
@@ -103,14 +135,14 @@ def _confirm_batches(batches: Iterable[pa.RecordBatch], percent: int) -> Iterato
 
 
 def profiles(docs: DataFrame, width: int) -> DataFrame:
-    """Stored (doc_id, n, set_key, sketch) of every row."""
+    """Stored (doc_id, n, set_key, sketch, bits0, bits1) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n bigint, set_key binary, sketch array<bigint>"
+    schema = f"doc_id {kind}, n bigint, set_key binary, sketch array<bigint>, bits0 bigint, bits1 bigint"
     return stored(docs.select("doc_id", "text").mapInArrow(partial(_profile_batches, width=width), schema), "profiles")
 
 
 def set_nodes(rows: DataFrame) -> DataFrame:
-    """Stored nodes, one per distinct non-empty set: node, set_key, doc_id (smallest), n, sketch, copies.
+    """Stored nodes, one per distinct non-empty set: node, set_key, doc_id (smallest), n, sketch, bits0, bits1, copies.
 
     A node is named by its smallest doc_id; where that is null or names several sets, by a negative
     digest of the set.
@@ -118,7 +150,7 @@ def set_nodes(rows: DataFrame) -> DataFrame:
     grouped = rows.where("n > 0").groupBy("set_key").agg(
         F.min("doc_id").alias("doc_id"),
         F.first("n").alias("n"),
-        F.first("sketch").alias("sketch"),
+        *[F.first(c).alias(c) for c in ("sketch", "bits0", "bits1")],
         F.count(F.lit(1)).alias("copies"),
     )
     grouped = stored(grouped, "sets")
@@ -132,30 +164,37 @@ def set_nodes(rows: DataFrame) -> DataFrame:
 
 
 def rare_lists(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Stored (value, node): nodes under their rarest retained values, apart by bands of set sizes.
+    """Stored (value, node, n, bits0, bits1): nodes under their pairs of neighbouring retained values.
 
-    Two sketches that share c values share one among the ``size - c + 1`` rarest of either. Values
-    that one node alone holds are the rarest of all and need no list.
+    Of m common and d other values in hash order, at least m - d - 1 neighbours are both common.
+    Where every partner's sketch is its whole set, that makes ``2 * (1 - threshold) * n + 1`` of a
+    node's rarest neighbours enough; larger sets are listed under all of theirs. Neighbours that
+    one node alone holds are the rarest of all and need no list.
     """
-    postings = nodes.select("node", "n", F.explode("sketch").alias("value"))
+    # a sketch of one value has no neighbours, and at the threshold no partner but its equals
+    heads = F.slice("sketch", 1, F.size("sketch") - 1)
+    neighbours = F.transform(heads, lambda x, i: F.xxhash64(x, F.get("sketch", i + 1)))
+    postings = nodes.select("node", F.explode(neighbours).alias("value"))
     lists = stored(
         postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1").withColumn("_n", F.col("df")),
         "frequencies",
     )
     shared = attach(postings, lists, "value", "_n", "node", "inner")
-    size = F.least(F.col("n"), F.lit(SKETCH))
-    exact = F.ceil(F.col("n") * threshold - 1e-9)
-    # up to this size every partner's sketch is its whole set, and the bound on the overlap is exact
-    bound = F.when(F.col("n") <= int(SKETCH * threshold), exact).otherwise(F.lit(least_overlap(threshold)))
-    held = shared.groupBy("node").agg(
-        F.array_sort(F.collect_list(F.struct("df", "value"))).alias("held"), F.first("n").alias("n")
-    )
-    rarest = F.slice("held", 1, F.greatest(F.lit(0), size - bound + 1 - (size - F.size("held"))).cast("int"))
-    # sets at the threshold differ in size by 1/threshold at most, so by one band: each node is listed in two
-    band = F.floor(F.log("n") / F.log(F.lit(1.0001 / threshold)))
-    chosen = held.select("node", band.alias("band"), F.explode(F.transform(rarest, lambda x: x["value"])).alias("value"))
-    banded = chosen.select("node", "value", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
-    return stored(banded.select("node", F.xxhash64("value", "band").alias("value")), "lists")
+    held = shared.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("held"))
+    held = held.join(nodes.select("node", "n", "bits0", "bits1"), "node")
+    every = F.least(F.col("n"), F.lit(SKETCH)) - 1
+    enough = F.floor(F.col("n") * (2 * (1 - threshold)) + 1e-9) + 1
+    wanted = F.when(F.col("n") <= int(SKETCH * threshold), F.least(every, enough)).otherwise(every)
+    rarest = F.slice("held", 1, F.greatest(F.lit(0), wanted - (every - F.size("held"))).cast("int"))
+    values = F.explode(F.transform(rarest, lambda x: x["value"])).alias("value")
+    return stored(held.select("node", "n", "bits0", "bits1", values), "lists")
+
+
+def _alike(a: Callable[[str], Column], b: Callable[[str], Column], threshold: float) -> Column:
+    """Whether sizes and slice bits of two list members allow a pair at the threshold."""
+    sizes = F.least(a("n"), b("n")) >= F.greatest(a("n"), b("n")) * threshold - 1e-9
+    apart = F.bit_count(a("bits0").bitwiseXOR(b("bits0"))) + F.bit_count(a("bits1").bitwiseXOR(b("bits1")))
+    return sizes & (apart <= most_bits_apart(threshold))
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -206,33 +245,41 @@ def _labelled(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
     return lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _stars(labelled: DataFrame, first: bool) -> DataFrame:
+def _stars(labelled: DataFrame, first: bool, threshold: float) -> DataFrame:
     """(a, b): members of every open list with its pivot b, a member of the list's last open component."""
+    traits = ("n", "bits0", "bits1")
     heads = labelled.groupBy("value").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("root").alias("low"),
         F.max("root").alias("high"),
-        F.min(F.struct("root", "node")).alias("least"),
-        F.max(F.struct("root", "node")).alias("most"),
+        F.min(F.struct("root", "node", *traits)).alias("least"),
+        F.max(F.struct("root", "node", *traits)).alias("most"),
     )
     pivot = F.col("least") if first else F.col("most")
     heads = stored(
-        heads.where("low < high").select("value", "_n", pivot["root"].alias("at"), pivot["node"].alias("b")), "heads"
+        heads.where("low < high").select(
+            "value", "_n", pivot["root"].alias("at"), pivot["node"].alias("b"), *[pivot[t].alias(f"at_{t}") for t in traits]
+        ),
+        "heads",
     )
     open_pairs = attach(labelled, heads, "value", "_n", "node", "inner").where(F.col("root") != F.col("at"))
+    open_pairs = open_pairs.where(_alike(F.col, lambda c: F.col(f"at_{c}"), threshold))
     return open_pairs.select(F.col("node").alias("a"), "b").distinct()
 
 
-def _members(labelled: DataFrame) -> DataFrame:
-    """(a, b): all pairs of an open list from different components, one end outside the list's largest component."""
+def _members(labelled: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): likely pairs of an open list from different components, one end outside the list's largest component."""
     counted = labelled.groupBy("value", "root").agg(F.count(F.lit(1)).alias("c"))
     lists = counted.groupBy("value").agg(
         F.max_by("root", F.struct("c", "root")).alias("main"), F.count(F.lit(1)).alias("k"), F.sum("c").alias("_n")
     )
     lists = stored(lists.where("k > 1").select("value", "main", "_n"), "open")
     inside = stored(attach(labelled, lists, "value", "_n", "node", "inner"), "inside")
-    outer = inside.where("root != main").select("value", F.col("node").alias("x"), F.col("root").alias("rx"))
+    outer = inside.where("root != main").select(
+        "value", F.col("node").alias("x"), F.col("root").alias("rx"), *[F.col(t).alias(f"x_{t}") for t in ("n", "bits0", "bits1")]
+    )
     met = inside.join(outer, "value").where("root != rx AND (root = main OR node < x)")
+    met = met.where(_alike(F.col, lambda c: F.col(f"x_{c}"), threshold))
     return met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
 
 
@@ -244,8 +291,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     the component is named by its smallest doc_id. Defined cases: a null, empty or wordless text
     has the empty set and links with nothing; a text of fewer words than ``width`` is one shingle;
     equal sets are one node however many copies there are; a null doc_id never names a component
-    that has another; repeated rows get equal results; no row is left out.
+    that has another; repeated rows get equal results; no row is left out. ``percent`` is
+    LEAST_PERCENT or more.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"percent must be at least {LEAST_PERCENT}, not {percent}")
     rows = profiles(docs, width)
     nodes = set_nodes(rows)
     lists = rare_lists(nodes, percent / 100)
@@ -253,7 +303,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links, roots = None, None
     for turn in range(STARS + 1):
         labelled = stored(_labelled(lists, roots), "labelled")
-        pairs = _members(labelled) if turn == STARS else _stars(labelled, turn == 0)
+        pairs = _members(labelled, percent / 100) if turn == STARS else _stars(labelled, turn == 0, percent / 100)
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
             break
