@@ -35,13 +35,16 @@ def confusion(df: DataFrame, by: By = ()) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, by: By = ()) -> DataFrame:
-    """Rows are true classes, columns predicted ones, by name."""
+    """Rows are true classes, columns predicted ones, by name; ``pred_other`` counts null and unknown predictions.
+
+    Rows of null or unknown true classes are one row with a null name.
+    """
     cells = [
         F.sum(F.when(F.col("pred") == c, F.col("n")).otherwise(0)).alias(f"pred_{CLASS_NAMES[c]}") for c in CLASS_IDS
     ]
-    matrix = confusion(df, by).groupBy(*by, "label").agg(*cells)
-    predicted = [f"pred_{CLASS_NAMES[c]}" for c in CLASS_IDS]
-    return matrix.select(*by, class_name(F.col("label")).alias("true_label"), *predicted)
+    known = F.coalesce(F.col("pred").isin(*CLASS_IDS), F.lit(False))
+    other = F.sum(F.when(known, 0).otherwise(F.col("n"))).alias("pred_other")
+    return confusion(df, by).groupBy(*by, class_name(F.col("label")).alias("true_label")).agg(*cells, other)
 
 
 def accuracy(conf: DataFrame, by: By = ()) -> DataFrame:
@@ -121,9 +124,11 @@ def classification_metrics(conf: DataFrame, by: By = ()) -> DataFrame:
 def latency(df: DataFrame, by: By = (), seconds: str = "batch_seconds", rows: str = "batch_n") -> DataFrame:
     """Mean and P95 of seconds per row *over batches*, in milliseconds.
 
-    Every batch weighs the same, also a short last one; P95 interpolates.
+    Every batch weighs the same, also a short last one; P95 interpolates. Batches
+    without rows and null or NaN times are left out of both.
     """
-    per_row = df.select(*by, (F.col(seconds) / F.col(rows)).alias("s"))
+    timed = F.try_divide(F.col(seconds).cast("double"), F.col(rows))
+    per_row = df.select(*by, F.when(~F.isnan(timed), timed).alias("s"))
     mean = per_row.groupBy(*by).agg((F.avg("s") * 1000).alias("mean_latency_ms"))
     high = exact_quantiles(value_counts(per_row, "s", by), "s", {"p95": 0.95}, by)
     return merge_rows([mean, high.select(*by, (F.col("p95") * 1000).alias("p95_latency_ms"))], by)
@@ -181,8 +186,8 @@ def rouge_l(df: DataFrame, key: By = ("pair_id",), stem: bool = False) -> DataFr
     return _with_tokens(df, stem).select(*key, _rouge_l())
 
 
-def rouge_report(df: DataFrame, by: By = (), stem: bool = False) -> DataFrame:
-    """Mean ROUGE-1, ROUGE-2 and ROUGE-L and the number of pairs, in one pass."""
+def rouge_report(df: DataFrame, by: By = (), stem: bool = True) -> DataFrame:
+    """Mean ROUGE-1, ROUGE-2 and ROUGE-L and the number of pairs, in one pass; published figures use stems."""
     scores = _with_tokens(df, stem).select(*by, _rouge_n(1), _rouge_n(2), _rouge_l())
     means = [F.avg(c).alias(c) for c in ("rouge1", "rouge2", "rougeL")]
     return scores.groupBy(*by).agg(*means, F.count(F.lit(1)).alias("num_samples_evaluated"))

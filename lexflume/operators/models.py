@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -31,16 +31,31 @@ def train_classifier(
     label: str = "label",
     grid: Sequence[float] = GRID,
     max_iter: int = 20,
+    features: int = FEATURES,
 ) -> PipelineModel:
-    """Three-class text classifier; the setting with the lowest validation loss wins.
+    """Three-class text classifier; the setting with the lowest validation loss wins."""
+    return train_with_history(train, validation, text, label, grid, max_iter, features)[0]
+
+
+def train_with_history(
+    train: DataFrame,
+    validation: DataFrame,
+    text: str = "text",
+    label: str = "label",
+    grid: Sequence[float] = GRID,
+    max_iter: int = 20,
+    features: int = FEATURES,
+) -> tuple[PipelineModel, DataFrame]:
+    """The classifier and its history: one row (setting, strength, validation_loss, chosen) per setting tried.
 
     Gradients are summed on the executors; only coefficients (classes x
-    ``FEATURES``) reach the driver. Terms are hashed once for all settings.
+    ``features``) reach the driver. Terms are hashed once for all settings; with
+    more distinct terms than ``features`` some share a column.
     """
     hashed = PipelineModel(
         stages=[
             RegexTokenizer(inputCol=text, outputCol="_terms", pattern="[^a-z0-9]+", minTokenLength=1),
-            HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=FEATURES),
+            HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=features),
         ]
     )
 
@@ -49,18 +64,34 @@ def train_classifier(
         return hashed.transform(known).select(label, "_tf").persist(StorageLevel.MEMORY_AND_DISK)
 
     seen, held_out = prepared(train), prepared(validation)
-    scaled = IDF(inputCol="_tf", outputCol="features").fit(seen)
     loss = MulticlassClassificationEvaluator(labelCol=label, metricName="logLoss")
-    best, best_loss = None, float("inf")
-    for strength in grid:
-        learner = LogisticRegression(labelCol=label, family="multinomial", maxIter=max_iter, regParam=strength)
-        fitted = learner.fit(scaled.transform(seen))
-        found = loss.evaluate(fitted.transform(scaled.transform(held_out)))
-        if best is None or found < best_loss:
-            best, best_loss = fitted, found
-    seen.unpersist()
-    held_out.unpersist()
-    return PipelineModel(stages=[*hashed.stages, scaled, best])
+    try:
+        scaled = IDF(inputCol="_tf", outputCol="features").fit(seen)
+        tried = []
+        for strength in grid:
+            learner = LogisticRegression(labelCol=label, family="multinomial", maxIter=max_iter, regParam=strength)
+            fitted = learner.fit(scaled.transform(seen))
+            tried.append((loss.evaluate(fitted.transform(scaled.transform(held_out))), fitted))
+    finally:
+        seen.unpersist()
+        held_out.unpersist()
+    best = min(range(len(tried)), key=lambda i: tried[i][0])
+    history = train.sparkSession.createDataFrame(
+        [(i + 1, float(strength), found, i == best) for i, (strength, (found, _)) in enumerate(zip(grid, tried, strict=True))],
+        "setting int, strength double, validation_loss double, chosen boolean",
+    )
+    return PipelineModel(stages=[*hashed.stages, scaled, tried[best][1]]), history
+
+
+def write_model(model: PipelineModel, history: DataFrame, path: str) -> None:
+    """Keep a trained classifier under ``<path>/model`` and its history under ``<path>/history``."""
+    model.write().overwrite().save(f"{path}/model")
+    history.write.mode("overwrite").parquet(f"{path}/history")
+
+
+def read_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
+    """What ``write_model`` kept."""
+    return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/history")
 
 
 def score_classifier(df: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:

@@ -53,11 +53,17 @@ def compare_runs(metrics: DataFrame, base: str, tuned: str) -> DataFrame:
     """Baseline and tuned value and their difference per task and metric.
 
     A metric one of the two runs lacks is left out, as is a whole missing task.
+    Two records of one run and task fail: their metrics belong to different models.
     """
     wanted = [
         (F.col("task") == task) & F.col("metric").isin(*names) for task, names in COMPARED_METRICS.items()
     ]
-    value_of = lambda run: F.max(F.when(F.col("run_id") == run, F.col("value")))
+
+    def value_of(run: str) -> Column:
+        own = F.when(F.col("run_id") == run, F.col("value"))
+        several = F.raise_error(F.lit(f"several records of run {run}")).cast("double")
+        return F.when(F.count(own) > 1, several).otherwise(F.max(own))
+
     columns = sorted({m for names in COMPARED_METRICS.values() for m in names} & set(metrics.columns))
     return (
         metrics_long(metrics.where(F.col("run_id").isin(base, tuned)), columns)
@@ -80,7 +86,7 @@ def sentiment_record(conf: DataFrame, batches: DataFrame, run: dict[str, object]
 
 
 def keyword_record(
-    pairs: DataFrame, batches: DataFrame, run: dict[str, object], by: By = (), stem: bool = False
+    pairs: DataFrame, batches: DataFrame, run: dict[str, object], by: By = (), stem: bool = True
 ) -> DataFrame:
     """All metrics of a keyword run as one typed row."""
     return _described(merge_rows([rouge_report(pairs, by, stem), latency(batches, by)], by), "keyword", run)

@@ -37,6 +37,7 @@ def confusion(v: Views) -> DataFrame:
         f"CAST(sum(n) FILTER (WHERE pred = {i}) AS BIGINT) AS pred_{name}"
         for i, name in enumerate(("negative", "neutral", "positive"))
     )
+    + ", CAST(coalesce(sum(n) FILTER (WHERE pred IS NULL OR pred NOT IN (0, 1, 2)), 0) AS BIGINT) AS pred_other"
     + f" FROM ({_GRID}) GROUP BY label",
     views=("scored",),
 )
@@ -179,7 +180,7 @@ REPORT_SQL = (
     views=("pairs",),
 )
 def rouge_report(v: Views) -> DataFrame:
-    return _rounded(evaluate.rouge_report(v.pairs()), "rouge1", "rouge2", "rougeL")
+    return _rounded(evaluate.rouge_report(v.pairs(), stem=False), "rouge1", "rouge2", "rougeL")
 
 
 @registered()

@@ -207,8 +207,8 @@ class Views:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        """A given table; those with long texts are dealt to all cores when small."""
-        return read_table(self.spark, self.folder, name, spread=name in ("documents", "conversations"))
+        """A given table."""
+        return read_table(self.spark, self.folder, name)
 
     def sent(self) -> DataFrame:
         label = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).otherwise(1)

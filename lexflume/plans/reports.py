@@ -85,7 +85,7 @@ def evaluation_record(v: Views) -> DataFrame:
 )
 def keyword_record(v: Views) -> DataFrame:
     run = {"model": "next turn", "type": "baseline"}
-    record = report.keyword_record(v.pairs(), v.batches(), run)
+    record = report.keyword_record(v.pairs(), v.batches(), run, stem=False)
     return _rounded(record, "rouge1", "rouge2", "rougeL", "mean_latency_ms", "p95_latency_ms")
 
 

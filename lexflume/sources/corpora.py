@@ -26,13 +26,20 @@ KEYWORD_SCHEMA = T.StructType(
 SCHEMAS = {"sentiment": SENTIMENT_SCHEMA, "keywords": KEYWORD_SCHEMA}
 
 # Quotes are doubled and every field is quoted, so texts keep quotes, backslashes and newlines.
+# A row that does not fit its file's header ends the read; so does a file whose header differs from the first one's.
 _CSV = {"header": "true", "escape": '"', "encoding": "UTF-8"}
+_CSV_IN = {**_CSV, "mode": "FAILFAST", "enforceSchema": "false"}
 _CSV_OUT = {**_CSV, "quoteAll": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """Columns of ``schema`` by the names in the header; one the files lack is null, a value of another type fails."""
     # A multi-line CSV file is read by one task: many part files keep the read parallel.
-    return spark.read.schema(schema).options(multiLine=str(multi_line).lower(), **_CSV).csv(path)
+    found = spark.read.options(multiLine=str(multi_line).lower(), **_CSV_IN).csv(path)
+    given = set(found.columns)
+    return found.select(
+        *[(F.col(f"`{f.name}`") if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
 
 
 def _fill_keywords(df: DataFrame) -> DataFrame:
@@ -51,8 +58,8 @@ def read_split_csv(
 ) -> DataFrame:
     """``<path>/<task>_{train,val,test}.csv`` as one frame with a ``split`` column.
 
-    Each name may be one file or a folder of part files. The schema is stated,
-    never inferred; columns that are not used are not parsed.
+    Each name may be one file or a folder of part files. Columns are taken by the
+    names in the header, in any order, and cast to the stated types.
     """
     schema = schema or SCHEMAS[task]
     frames = {s: _read_csv(spark, f"{path}/{task}_{s}.csv", schema, multi_line) for s in SPLITS}
@@ -132,4 +139,4 @@ def write_manifest(df: DataFrame, meta: dict[str, object], path: str) -> None:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The stored manifest records."""
-    return spark.read.schema(MANIFEST_SCHEMA).json(path)
+    return spark.read.schema(MANIFEST_SCHEMA).option("mode", "FAILFAST").json(path)

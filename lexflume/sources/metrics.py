@@ -36,11 +36,12 @@ TASKS = ("sentiment", "keyword")
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Append metric records as JSON, one folder per task."""
+    """Store metric records as JSON, one folder per task and run; a run written again replaces its record."""
     typed = [
         F.col(f.name).cast(f.dataType).alias(f.name) for f in METRICS_SCHEMA.fields if f.name in metrics.columns
     ]
-    metrics.select(*typed).write.mode("append").partitionBy("task").json(path)
+    writer = metrics.select(*typed).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("task", "run_id").json(path)
 
 
 def read_metrics(spark: SparkSession, path: str, which: str = "both") -> DataFrame:
@@ -48,7 +49,7 @@ def read_metrics(spark: SparkSession, path: str, which: str = "both") -> DataFra
     if which not in (*TASKS, "both"):
         raise ValueError(f"which must be sentiment, keyword or both, not {which}")
     try:
-        stored = spark.read.schema(METRICS_SCHEMA).json(path)
+        stored = spark.read.schema(METRICS_SCHEMA).option("mode", "FAILFAST").json(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

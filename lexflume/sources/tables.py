@@ -2,30 +2,9 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A table below this size may sit in one row group, which one task has to read alone.
-SPREAD_BELOW_BYTES = 256 << 20
-
-
-@lru_cache(maxsize=256)
-def _stored_bytes(spark: SparkSession, path: str) -> int:
-    files = spark.read.format("binaryFile").load(path).select("length")
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-
 
-def read_table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
-    """``<folder>/<name>.parquet``.
 
-    ``spread`` deals the rows of a *small* table to all cores, for work that costs
-    far more than moving its rows (text processing). A large table has row groups
-    enough for every core and is left as it is.
-    """
-    path = f"{folder}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if spread and _stored_bytes(spark, path) < SPREAD_BELOW_BYTES:
-        return df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """``<folder>/<name>.parquet``, in the partitions its files and row groups give."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -42,10 +42,15 @@ def answer_sentiment(requests: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def answer_keywords(requests: DataFrame, idf: DataFrame) -> DataFrame:
-    """Answers to valid keyword requests; a text without terms gets an empty list."""
-    ranked = extract_keywords(requests, MAX_KEYWORDS, idf, key="request_id")
-    generated = keywords_per_document(ranked, "request_id").select("request_id", "generated")
-    joined = requests.select("request_id", "text", "max_keywords").join(generated, "request_id", "left")
+    """One answer per valid keyword request; a text without terms gets an empty list.
+
+    Keywords belong to the text and not to the id, which may be null or repeated:
+    each distinct text is worked on once.
+    """
+    keyed = requests.select("request_id", "text", "max_keywords", F.sha2("text", 256).alias("_text"))
+    ranked = extract_keywords(keyed.dropDuplicates(["_text"]), MAX_KEYWORDS, idf, key="_text")
+    generated = keywords_per_document(ranked, "_text").select("_text", "generated")
+    joined = keyed.join(generated, "_text", "left")
     answered = keywords_response(joined.withColumn("generated", F.coalesce("generated", F.lit(""))))
     return answered.select("request_id", F.col("preview").alias("text"), "keywords", "keywords_string")
 
@@ -64,11 +69,13 @@ def _run(
 ) -> StreamingQuery:
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         checked = validate_requests(batch, task).persist(StorageLevel.MEMORY_AND_DISK)
-        valid = checked.where("is_valid").drop("is_valid", "reasons")
-        answer(valid).write.mode("overwrite").json(f"{out}/answers/batch={batch_id}")
-        rejected = checked.where("NOT is_valid").select("request_id", "text", "reasons")
-        rejected.write.mode("overwrite").json(f"{out}/rejects/batch={batch_id}")
-        checked.unpersist()
+        try:
+            valid = checked.where("is_valid").drop("is_valid", "reasons")
+            answer(valid).write.mode("overwrite").json(f"{out}/answers/batch={batch_id}")
+            rejected = checked.where("NOT is_valid").select("request_id", "text", "reasons")
+            rejected.write.mode("overwrite").json(f"{out}/rejects/batch={batch_id}")
+        finally:
+            checked.unpersist()
 
     return (
         requests.writeStream.foreachBatch(one_batch)

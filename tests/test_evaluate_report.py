@@ -59,9 +59,9 @@ def test_single_metrics_agree_with_the_record(judged):
 
 
 def test_confusion_matrix(frame):
-    df = frame([(0, 0), (0, 1), (1, 2)], "label int, pred int")
-    assert rows(evaluate.confusion_matrix(df), "true_label", "pred_negative", "pred_neutral", "pred_positive") == [
-        ("negative", 1, 1, 0), ("neutral", 0, 0, 1), ("positive", 0, 0, 0),
+    df = frame([(0, 0), (0, 1), (1, 2), (0, 5), (0, None)], "label int, pred int")
+    assert rows(evaluate.confusion_matrix(df), "true_label", "pred_negative", "pred_neutral", "pred_positive", "pred_other") == [
+        ("negative", 1, 1, 0, 2), ("neutral", 0, 0, 1, 0), ("positive", 0, 0, 0, 0),
     ]
 
 
@@ -74,6 +74,20 @@ def test_latency_weighs_batches_not_rows(frame):
     assert found["s"]["p95_latency_ms"] == pytest.approx(250)
 
 
+def test_latency_leaves_out_empty_batches_and_missing_times(frame):
+    batches = [("r", 0.4, 16), ("r", 0.8, 0), ("r", float("nan"), 4), ("r", None, 4)]
+    row = evaluate.latency(frame(batches, "run string, batch_seconds double, batch_n int"), ["run"]).first()
+    assert (row["mean_latency_ms"], row["p95_latency_ms"]) == (pytest.approx(25), pytest.approx(25))
+
+
+def test_two_records_of_a_run_are_not_compared(frame):
+    records = [("base", "sentiment", 0.5), ("tuned", "sentiment", 0.9), ("tuned", "sentiment", 0.6)]
+    df = frame(records, "run_id string, task string, accuracy double")
+    with pytest.raises(Exception, match="several records of run tuned"):
+        report.compare_runs(df, "base", "tuned").collect()
+    assert report.compare_runs(df.where("accuracy <> 0.6"), "base", "tuned").first()["difference"] == pytest.approx(0.4)
+
+
 def test_references(frame):
     refs = [(1, " a -100"), (2, "-100 -100"), (3, ""), (4, "b"), (5, None)]
     df = frame(refs, "id int, reference string")
@@ -110,7 +124,7 @@ def test_rouge_against_brute_force(frame):
         assert r1[i] == pytest.approx(r1[39 - i])
     assert (r1[100], rl[100], r1[102]) == (0.0, 0.0, 0.0)
     assert (r1[101], r2[101], rl[101]) == (1.0, 1.0, 1.0)
-    report_row = evaluate.rouge_report(df).first()
+    report_row = evaluate.rouge_report(df, stem=False).first()
     assert report_row["rougeL"] == pytest.approx(np.mean(list(rl.values())))
     assert report_row["num_samples_evaluated"] == len(pairs)
 
@@ -225,7 +239,7 @@ def test_records(frame):
     row = report.sentiment_record(evaluate.confusion(judged), batches, {"model": "m", "epochs": 3}).first()
     assert (row["task"], row["model"], row["epochs"], row["accuracy"], row["mean_latency_ms"]) == ("sentiment", "m", 3, 0.5, 500.0)
     pairs = frame([(1, "a b", "a b")], "pair_id int, reference string, prediction string")
-    row = report.keyword_record(pairs, batches, {"model": "k"}).first()
+    row = report.keyword_record(pairs, batches, {"model": "k"}, stem=False).first()
     assert (row["rouge1"], row["rougeL"], row["num_samples_evaluated"], row["p95_latency_ms"]) == (1.0, 1.0, 1, 500.0)
 
 

@@ -50,6 +50,37 @@ def test_single_csv_files_and_empty_keywords(spark, tmp_path):
     assert found.where("document = 'a \"b\"\\nc'").count() == 3
 
 
+def test_csv_columns_go_by_name_and_bad_values_fail(spark, tmp_path):
+    for split in ("train", "val", "test"):
+        (tmp_path / f"sentiment_{split}.csv").write_text("label,text,label_name\n0,a,negative\n")
+        (tmp_path / f"keywords_{split}.csv").write_text("document,keywords_list\nd,['x']\n")
+    assert as_rows(corpora.read_split_csv(spark, str(tmp_path), "sentiment"))[0] == ("a", 0, "negative", "test")
+    row = corpora.read_split_csv(spark, str(tmp_path), "keywords").first()
+    assert (row["document"], row["keywords_str"], row["keywords_list"]) == ("d", "", "['x']")
+    (tmp_path / "sentiment_val.csv").write_text("label,text,label_name\nzero,a,negative\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        corpora.read_split_csv(spark, str(tmp_path), "sentiment").collect()
+
+
+def test_keyword_answers_of_null_and_repeated_ids(spark, frame):
+    texts = [("a", "red red fox", 5), ("a", "blue sky", 5), (None, "green", 5), ("b", "...", 5)]
+    asked = frame(texts, "request_id string, text string, max_keywords int")
+    idf = models.idf_table(frame([("red fox",), ("blue",), ("green",)], "text string"))
+    got = {(r["request_id"], r["text"]): sorted(r["keywords"]) for r in streams.answer_keywords(asked, idf).collect()}
+    assert got == {("a", "red red fox"): ["fox", "red"], ("a", "blue sky"): ["blue", "sky"], (None, "green"): ["green"], ("b", "..."): []}
+
+
+def test_model_is_kept_with_its_history(spark, frame, tmp_path):
+    docs = frame([("good fine", 2), ("bad awful", 0), ("so so", 1)] * 5, "text string, label int")
+    model, history = models.train_with_history(docs, docs, grid=(0.1, 0.5), max_iter=5, features=256)
+    models.write_model(model, history, str(tmp_path / "kept"))
+    again, rows = models.read_model(spark, str(tmp_path / "kept"))
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, history.collect()))
+    assert history.where("chosen").count() == 1
+    before, after = (sorted(map(str, models.score_classifier(docs, m).collect())) for m in (model, again))
+    assert before == after
+
+
 def test_manifest(spark, corpus, tmp_path):
     corpora.write_manifest(corpus, {"random_seed": 42, "classes": ["a", "b"]}, str(tmp_path / "m"))
     row = corpora.read_manifest(spark, str(tmp_path / "m")).first()
@@ -65,6 +96,9 @@ def test_metrics_store(spark, frame, tmp_path):
     metrics.write_metrics(frame([("r2", "keyword", 0.25)], "run_id string, task string, rouge1 double"), path)
     assert metrics.read_metrics(spark, path).count() == 2
     assert [r["rouge1"] for r in metrics.read_metrics(spark, path, "keyword").collect()] == [0.25]
+    metrics.write_metrics(frame([("r1", "sentiment", 0.75)], "run_id string, task string, accuracy double"), path)
+    found = metrics.read_metrics(spark, path)
+    assert sorted((r["run_id"], r["accuracy"]) for r in found.collect()) == [("r1", 0.75), ("r2", None)]
     with pytest.raises(ValueError):
         metrics.read_metrics(spark, path, "other")
 
