@@ -1,4 +1,4 @@
-"""The methods themselves against brute force, without Spark."""
+"""The methods themselves against brute force."""
 
 import numpy as np
 import public_tokenizers
@@ -71,3 +71,46 @@ def test_model_probabilities_sum_to_one():
     model = lm.Bilinear.fresh(np.log(np.full(lm.CLASSES, 1 / lm.CLASSES)))
     before = np.tile([[3, 7]], (lm.CLASSES, 1))
     assert np.exp(model.log_probabilities(before, np.arange(lm.CLASSES))).sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_slice_bits_of_alike_and_unlike_sets():
+    rng = np.random.default_rng(3)
+
+    def apart(a, b):
+        x = minhash.slice_bits(np.sort(a)) ^ minhash.slice_bits(np.sort(b))
+        return int(np.unpackbits(x.view(np.uint8)).sum())
+
+    limit = minhash.most_bits_apart(0.8)
+    far = []
+    for n in (1, 5, 40, 300, 5000):
+        for _ in range(20):
+            both = rng.integers(0, 2**62, n)
+            more = rng.integers(0, 2**62, n // 4)
+            assert apart(both, np.concatenate([both, more])) <= limit
+            far.append((n, apart(both, rng.integers(0, 2**62, n))))
+    assert min(d for n, d in far if n >= 300) > limit
+    assert minhash.slice_bits(np.empty(0, np.int64)).tolist() == [0, 0]
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    texts = []
+    for n in (1, 2, 3, 6, 12, 30, 60, 90, 400):
+        base = [f"w{x}" for x in rng.integers(0, 300, n)]
+        for changes in (0, 0, 1, 2, n // 20, n // 8):
+            words = list(base)
+            for at in rng.integers(0, n, changes):
+                words[at] = f"x{rng.integers(0, 9)}"
+            texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sets = [set(minhash.shingle_set(t.encode(), 2).tolist()) for t in texts]
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 80 * len(a | b):
+                    root[i] = root[j] = min(root[i], root[j])
+    found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2).collect()}
+    assert found == dict(enumerate(root))
+    with pytest.raises(ValueError):
+        minhash.near_duplicates(docs, 2, 60)
