@@ -50,8 +50,14 @@ def split_keywords(col: Column, k: Column | int | None = None) -> Column:
 
 
 def parse_keyword_list(col: Column) -> Column:
-    """List literal such as ``['a', "b"]`` to array; whatever cannot be read gives ``[]``."""
-    whole = F.when(col.rlike(r"(?s)^\s*\[.*\]\s*$"), col)
+    """List literal such as ``['a', "b",]`` to array; whatever cannot be read gives ``[]``.
+
+    ``\\xHH`` and ``\\U0000HHHH`` are read as the code points they name; longer ones and
+    ``None`` items cannot be read.
+    """
+    named = F.regexp_replace(col, r"(?<!\\)((?:\\\\)*)\\x([0-9A-Fa-f]{2})", r"$1\\u00$2")
+    named = F.regexp_replace(named, r"(?<!\\)((?:\\\\)*)\\U0000([0-9A-Fa-f]{4})", r"$1\\u$2")
+    whole = F.when(named.rlike(r"(?s)^\s*\[.*\]\s*$"), F.regexp_replace(named, r",\s*\]\s*$", "]"))
     parsed = F.from_json(whole, "array<string>", {"allowSingleQuotes": "true"})
     return F.coalesce(parsed, F.array().cast("array<string>"))
 

@@ -1,3 +1,4 @@
+import ast
 import random
 from collections import Counter
 
@@ -158,3 +159,11 @@ def test_lcs_equals_dynamic_programming(frame):
     df = frame(rows, "id int, a array<string>, b array<string>")
     found = {r["id"]: r["l"] for r in df.select("id", language.lcs("a", "b").alias("l")).collect()}
     assert found == {i: lcs_by_table(a or [], b or []) for i, a, b in rows}
+
+
+def test_keyword_list_escapes(frame):
+    literals = [r"['a\xa0b', 'c']", r"['\x41\x42']", r"['\\\\x41']", r"['\\x41']", r"['\U000000e9']", "['a', 'b',]", "['a,']"]
+    expected = [ast.literal_eval(s) for s in literals]
+    df = frame(list(enumerate(literals)), "id int, s string")
+    found = df.select("id", text.parse_keyword_list(F.col("s")).alias("k")).orderBy("id").collect()
+    assert [r["k"] for r in found] == expected
