@@ -1,9 +1,10 @@
 """License scans by a positional index of rare words.
 
-Templates are short word sequences with mandatory phrases. Every template word that is rare in the
-corpus gets postings (template, position). A file's rarest license words look up postings; words of
-one template that agree on the relative position vote for a placement; a placement counts when its
-mandatory phrases stand there word by word. Placements of the base phrases are counted beside it.
+Templates are short word sequences with mandatory phrases. Every template word has postings
+(template, position), weighted by its rarity in the corpus. Where a template's mandatory phrase
+stands word by word, all words of the file that agree on the relative position vote for the
+placement, however many other license words the file holds; a placement counts when half of its
+template's rarity voted. Placements of the base phrases are counted beside it.
 """
 
 from __future__ import annotations
@@ -20,8 +21,6 @@ BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BETWEEN_RAW = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # Every template and base phrase holds a word that contains this, so no other text needs positions.
 MARK = "licen"
-# A file looks up this many of its rarest license words.
-LOOKUPS = 6
 # Base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 # Fixed values: (label, words of a usual notice, mandatory phrase in it).
@@ -64,11 +63,11 @@ def _places(hits: Column, word: str, back: int = 0) -> Column:
     return F.transform(F.filter(hits, lambda h: h["word"] == word), lambda h: h["at"] - back)
 
 
-def _starts(hits: Column, phrase: str) -> Column:
-    """Places where the words of a phrase stand one after the other."""
+def _starts(hits: Column, phrase: str, back: int = 0) -> Column:
+    """Places where the words of a phrase stand one after the other, moved back."""
     first, *rest = phrase.split()
-    found = _places(hits, first)
-    for k, word in enumerate(rest, 1):
+    found = _places(hits, first, back)
+    for k, word in enumerate(rest, back + 1):
         found = F.array_intersect(found, _places(hits, word, k))
     return found
 
@@ -87,25 +86,23 @@ def placements(hits: DataFrame, idf: DataFrame) -> DataFrame:
     spark = hits.sparkSession
     table = spark.range(1).select(index.alias("p")).select("p.*").join(idf, "word")
     weights = table.groupBy("template").agg(F.sum("idf").alias("whole"))
-    table = F.broadcast(table.join(weights, "template"))
-    ranks = idf.select(F.map_from_entries(F.collect_list(F.struct("word", "idf")))).scalar()
-    marked = hits.where(F.size("hits") > 0).withColumn("_idf", ranks)
-    words = F.array_distinct(F.transform("hits", lambda h: h["word"]))
-    ranked = F.array_sort(F.transform(words, lambda w: F.struct((-F.element_at("_idf", w)).alias("k"), w.alias("w"))))
-    rarest = F.transform(F.slice(ranked, 1, LOOKUPS), lambda x: x["w"])
-    looked = marked.select("_row", rarest.alias("_rare"), "hits")
-    looked = looked.select("_row", "hits", F.filter("hits", lambda h: F.array_contains("_rare", h["word"])).alias("_lookups"))
-    exploded = looked.select("_row", F.explode("_lookups").alias("h")).select("_row", "h.at", "h.word")
-    votes = exploded.join(table, "word").groupBy("_row", "template", (F.col("at") - F.col("in_template")).alias("place"), "whole")
-    voted = votes.agg(F.sum("idf").alias("matched")).where("matched * 2 >= whole")
-    mandatory = F.array(*[F.struct(F.lit(t).alias("template"), F.lit(label).alias("label"), _starts(F.col("hits"), phrase).alias("starts"), F.lit(words.split().index(phrase.split()[0])).alias("offset")) for t, (label, words, phrase) in enumerate(TEMPLATES)])
-    stands = marked.select("_row", F.explode(mandatory).alias("m")).select("_row", "m.*").where(F.size("starts") > 0)
-    return (
-        voted.join(stands, ["_row", "template"])
-        .where(F.array_contains("starts", F.col("place") + F.col("offset")))
-        .groupBy("_row", "label")
-        .agg(F.max(F.least(F.lit(1.0), F.col("matched") / F.col("whole"))).alias("support"))
-    )
+    table = F.broadcast(table.join(weights, "template").drop("word"))
+    mandatory = F.array(*[
+        F.struct(
+            F.lit(t).alias("template"),
+            F.lit(label).alias("label"),
+            _literals(words.split()).alias("words"),
+            _starts(F.col("hits"), phrase, words.split().index(phrase.split()[0])).alias("places"),
+        )
+        for t, (label, words, phrase) in enumerate(TEMPLATES)
+    ])
+    stands = F.filter(mandatory, lambda m: F.size(m["places"]) > 0)
+    standing = hits.where(F.size("hits") > 0).select("_row", "hits", F.explode(stands).alias("m")).select("_row", "hits", "m.*")
+    agreeing = F.transform("words", lambda w, i: F.array_intersect("places", F.transform(F.filter("hits", lambda h: h["word"] == w), lambda h: h["at"] - i)))
+    votes = standing.select("_row", "template", "label", F.posexplode(agreeing).alias("in_template", "places"))
+    votes = votes.withColumn("place", F.explode("places")).join(table, ["template", "in_template"])
+    voted = votes.groupBy("_row", "label", "template", "place", "whole").agg(F.sum("idf").alias("matched")).where("matched * 2 >= whole")
+    return voted.groupBy("_row", "label").agg(F.max(F.least(F.lit(1.0), F.col("matched") / F.col("whole"))).alias("support"))
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -81,6 +81,16 @@ def test_licenses(docs, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_licenses_of_a_file_with_many_notices(spark):
+    notices = {label: words for label, words, _ in licenses.TEMPLATES}
+    held = [["mit", "apache-2.0", "gpl-3", "cc-by-nc"], ["apache-2.0", "gpl-3"], ["gpl-3", "cc-by-nc"], list(notices)]
+    texts = [" and ".join(notices[n] for n in names) for names in held] + ["the terms of the day " * 3] * 40
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = by_id(licenses.scan(frame))
+    for i, names in enumerate(held):
+        assert set(names) <= set(found[i]["labels"].split(",")) and found[i]["score"] == pytest.approx(1)
+
+
 def test_toxicity(spark, docs, none):
     labels = spark.createDataFrame([(1, 1), (2, None), (None, 1)], "doc_id bigint, toxic int")
     model = toxicity.train(docs, labels)
