@@ -16,9 +16,8 @@ from lexflume.llm.relations import attach
 from lexflume.session import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# What separates words once A-Z are lower-cased, and the same before that.
+# What separates words once A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BETWEEN_RAW = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # Every template and base phrase holds a word that contains this, so no other text needs positions.
 MARK = "licen"
 # Base phrases and their labels.
@@ -46,16 +45,20 @@ def _literals(values: list[str]) -> Column:
 
 
 def word_hits(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, hits: place and word of every license word, of texts that may hold a notice."""
+    """doc_id, n_words, held, hits: license words of every text; place and word of each, of texts that may hold a notice."""
     text = F.coalesce(F.col("text"), F.lit(""))
     cut = docs.select(
         "doc_id",
-        F.size(F.array_remove(F.split(text, BETWEEN_RAW), "")).cast("bigint").alias("n_words"),
-        F.when(F.contains(F.lower(text), F.lit(MARK)), text).alias("_marked"),
+        F.array_remove(F.split(F.translate(text, UPPER, LOWER), BETWEEN), "").alias("_words"),
+        F.contains(F.lower(text), F.lit(MARK)).alias("_marked"),
+    )
+    known = F.transform("_words", lambda w, i: F.when(F.array_contains(_literals(VOCABULARY), w), F.struct(i.cast("bigint").alias("at"), w.alias("word"))))
+    return cut.select(
+        "doc_id",
+        F.size("_words").cast("bigint").alias("n_words"),
+        F.array_intersect("_words", _literals(VOCABULARY)).alias("held"),
+        F.when(F.col("_marked"), F.array_compact(known)).otherwise(F.array().cast("array<struct<at:bigint,word:string>>")).alias("hits"),
     )
-    words = F.array_remove(F.split(F.translate("_marked", UPPER, LOWER), BETWEEN), "")
-    known = F.transform(words, lambda w, i: F.when(F.array_contains(_literals(VOCABULARY), w), F.struct(i.cast("bigint").alias("at"), w.alias("word"))))
-    return cut.select("doc_id", "n_words", F.coalesce(F.array_compact(known), F.array().cast("array<struct<at:bigint,word:string>>")).alias("hits"))
 
 
 def _places(hits: Column, word: str, back: int = 0) -> Column:
@@ -73,8 +76,8 @@ def _starts(hits: Column, phrase: str, back: int = 0) -> Column:
 
 
 def rarity(hits: DataFrame) -> DataFrame:
-    """(word, idf) of the license words over all texts of ``hits``; at most as many rows as the vocabulary."""
-    held = hits.where(F.size("hits") > 0).select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["word"]))).alias("word"))
+    """(word, idf) of the license words over all texts of ``hits``, with a notice or without; at most as many rows as the vocabulary."""
+    held = hits.select(F.explode("held").alias("word"))
     total = hits.agg(F.count(F.lit(1))).scalar()
     return held.groupBy("word").agg(F.count(F.lit(1)).alias("df")).select("word", F.log((total + 1) / F.col("df")).alias("idf"))
 
@@ -114,14 +117,14 @@ def scan(docs: DataFrame) -> DataFrame:
     doc_id is a row like any other; repeated rows get equal results; other columns are not read.
     """
     hits = stored(word_hits(docs).withColumn("_row", F.sha2(F.to_json("hits"), 256)), "license-hits")
-    marked = hits.where(F.size("hits") > 0)
+    marked = hits.where(F.size("hits") > 0).drop("held")
     # files with the same words at the same places are looked up once
     shapes = stored(marked.groupBy("_row").agg(F.first("hits").alias("hits"), F.count(F.lit(1)).alias("_n")), "license-shapes")
     found = placements(shapes.select("_row", "hits"), rarity(hits))
     by_row = found.groupBy("_row").agg(F.collect_set("label").alias("_found"), F.max("support").alias("_support"))
     labelled = stored(shapes.select("_row", "_n").join(by_row, "_row"), "license-labels")
     joined = attach(marked, labelled, "_row", "_n", "doc_id").unionByName(
-        hits.where(F.size("hits") == 0), allowMissingColumns=True
+        hits.where(F.size("hits") == 0).drop("held"), allowMissingColumns=True
     )
     places = {p: _starts(F.col("hits"), p) for p in BASE}
     labels = F.array_compact(F.array(*[F.when(F.size(s) > 0, F.lit(BASE[p])) for p, s in places.items()]))

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and extra columns, on small frames."""
 
 import hashlib
+import math
 
 import public_tokenizers
 import pytest
@@ -91,6 +92,14 @@ def test_licenses_of_a_file_with_many_notices(spark):
         assert set(names) <= set(found[i]["labels"].split(",")) and found[i]["score"] == pytest.approx(1)
 
 
+def test_rarity_counts_texts_without_a_notice(spark):
+    texts = ["Released under the MIT License"] * 2 + ["by the sea", "THE end", "the, the", None, "nothing"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("1L AS doc_id", "text")
+    found = {r["word"]: r["idf"] for r in licenses.rarity(licenses.word_hits(frame)).collect()}
+    df = {"the": 5, "by": 1, "mit": 2, "released": 2, "under": 2, "license": 2}
+    assert found == pytest.approx({w: math.log((len(texts) + 1) / n) for w, n in df.items()})
+
+
 def test_toxicity(spark, docs, none):
     labels = spark.createDataFrame([(1, 1), (2, None), (None, 1)], "doc_id bigint, toxic int")
     model = toxicity.train(docs, labels)
