@@ -2,8 +2,8 @@
 
 Vectors of one label are dealt over shards of bounded size, each with a graph of its own. Blocks of
 queries visit every shard of their label. Within a visit a sample of the queries is audited against
-all vectors of the shard, and the beam is doubled until the audit finds every link. Found pairs are
-verified by cosine in double precision. A visit returns link counts and a spanning forest of its
+all vectors of the shard: a beam that misses one of their nearest other nodes, however far these are,
+or a link gives way to comparing all vectors. Found pairs are verified by cosine in double precision. A visit returns link counts and a spanning forest of its
 links, so a group of any size yields rows in proportion to its vectors, not to its pairs.
 """
 
@@ -23,8 +23,9 @@ from lexflume.session import stored
 # Vectors per graph at most (on average, by hash), and queries per visit.
 SHARD_ROWS = 65_536
 BLOCK_ROWS = 2_048
-# Queries audited per visit, and the first beam.
+# Queries audited per visit, nearest other nodes each must find, and the beam.
 AUDITED = 64
+NEAREST = 10
 BEAM = 32
 # A beam of 1/WIDEST of the nodes costs more than comparing all of them.
 WIDEST = 4
@@ -77,8 +78,9 @@ def _graph(index: pa.Table) -> tuple[Graph, np.ndarray, np.ndarray]:
 def audited_links(graph: Graph, vectors: np.ndarray, queries: np.ndarray, own: np.ndarray, least: float) -> list[np.ndarray]:
     """Nodes whose cosine with each query is ``least`` or more, in double precision.
 
-    The beam widens until the audited queries miss nothing that a scan of all nodes finds; once it
-    would hold a good part of the nodes, the scan itself answers the whole block.
+    The beam's finds count when the audited queries miss neither a link nor one of their NEAREST other
+    nodes that a scan of all nodes finds, so a shard without links gives evidence too. Else the scan,
+    the widest beam there is and by measurement cheaper than a wider one, answers the whole block.
     """
     units, lengths = _units(queries), np.linalg.norm(vectors, axis=1)
 
@@ -90,13 +92,13 @@ def audited_links(graph: Graph, vectors: np.ndarray, queries: np.ndarray, own: n
         return out
 
     sample = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int))
-    there = sum(map(len, verified(graph.scan(units[sample], least), queries[sample])))
-    beam = BEAM
-    while WIDEST * beam < len(vectors):
-        found = verified(graph.within(units, own, least, beam), queries)
-        if sum(len(found[i]) for i in sample) >= there:
-            return found
-        beam *= 4
+    if WIDEST * BEAM < len(vectors):
+        closest = graph.true_nearest(units[sample], own[sample], NEAREST)
+        if (graph.nearest(units[sample], own[sample], NEAREST, BEAM) >= closest - 1e-5).all():
+            there = [len(x) for x in verified(graph.scan(units[sample], least), queries[sample])]
+            found = verified(graph.within(units, own, least, BEAM), queries)
+            if all(len(found[i]) >= n for i, n in zip(sample, there, strict=True)):
+                return found
     return verified(graph.scan(units, least), queries)
 
 

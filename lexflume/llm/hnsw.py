@@ -168,6 +168,20 @@ class Graph:
                 out.append(self._walk(q, np.union1d(begin, [o]) if o >= 0 else begin, least, starts, heads))
         return out
 
+    def nearest(self, query_units: np.ndarray, own: np.ndarray, k: int, beam: int) -> np.ndarray:
+        """Falling similarities of each query's ``k`` nearest nodes in a beam, ``own`` left out; -9 for none."""
+        ids, near = beam_search(self.units, self.layers[0], query_units, self._descend(query_units, self.layers[1:]), beam)
+        near = np.where((ids < 0) | (ids == own[:, None]), -9, near)
+        return -np.sort(-near, axis=1)[:, :k]
+
+    def true_nearest(self, query_units: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+        """What ``nearest`` finds with a beam over all nodes."""
+        near = query_units @ self.units.T
+        held = np.flatnonzero(own >= 0)
+        near[held, own[held]] = -9
+        k = min(k, near.shape[1])
+        return -np.sort(-np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k :], axis=1)
+
     def _walk(self, query: np.ndarray, begin: np.ndarray, least: float, starts: np.ndarray, heads: np.ndarray) -> np.ndarray:
         if len(begin) == 0:
             return begin

@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from lexflume.llm import exact_dedup as ex
-from lexflume.llm import hnsw, lm, minhash, toxicity
+from lexflume.llm import embedding_dedup, hnsw, lm, minhash, toxicity
 from lexflume.llm.bpe import Bpe
 
 
@@ -51,6 +51,20 @@ def test_graph_finds_what_a_scan_finds():
         assert sorted(a) == sorted(b)
 
 
+def test_audit_sees_missed_neighbours_where_links_are_rare():
+    r = np.random.default_rng(4)
+    half = 150
+    nodes, queries = r.normal(size=(2 * half, 16)), r.normal(size=(200, 16))
+    audited = np.linspace(0, 199, embedding_dedup.AUDITED).astype(int)
+    planted = np.setdiff1d(np.arange(200), audited)[:5]
+    queries[planted] = nodes[half : half + 5] * 2  # copies of nodes that no link leads to
+    links = np.full((2 * half, 32), -1)
+    links[:half] = r.integers(0, half, (half, 32))
+    graph = hnsw.Graph(embedding_dedup._units(nodes), np.zeros(2 * half, int), [links])
+    found = embedding_dedup.audited_links(graph, nodes, queries, np.full(200, -1), 0.93)
+    assert [nodes_of.tolist() for nodes_of in (found[i] for i in planted)] == [[half + i] for i in range(5)]
+
+
 def test_shingle_sets():
     assert len(minhash.shingle_set(b"", 2)) == 0
     assert len(minhash.shingle_set(b"a b a b", 2)) == 2
