@@ -191,7 +191,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, by: Iterable[str] =
         "vec_id",
         "embedding",
     )
-    shards = index.withColumn("group", F.substring_index("shard", "#", 1)).join(sizes.select("group", "blocks"), "group")
+    shards = index.withColumn("group", F.regexp_replace("shard", "#[0-9]+$", "")).join(sizes.select("group", "blocks"), "group")
     shards = visits(shards, "blocks", "block").drop("group", "blocks")
     found = asked.groupBy("shard", "block").cogroup(shards.groupBy("shard", "block")).applyInArrow(
         lambda queries, held: visit(queries, held, least), "vec_id bigint, n_links bigint, root bigint"

@@ -160,3 +160,9 @@ def test_embeddings(spark):
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in found}
     assert got == {1: (1, 1, True), 2: (1, 1, False), **{i: (0, i, True) for i in (3, 4, 5, 6, 7)}, None: (0, None, True)}
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_embeddings_of_labels_with_a_hash_sign(spark):
+    rows = [(1, [1.0, 0.0], "a#b"), (2, [2.0, 0.1], "a#b"), (3, [1.0, 0.0], "a#1"), (4, [1.0, 0.0], "a"), (5, [1.0, 0.0], "a#1")]
+    found = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label string"))
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found.collect()} == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (0, 4), 5: (1, 3)}
