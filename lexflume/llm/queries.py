@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexflume.llm import bpe, chat, embedding_dedup, exact_dedup, langid, licenses, lm, minhash, mixing, toxicity
+from lexflume.llm import (
+    bpe,
+    chat,
+    collocations,
+    credentials,
+    embedding_dedup,
+    exact_dedup,
+    langid,
+    licenses,
+    lm,
+    minhash,
+    mixing,
+    periodic,
+    toxicity,
+)
+from lexflume.llm.oracles import COLLOCATIONS, CREDENTIALS
 
 # Target weights of the domains: languages as the labelled table's good rows have them, and its junk.
 DOMAIN_WEIGHTS = {"en": 0.52, "de": 0.16, "fr": 0.16, "es": 0.12, "junk": 0.04}
@@ -106,6 +121,22 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every text, told apart by how many sources hold the same value."""
+    return credentials.scan(_table(spark, folder, "documents"))
+
+
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 strongest collocations of every language."""
+    return collocations.collocations(_table(spark, folder, "documents"), least=100, longest=5, top=2000, share=100)
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of every text; every tenth document has a stretch repeated first."""
+    found = periodic.periodic_runs(_table(spark, folder, "documents"), planted=True)
+    return found.drop("runs", "collapsed")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -119,10 +150,15 @@ QUERIES = {
         op8_license_scan,
         op9_language_id,
         op10_exact_dedup,
+        op11_secret_scan,
+        op12_phrase_collocations,
+        op13_periodic_runs,
     )
 }
 
 ORACLES = {
+    "op11_secret_scan": CREDENTIALS,
+    "op12_phrase_collocations": COLLOCATIONS,
     "op10_exact_dedup": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
