@@ -30,13 +30,13 @@ CUTS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 # Bits of the maps of frequent words and of surviving phrases (2 MiB and 8 MiB); fuller maps only rule out less.
 WORD_BITS, PHRASE_BITS = 24, 26
 # Counters a summary may need; more phrases make more partitions.
-COUNTERS = 1 << 21
-LEAST_PARTITIONS = 64
-# Phrases a task hashes, or words it counts, before it sends them on.
-HELD_PHRASES, HELD_WORDS = 1 << 22, 1 << 19
+COUNTERS = 1 << 18
+LEAST_PARTITIONS = 256
+# Phrases a task hashes, and words or phrases it counts, before it sends them on.
+HELD_PHRASES, HELD_WORDS, HELD_COUNTS = 1 << 22, 1 << 18, 1 << 18
 # Counters in one row of a summary.
 ROW = 1024
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -253,15 +253,36 @@ def _merge_batches(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa
     yield from done()
 
 
+def _counted_rows(held: dict[str, dict[bytes, int]], partitions: int) -> Iterator[pa.RecordBatch]:
+    """Exact counts by hash partition: ROW phrases of one language and partition at most in a row, a line feed between them."""
+    rows: list[tuple[int, str, bytes, bytes]] = []
+    for lang, counts in held.items():
+        names = list(counts)
+        part = np.fromiter((xxhash.xxh64_intdigest(x) % partitions for x in names), np.int64, len(names))
+        order = np.argsort(part, kind="stable")
+        borders = np.r_[0, np.flatnonzero(np.diff(part[order])) + 1, len(order)].tolist()
+        n = np.fromiter(counts.values(), "<i8", len(counts))
+        for a, b in zip(borders[:-1], borders[1:], strict=True):
+            for i in range(a, b, ROW):
+                those = order[i : min(i + ROW, b)]
+                rows.append((int(part[those[0]]), lang, b"\n".join(names[k] for k in those.tolist()), n[those].tobytes()))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.binary(), pa.binary()))],
+        names=["part", "lang", "phrases", "counts"],
+    )
+
+
 def _exact_batches(
     batches: Iterable[pa.RecordBatch], longest: int, word_map: np.ndarray, phrase_map: np.ndarray, partitions: int
 ) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, f): exact counts, within a piece, of the phrases whose hashes survived."""
+    """Exact counts, within a piece, of the phrases whose hashes survived; combined over many pieces."""
+    held: dict[str, dict[bytes, int]] = {}
+    size = 0
     for lang, found in _by_lang(batches):
         hashed = found.hashes(lang)
         useful = _map_bits(word_map, hashed >> np.uint64(64 - WORD_BITS))
-        names: list[bytes] = []
-        counts: list[int] = []
+        counts = held.setdefault(lang, {})
+        size -= len(counts)
         for m, at, keys in found.phrases(longest, hashed, useful):
             at = at[_map_bits(phrase_map, _survivor_bit(*_partition(keys, partitions)))]
             if not len(at):
@@ -271,16 +292,41 @@ def _exact_batches(
                 _, label = np.unique(label * len(found.names) + found.codes[at + k], return_inverse=True)
             _, first, n = np.unique(label, return_index=True, return_counts=True)
             rows = np.stack([found.codes[at[first] + k] for k in range(m)], axis=1).tolist()
-            names += [b" ".join(found.names[c] for c in row) for row in rows]
-            counts += n.tolist()
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang] * len(names), pa.string()),
-                pa.array(names, pa.binary()).view(pa.string()),
-                pa.array(counts, pa.int64()),
-            ],
-            names=["lang", "phrase", "f"],
-        )
+            for row, c in zip(rows, n.tolist(), strict=True):
+                phrase = b" ".join([found.names[x] for x in row])
+                counts[phrase] = counts.get(phrase, 0) + c
+        size += len(counts)
+        if size > HELD_COUNTS:
+            yield from _counted_rows(held, partitions)
+            held, size = {}, 0
+    if size:
+        yield from _counted_rows(held, partitions)
+
+
+def _total_batches(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, f) with f >= least; rows come by partition and language."""
+    at, totals = None, {}
+
+    def done() -> Iterator[pa.RecordBatch]:
+        kept = {p: n for p, n in totals.items() if n >= least}
+        if kept:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([at[1]] * len(kept), pa.string()),
+                    pa.array(list(kept), pa.binary()).view(pa.string()),
+                    pa.array(list(kept.values()), pa.int64()),
+                ],
+                names=["lang", "phrase", "f"],
+            )
+
+    for batch in batches:
+        for part, lang, phrases, counts in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+            if (part, lang) != at:
+                yield from done()
+                at, totals = (part, lang), {}
+            for phrase, n in zip(phrases.split(b"\n"), np.frombuffer(counts, "<i8").tolist(), strict=True):
+                totals[phrase] = totals.get(phrase, 0) + n
+    yield from done()
 
 
 def phrase_counts(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -305,9 +351,10 @@ def phrase_counts(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[
 
     exact = texts.mapInArrow(
         partial(_exact_batches, longest=longest, word_map=word_map, phrase_map=phrase_map, partitions=partitions),
-        "lang string, phrase string, f bigint",
+        "part bigint, lang string, phrases binary, counts binary",
     )
-    phrases = exact.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    met = exact.repartition("part").sortWithinPartitions("part", "lang")
+    phrases = met.mapInArrow(partial(_total_batches, least=least), "lang string, phrase string, f bigint")
     return totals, stored(frequent.select("lang", "phrase", "f").unionByName(phrases), "phrases")
 
 
