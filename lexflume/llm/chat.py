@@ -100,6 +100,9 @@ def canonical_turns(df: DataFrame) -> DataFrame:
 
     The fingerprint of the whole schema is looked up first; a table with extra columns is known by
     the layout whose paths are all among its own (the one with most paths). Another layout fails.
+    Defined cases: a conversation whose list of messages is null or empty has no turns and gives no
+    row; a null prompt is left out of the question; a null answer or text stays null here and is empty
+    in the output; an empty table gives none; other columns are not read.
     """
     paths = field_paths(df.schema)
     found = MAPPINGS.get(fingerprint(paths))

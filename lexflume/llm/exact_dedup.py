@@ -18,8 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.llm.relations import attach, keep_where
-from lexflume.llm.texts import lowered
+from lexflume.llm.relations import attach, columns_of, keep_where
+from lexflume.llm.texts import lowered, pieces
 from lexflume.session import stored
 
 # A fingerprint is [slice | quotient | remainder]; a filter covers one slice with 2**QUOTIENT_BITS runs.
@@ -97,7 +97,7 @@ def partition_filters(fingerprints: np.ndarray, slice_bits: int) -> Iterator[tup
 
 
 def _digest_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         texts = lowered(batch.column(1))
         prints = np.fromiter((xxhash.xxh64_intdigest(t) for t in texts), np.uint64, len(texts))
         yield pa.RecordBatch.from_arrays(
@@ -130,7 +130,7 @@ def _merge_slice(rows: pa.Table, slice_bits: int) -> pa.Table:
 
 def _routed_batches(batches: Iterable[pa.RecordBatch], route: object) -> Iterator[pa.RecordBatch]:
     marks = np.frombuffer(route.value, np.uint8)
-    for batch in batches:
+    for batch in pieces(batches):
         texts = lowered(batch.column(1))
         prints = np.fromiter((xxhash.xxh64_intdigest(t) for t in texts), np.uint64, len(texts))
         at = (prints >> np.uint64(64 - ROUTE_BITS)).astype(np.int64)
@@ -231,10 +231,11 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     touched = stored(lost.unionByName(again).distinct(), "touched")
     passed = keep_where(docs, touched, "doc_id", "left_anti")
     whole = keep_where(docs, touched, "doc_id", "left_semi").select(
-        F.struct(*docs.columns).alias("row"),
+        F.struct(*columns_of(docs)).alias("row"),
         F.sha2(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), 256).alias("sha"),
     )
     winners = marked.where("kept").select(F.col("doc_id").alias("keep"), F.col("text_sha256").alias("key")).distinct()
     stays = whole.join(winners, (F.col("sha") == F.col("key")) & F.col("row.doc_id").eqNullSafe(F.col("keep")), "left_semi")
-    one = stays.groupBy("sha").agg(F.first("row").alias("row")).select("row.*")
+    # of rows with an equal id and text always the same one stays
+    one = stays.groupBy("sha").agg(F.min_by("row", F.sha2(F.to_json("row"), 256)).alias("row")).select("row.*")
     return passed.unionByName(one)

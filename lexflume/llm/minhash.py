@@ -4,16 +4,18 @@ A document's shingle hashes, sorted, are its set; the k smallest are its sketch.
 retained values give overlapping sketches. A list is named by two retained values that are next to
 each other in a sketch: one value alone is held by a fixed share of unrelated documents, so its list
 would grow with the corpus. Nodes of small sets enter only the lists of their rarest neighbours.
-Lists are linked star-wise to a pivot, round by round; what stars leave open is compared member by
-member, where sizes and 128 bits drawn from the same hashes rule most pairs out before they are
-written. The union sketch of the others filters, and exact Jaccard on whole sets confirms.
+Lists are linked star-wise to a pivot, another one in every round, as long as that links much of what
+it compares; what stars leave open is compared member by member. Sizes and 256 bits drawn from the same
+hashes rule most pairs out before they are written. The union sketch of the others filters, and exact
+Jaccard on whole sets confirms.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from functools import partial
-from math import comb
+from functools import partial, reduce
+from math import comb, log
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.llm.relations import attach, connected, keep_where
+from lexflume.llm.relations import attach, connected, forget, keep_where
 from lexflume.llm.texts import lowered, pieces, words
 from lexflume.session import stored
 
@@ -30,10 +32,13 @@ SKETCH = 48
 LEAST_PERCENT = 70
 # Chance that a pair at exactly the threshold shares fewer retained values than asked for.
 MISS = 1e-10
-# One bit of the smallest hash of each of so many slices of a set; two longs hold them.
-SLICES = 128
-# Star rounds before open lists are compared member by member.
-STARS = 1
+# One bit of the smallest hash of each of so many slices of a set; longs hold 64 each.
+SLICES = 256
+BITS = [f"bits{i}" for i in range(SLICES // 64)]
+# Star rounds go on while one links at least this share of the pairs it compares.
+WORTHWHILE = 0.02
+# Pairs of an open list that one task compares, about.
+PART_PAIRS = 1 << 20
 WORD_SEED = 7
 
 
@@ -58,10 +63,10 @@ def shingle_set(text: bytes, width: int) -> np.ndarray:
 
 
 def slice_bits(members: np.ndarray) -> np.ndarray:
-    """Two longs: for each slice of a set (its hashes by their low bits), one bit of the slice's smallest hash."""
+    """Longs of bits: for each slice of a set (its hashes by their low bits), one bit of the slice's smallest hash."""
     slices, smallest = np.unique(members & (SLICES - 1), return_index=True)
     bits = np.zeros(SLICES, np.uint8)
-    bits[slices] = (members[smallest] >> 7) & 1
+    bits[slices] = (members[smallest] >> 8) & 1
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
@@ -97,52 +102,37 @@ def least_overlap(threshold: float, k: int = SKETCH) -> int:
 def _profile_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
         sets = [shingle_set(t, width) for t in lowered(batch.column(1))]
-        bits = np.array([slice_bits(s) for s in sets], np.int64).reshape(-1, 2)
+        bits = np.array([slice_bits(s) for s in sets], np.int64).reshape(-1, len(BITS))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64())),
-                pa.array(bits[:, 0]),
-                pa.array(bits[:, 1]),
+                *[pa.array(bits[:, i].copy()) for i in range(len(BITS))],
             ],
-            names=["doc_id", "n", "set_key", "sketch", "bits0", "bits1"],
+            names=["doc_id", "n", "set_key", "sketch", *BITS],
         )
 
 
 def _set_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
-        sets = [shingle_set(t, width).tobytes() for t in lowered(batch.column(0))]
+        sets = [shingle_set(t, width) for t in lowered(batch.column(0))]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([xxhash.xxh128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())],
+            [pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
             names=["set_key", "members"],
         )
 
 
-def _confirm_batches(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left, right = batch.column("members_a").to_pylist(), batch.column("members_b").to_pylist()
-        held = []
-        for x, y in zip(left, right, strict=True):
-            x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            held.append(100 * both >= percent * (len(x) + len(y) - both))
-        mask = pa.array(held, pa.bool_())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"]
-        )
-
-
 def profiles(docs: DataFrame, width: int) -> DataFrame:
-    """Stored (doc_id, n, set_key, sketch, bits0, bits1) of every row."""
+    """Stored (doc_id, n, set_key, sketch, bits) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n bigint, set_key binary, sketch array<bigint>, bits0 bigint, bits1 bigint"
+    schema = f"doc_id {kind}, n bigint, set_key binary, sketch array<bigint>, " + ", ".join(f"{b} bigint" for b in BITS)
     return stored(docs.select("doc_id", "text").mapInArrow(partial(_profile_batches, width=width), schema), "profiles")
 
 
 def set_nodes(rows: DataFrame) -> DataFrame:
-    """Stored nodes, one per distinct non-empty set: node, set_key, doc_id (smallest), n, sketch, bits0, bits1, copies.
+    """Stored nodes, one per distinct non-empty set: node, set_key, doc_id (smallest), n, sketch, bits, copies.
 
     A node is named by its smallest doc_id; where that is null or names several sets, by a negative
     digest of the set.
@@ -150,7 +140,7 @@ def set_nodes(rows: DataFrame) -> DataFrame:
     grouped = rows.where("n > 0").groupBy("set_key").agg(
         F.min("doc_id").alias("doc_id"),
         F.first("n").alias("n"),
-        *[F.first(c).alias(c) for c in ("sketch", "bits0", "bits1")],
+        *[F.first(c).alias(c) for c in ("sketch", *BITS)],
         F.count(F.lit(1)).alias("copies"),
     )
     grouped = stored(grouped, "sets")
@@ -160,11 +150,13 @@ def set_nodes(rows: DataFrame) -> DataFrame:
     named = grouped.join(clashing, F.col("doc_id").eqNullSafe(F.col("clash")), "left").withColumn(
         "node", F.when(F.col("clashes"), digest).otherwise(F.col("doc_id").cast("bigint"))
     )
-    return stored(named.drop("clash", "clashes"), "nodes")
+    nodes = stored(named.drop("clash", "clashes"), "nodes")
+    forget(grouped)
+    return nodes
 
 
 def rare_lists(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Stored (value, node, n, bits0, bits1): nodes under their pairs of neighbouring retained values.
+    """Stored (value, node, n, bits): nodes under their pairs of neighbouring retained values.
 
     Of m common and d other values in hash order, at least m - d - 1 neighbours are both common.
     Where every partner's sketch is its whole set, that makes ``2 * (1 - threshold) * n + 1`` of a
@@ -181,24 +173,26 @@ def rare_lists(nodes: DataFrame, threshold: float) -> DataFrame:
     )
     shared = attach(postings, lists, "value", "_n", "node", "inner")
     held = shared.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("held"))
-    held = held.join(nodes.select("node", "n", "bits0", "bits1"), "node")
+    held = held.join(nodes.select("node", "n", *BITS), "node")
     every = F.least(F.col("n"), F.lit(SKETCH)) - 1
     enough = F.floor(F.col("n") * (2 * (1 - threshold)) + 1e-9) + 1
     wanted = F.when(F.col("n") <= int(SKETCH * threshold), F.least(every, enough)).otherwise(every)
     rarest = F.slice("held", 1, F.greatest(F.lit(0), wanted - (every - F.size("held"))).cast("int"))
     values = F.explode(F.transform(rarest, lambda x: x["value"])).alias("value")
-    return stored(held.select("node", "n", "bits0", "bits1", values), "lists")
+    found = stored(held.select("node", "n", *BITS, values), "lists")
+    forget(lists)
+    return found
 
 
 def _alike(a: Callable[[str], Column], b: Callable[[str], Column], threshold: float) -> Column:
     """Whether sizes and slice bits of two list members allow a pair at the threshold."""
     sizes = F.least(a("n"), b("n")) >= F.greatest(a("n"), b("n")) * threshold - 1e-9
-    apart = F.bit_count(a("bits0").bitwiseXOR(b("bits0"))) + F.bit_count(a("bits1").bitwiseXOR(b("bits1")))
+    apart = reduce(add, [F.bit_count(a(c).bitwiseXOR(b(c))) for c in BITS])
     return sizes & (apart <= most_bits_apart(threshold))
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs that sizes and union sketches allow, as (a, b)."""
+    """Stored pairs that sizes and union sketches allow, as (a, b)."""
     slim = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     degrees = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_n"))
     right = stored(degrees.join(slim, "b"), "sketches")
@@ -213,30 +207,36 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
         shared >= least_overlap(threshold)
     )
     fits = F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9
-    return sided.where(fits).where(allowed).select("a", "b")
+    likely = stored(sided.where(fits).where(allowed).select("a", "b"), "likely")
+    forget(right)
+    return likely
 
 
-def _whole_sets(docs: DataFrame, likely: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """Stored (node, members, _n): whole sets of the nodes of likely pairs, and in how many pairs they are b."""
-    ends = likely.select(F.col("a").alias("node"), F.lit(0).alias("one")).unionByName(
-        likely.select(F.col("b").alias("node"), F.lit(1).alias("one"))
-    )
-    used = ends.groupBy("node").agg(F.sum("one").alias("_n")).join(nodes.select("node", "set_key", "doc_id"), "node")
-    used = stored(used, "used")
-    texts = keep_where(docs.select("doc_id", "text"), used, "doc_id", "left_semi").select("text")
-    found = texts.mapInArrow(partial(_set_batches, width=width), "set_key binary, members binary")
-    sets = used.join(found, "set_key").groupBy("node").agg(F.first("members").alias("members"), F.first("_n").alias("_n"))
-    return stored(sets, "members")
+def _whole_sets(docs: DataFrame, used: DataFrame, nodes: DataFrame, width: int, held: list[DataFrame]) -> DataFrame:
+    """Stored (node, members): whole sets of the used nodes that are not among those held."""
+    fresh = reduce(lambda left, sets: left.join(sets.select("node"), "node", "left_anti"), held, used.select("node"))
+    fresh = stored(fresh.join(nodes.select("node", "set_key", "doc_id"), "node"), "fresh")
+    texts = keep_where(docs.select("doc_id", "text"), fresh.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
+    found = texts.mapInArrow(partial(_set_batches, width=width), "set_key binary, members array<bigint>")
+    sets = fresh.join(found, "set_key").groupBy("node").agg(F.first("members").alias("members"))
+    sets = stored(sets, "members")
+    forget(fresh)
+    return sets
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+def _verified(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Stored (a, b) whose exact Jaccard reaches the threshold; b may be part of very many pairs."""
-    likely = stored(_estimated(pairs, nodes, percent / 100), "likely")
-    sets = _whole_sets(docs, likely, nodes, width)
-    right = sets.where("_n > 0").select(F.col("node").alias("b"), F.col("members").alias("members_b"), "_n")
+    degrees = likely.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("_n"))
+    right = stored(
+        degrees.join(sets, "node").select(F.col("node").alias("b"), F.col("members").alias("members_b"), "_n"), "right"
+    )
     sided = likely.join(sets.select(F.col("node").alias("a"), F.col("members").alias("members_a")), "a")
     whole = attach(sided, right, "b", "_n", "a", "inner")
-    return stored(whole.mapInArrow(partial(_confirm_batches, percent=percent), "a bigint, b bigint"), "links")
+    both = F.size(F.array_intersect("members_a", "members_b"))
+    union = F.size("members_a") + F.size("members_b") - both
+    links = stored(whole.where(100 * both >= percent * union).select("a", "b"), "links")
+    forget(right)
+    return links
 
 
 def _labelled(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -245,42 +245,95 @@ def _labelled(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
     return lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _stars(labelled: DataFrame, first: bool, threshold: float) -> DataFrame:
-    """(a, b): members of every open list with its pivot b, a member of the list's last open component."""
-    traits = ("n", "bits0", "bits1")
+def _stars(labelled: DataFrame, turn: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Stored (a, b), members of every open list that may be linked to its pivot b, and the stored open lists.
+
+    The pivot of the first turn is the list's smallest node, later ones are drawn by hash. A list whose
+    members are all in one component is closed for good.
+    """
+    traits = ("n", *BITS)
+    pivot = F.struct("root", "node", *traits)
+    chosen = F.min(pivot) if turn == 0 else F.min_by(pivot, F.struct(F.xxhash64("node", F.lit(turn)), "node"))
     heads = labelled.groupBy("value").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("root").alias("low"),
-        F.max("root").alias("high"),
-        F.min(F.struct("root", "node", *traits)).alias("least"),
-        F.max(F.struct("root", "node", *traits)).alias("most"),
+        F.count(F.lit(1)).alias("_n"), F.min("root").alias("low"), F.max("root").alias("high"), chosen.alias("pivot")
     )
-    pivot = F.col("least") if first else F.col("most")
     heads = stored(
         heads.where("low < high").select(
-            "value", "_n", pivot["root"].alias("at"), pivot["node"].alias("b"), *[pivot[t].alias(f"at_{t}") for t in traits]
+            "value", "_n", F.col("pivot.root").alias("at"), F.col("pivot.node").alias("b"),
+            *[F.col(f"pivot.{t}").alias(f"at_{t}") for t in traits],
         ),
         "heads",
     )
-    open_pairs = attach(labelled, heads, "value", "_n", "node", "inner").where(F.col("root") != F.col("at"))
-    open_pairs = open_pairs.where(_alike(F.col, lambda c: F.col(f"at_{c}"), threshold))
-    return open_pairs.select(F.col("node").alias("a"), "b").distinct()
+    still = stored(attach(labelled, heads, "value", "_n", "node", "inner"), "open")
+    likely = still.where(F.col("root") != F.col("at")).where(_alike(F.col, lambda c: F.col(f"at_{c}"), threshold))
+    pairs = stored(likely.select(F.col("node").alias("a"), "b").distinct(), "pairs")
+    lists = stored(still.select("node", *traits, "value"), "lists")
+    forget(heads, still)
+    return pairs, lists
 
 
 def _members(labelled: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): likely pairs of an open list from different components, one end outside the list's largest component."""
+    """Stored (a, b): likely pairs of an open list from different components, one end outside the list's largest one.
+
+    Members meet only where their sizes allow a pair, by bands of sizes, and a long list's members are
+    dealt over parts that each meet the others outside its largest component.
+    """
     counted = labelled.groupBy("value", "root").agg(F.count(F.lit(1)).alias("c"))
     lists = counted.groupBy("value").agg(
-        F.max_by("root", F.struct("c", "root")).alias("main"), F.count(F.lit(1)).alias("k"), F.sum("c").alias("_n")
+        F.max_by("root", F.struct("c", "root")).alias("main"),
+        F.max("c").alias("most"),
+        F.count(F.lit(1)).alias("k"),
+        F.sum("c").alias("_n"),
     )
-    lists = stored(lists.where("k > 1").select("value", "main", "_n"), "open")
-    inside = stored(attach(labelled, lists, "value", "_n", "node", "inner"), "inside")
+    parts = F.ceil(F.col("_n") * (F.col("_n") - F.col("most")) / PART_PAIRS)
+    lists = stored(lists.where("k > 1").select("value", "main", parts.alias("parts"), "_n"), "open")
+    inside = attach(labelled, lists, "value", "_n", "node", "inner")
+    # sizes of a pair are at most one band apart
+    band = F.floor(F.log("n") / log(1 / threshold) + 1e-9)
+    inside = stored(inside.withColumn("band", band).withColumn("part", F.pmod(F.xxhash64("node"), "parts")), "inside")
     outer = inside.where("root != main").select(
-        "value", F.col("node").alias("x"), F.col("root").alias("rx"), *[F.col(t).alias(f"x_{t}") for t in ("n", "bits0", "bits1")]
+        "value",
+        F.col("node").alias("x"),
+        F.col("root").alias("rx"),
+        *[F.col(t).alias(f"x_{t}") for t in ("n", *BITS)],
+        "parts",
+        F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
     )
-    met = inside.join(outer, "value").where("root != rx AND (root = main OR node < x)")
+    outer = outer.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).drop("parts")
+    met = inside.join(outer, ["value", "band", "part"]).where("root != rx AND (root = main OR node < x)")
     met = met.where(_alike(F.col, lambda c: F.col(f"x_{c}"), threshold))
-    return met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
+    pairs = stored(met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct(), "pairs")
+    forget(lists, inside)
+    return pairs
+
+
+class _Links:
+    """Links found so far, and the components they make."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> None:
+        self.docs, self.nodes, self.width, self.percent = docs, nodes, width, percent
+        self.found: list[DataFrame] = []
+        self.sets: list[DataFrame] = []
+        self.roots: DataFrame | None = None
+
+    def add(self, pairs: DataFrame) -> float:
+        """Verify pairs (a stored table, which goes) and join what they link; the share of them that are links."""
+        compared = pairs.count()
+        if not compared:
+            return 0.0
+        likely = _estimated(pairs, self.nodes, self.percent / 100)
+        forget(pairs)
+        ends = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+        self.sets.append(_whole_sets(self.docs, ends, self.nodes, self.width, self.sets))
+        fresh = _verified(likely, reduce(DataFrame.unionByName, self.sets), self.percent)
+        forget(likely)
+        linked = fresh.count()
+        if linked:
+            self.found.append(fresh)
+            before, self.roots = self.roots, connected(reduce(DataFrame.unionByName, self.found))
+            if before is not None:
+                forget(before)
+        return linked / compared
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -300,17 +353,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nodes = set_nodes(rows)
     lists = rare_lists(nodes, percent / 100)
 
-    links, roots = None, None
-    for turn in range(STARS + 1):
-        labelled = stored(_labelled(lists, roots), "labelled")
-        pairs = _members(labelled, percent / 100) if turn == STARS else _stars(labelled, turn == 0, percent / 100)
-        pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        fresh = _verified(docs, pairs, nodes, width, percent)
-        links = fresh if links is None else links.unionByName(fresh)
-        roots = connected(links)
-
+    links, turn, share = _Links(docs, nodes, width, percent), 0, 1.0
+    while share >= WORTHWHILE:
+        labelled = stored(_labelled(lists, links.roots), "labelled")
+        forget(lists)
+        pairs, lists = _stars(labelled, turn, percent / 100)
+        forget(labelled)
+        share, turn = links.add(pairs), turn + 1
+    # whatever the stars have found: members of open lists that no pivot has joined
+    labelled = stored(_labelled(lists, links.roots), "labelled")
+    pairs = _members(labelled, percent / 100)
+    forget(labelled, lists)
+    links.add(pairs)
+    forget(*links.found, *links.sets)
+
+    roots = links.roots
     if roots is None:
         named = nodes.select("set_key", "copies", F.col("doc_id").alias("component_id"))
     else:
@@ -318,7 +375,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         placed = stored(placed.withColumn("root", F.coalesce("root", "node")).drop("node"), "placed")
         least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("_n"))
         named = attach(placed, stored(least, "least"), "root", "_n", "set_key").select("set_key", "copies", "component_id")
-    whole = attach(rows.select("doc_id", "n", "set_key"), stored(named, "named"), "set_key", "copies", "doc_id")
+    named = stored(named, "named")
+    forget(nodes)
+    whole = attach(rows.select("doc_id", "n", "set_key"), named, "set_key", "copies", "doc_id")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return whole.select(
         "doc_id",

@@ -10,6 +10,7 @@ DataFrame work; the driver solves systems as small as the number of domains.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,6 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexflume.llm.relations import columns_of
 from lexflume.session import stored
 
 # Labelled rows that the classifier is fitted on at most (lowest hashes of doc_id).
@@ -124,24 +126,39 @@ def rate(rates: Rates, size: int) -> Column:
     return F.aggregate(history, value, stepped)
 
 
-def fit_rates(members: DataFrame, targets: list[float], budget: float | None = None) -> Rates:
+def shares(targets: list[float | None], held: list[float]) -> np.ndarray:
+    """Wanted shares of all tokens: domains without a target keep what they hold, the others divide the rest by weight."""
+    named = sum(w for w in targets if w is not None)
+    rest = 1.0 - sum(h for w, h in zip(targets, held, strict=True) if w is None)
+    return np.array([h if w is None else w / named * rest for w, h in zip(targets, held, strict=True)])
+
+
+def wanted_of(domains: Domains, weights: dict[str, float]) -> list[float | None]:
+    """Weights in the order of the learned domains, None for those that have none."""
+    return [None if n not in weights else float(weights[n]) for n in domains.names]
+
+
+def fit_rates(members: DataFrame, targets: list[float | None], budget: float | None = None) -> Rates:
     """Rates whose expected domain totals come closest to ``targets`` (weights) times ``budget`` tokens.
 
     ``members``: stored (_tokens, _posteriors). The gradient step of a document is scaled by
     1/tokens and the residual by the inverse of ``sum(tokens * p p')``: a step of length one then
     never overshoots, and without clipping it lands on the targets. Without a budget the mix
-    keeps the tokens there are. Targets that no rates can meet are met in the least-squares sense.
+    keeps the tokens there are. A target of None keeps the domain's share of the expected tokens; the
+    others share what is left by their weights. Targets that no rates can meet are met in the
+    least-squares sense, and what is left of them is told in a warning.
     """
     size = len(targets)
     p = [F.get("_posteriors", F.lit(d)) for d in range(size)]
     t = F.col("_tokens").cast("double")
-    moments = members.agg(F.sum(t), *[F.sum(t * p[i] * p[j]) for i in range(size) for j in range(size)]).first()
+    products = [F.sum(t * p[i] * p[j]) for i in range(size) for j in range(size)]
+    moments = members.agg(F.sum(t), *[F.sum(t * x) for x in p], *products).first()
     total = moments[0] or 0.0
     if not total or not size:
         return Rates(1.0, [])
     budget = total if budget is None else budget
-    wanted = np.array(targets) / sum(targets) * budget
-    inverse = np.linalg.pinv(np.array(moments[1:], float).reshape(size, size))
+    wanted = shares(targets, [x / total for x in moments[1 : size + 1]]) * budget
+    inverse = np.linalg.pinv(np.array(moments[size + 1 :], float).reshape(size, size))
     rates = Rates(budget / total, [])
     for _ in range(STEPS):
         sums = members.withColumn("_r", rate(rates, size)).agg(*[F.sum(t * F.col("_r") * x) for x in p]).first()
@@ -149,6 +166,8 @@ def fit_rates(members: DataFrame, targets: list[float], budget: float | None = N
         if np.abs(residual).max() <= CLOSE * budget:
             break
         rates = Rates(rates.start, [*rates.history, [float(x) for x in inverse @ residual]])
+    else:
+        warnings.warn(f"after {STEPS} steps a domain misses its target by {np.abs(residual).max() / budget:.2%} of all tokens", stacklevel=2)
     return rates
 
 
@@ -166,10 +185,10 @@ def mix(docs: DataFrame, domains: Domains, weights: dict[str, float], budget: fl
 
     Defined cases: null and blank texts have no tokens, the posteriors of a text without telling
     words, and a rate like any other; a null doc_id draws its copies by its text alone; repeated rows
-    get equal results; a domain without a weight has the target 0; without labelled rows every rate
+    get equal results; a domain without a weight keeps its share of the expected tokens; without labelled rows every rate
     is budget / tokens; an empty table gives an empty result; other columns are not read.
     """
-    targets = [float(weights.get(n, 0.0)) for n in domains.names]
+    targets = wanted_of(domains, weights)
     key = _key(docs)
     members = memberships(docs.select("doc_id", key.alias("_key"), F.col("text")), domains).drop("text")
     members = stored(members, "members")
@@ -192,11 +211,14 @@ def _key(docs: DataFrame) -> Column:
 
 
 def mixed(docs: DataFrame, domains: Domains, weights: dict[str, float], budget: float | None = None) -> DataFrame:
-    """``docs`` with every row as often as its ``copies`` say; all columns kept, no shuffle of rows."""
-    targets = [float(weights.get(n, 0.0)) for n in domains.names]
+    """``docs`` with every row as often as its ``copies`` say; all columns kept, no shuffle of rows.
+
+    Cases are those of ``mix``; where no learned domain has a weight above 0 the rows stay as they are.
+    """
+    targets = wanted_of(domains, weights)
     if not any(targets):
         return docs
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), _key(docs).alias("_key"), F.col("text"))
+    rows = docs.select(F.struct(*columns_of(docs)).alias("_row"), _key(docs).alias("_key"), F.col("text"))
     members = memberships(rows, domains)
     rates = fit_rates(stored(members.select("_tokens", "_posteriors"), "members"), targets, budget)
     drawn = members.withColumn("_rate", rate(rates, len(targets))).select("_row", copies(F.col("_key")).alias("_copies"))

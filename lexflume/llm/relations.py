@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexflume.session import stored
@@ -14,6 +14,11 @@ SHARES = 10_000
 BROADCAST_KEYS = 500_000
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, also those whose names hold dots or backticks."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
 def attach(facts: DataFrame, table: DataFrame, key: str, weight: str, by: str, how: str = "left") -> DataFrame:
     """Join facts to a stored table with one row per key and ``weight`` = its rows among the facts.
 
@@ -32,6 +37,16 @@ def attach(facts: DataFrame, table: DataFrame, key: str, weight: str, by: str, h
     return salted.join(repeated, [key, "_part"], how).drop("_part")
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of stored tables; everything that was read from them must have been stored itself."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def sized(keys: DataFrame) -> DataFrame:
     """Stored keys, marked for broadcast when they are counted to be few."""
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
@@ -72,17 +87,23 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         "edges",
     )
     while not _is_star_forest(edges):
+        before = edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        lows = _minima(both, "large")
         large = (
-            attach(both, _minima(both, "large"), "u", "_n", "v", "inner")
+            attach(both, lows, "u", "_n", "v", "inner")
             .where("v > u")
             .select(F.col("v").alias("u"), F.col("low").alias("v"))
             .distinct()
         )
         large = stored(large, "edges")
-        low = attach(large, _minima(large, "small"), "u", "_n", "v", "inner")
+        small_lows = _minima(large, "small")
+        low = attach(large, small_lows, "u", "_n", "v", "inner")
         small = low.where("v != low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         edges = stored(small.unionByName(low.select("u", F.col("low").alias("v"))).distinct(), "edges")
+        forget(before, lows, large, small_lows)
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     hubs = edges.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
-    return stored(roots.unionByName(hubs), "roots")
+    found = stored(roots.unionByName(hubs), "roots")
+    forget(edges)
+    return found

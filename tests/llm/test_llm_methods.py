@@ -103,7 +103,62 @@ def test_slice_bits_of_alike_and_unlike_sets():
             assert apart(both, np.concatenate([both, more])) <= limit
             far.append((n, apart(both, rng.integers(0, 2**62, n))))
     assert min(d for n, d in far if n >= 300) > limit
-    assert minhash.slice_bits(np.empty(0, np.int64)).tolist() == [0, 0]
+    assert minhash.slice_bits(np.empty(0, np.int64)).tolist() == [0] * len(minhash.BITS)
+
+
+def brute_components(texts, width):
+    """Smallest index reachable over pairs of sets of shingles, as tuples of words, with a Jaccard of 0.8."""
+    sets = []
+    for t in texts:
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").split()
+        span = min(width, len(w))
+        sets.append({tuple(w[i : i + span]) for i in range(len(w) - span + 1)} if w else set())
+    links = [[j for j, b in enumerate(sets) if a and b and 100 * len(a & b) >= 80 * len(a | b)] for a in sets]
+    root = list(range(len(texts)))
+    changed = True
+    while changed:
+        changed = False
+        for i, those in enumerate(links):
+            low = min([root[i], *(root[j] for j in those)])
+            changed |= low != root[i]
+            root[i] = low
+    return root
+
+
+def test_links_hang_on_no_order_of_ids(spark):
+    """Two alike texts in the lists of a third that is near neither: whichever id is the smallest, they are linked."""
+    from itertools import permutations
+
+    rng = np.random.default_rng(7)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 206)]
+    texts = [" ".join(base + [f"n{i}" for i in range(62)]), " ".join(base[:201]), " ".join(base)]
+    for order in permutations(range(3)):
+        rows = [(10 + at, texts[which]) for at, which in enumerate(order)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2).collect()}
+        wanted = brute_components([t for _, t in rows], 2)
+        assert found == {10 + i: 10 + w for i, w in enumerate(wanted)} and len(set(wanted)) == 2
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_near_copies_of_near_copies(spark, monkeypatch, width):
+    """A large group of mutated copies, part of them linked, and texts that share a passage only; lists dealt over parts."""
+    monkeypatch.setattr(minhash, "PART_PAIRS", 50)
+    rng = np.random.default_rng(width)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 150)]
+    passage = [f"p{x}" for x in range(60)]
+    texts = []
+    for _ in range(60):
+        words = list(base)
+        for at in rng.integers(0, 150, rng.integers(0, 14 if width == 2 else 7)):
+            words[at] = f"x{rng.integers(0, 10**6)}"
+        texts.append(" ".join(words))
+    for _ in range(40):
+        texts.append(" ".join([f"q{x}" for x in rng.integers(0, 10**6, 60)] + passage))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    wanted = brute_components(texts, width)
+    assert 41 < len(set(wanted)) < 100
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, width).collect()} == dict(enumerate(wanted))
 
 
 def test_near_duplicates_equal_brute_force(spark):
@@ -117,13 +172,7 @@ def test_near_duplicates_equal_brute_force(spark):
                 words[at] = f"x{rng.integers(0, 9)}"
             texts.append(" ".join(words))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    sets = [set(minhash.shingle_set(t.encode(), 2).tolist()) for t in texts]
-    root = list(range(len(texts)))
-    for _ in texts:
-        for i, a in enumerate(sets):
-            for j, b in enumerate(sets):
-                if 100 * len(a & b) >= 80 * len(a | b):
-                    root[i] = root[j] = min(root[i], root[j])
+    root = brute_components(texts, 2)
     found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2).collect()}
     assert found == dict(enumerate(root))
     with pytest.raises(ValueError):
