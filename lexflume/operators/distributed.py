@@ -3,7 +3,6 @@
 * ``global_position``, ``sorted_position`` - rank of every row without one all-rows window,
 * ``exact_quantiles`` - interpolated percentiles without one all-values group,
 * ``join_group_facts`` - join of rows to their group when one group is hot,
-* ``lookup`` - join of skewed facts to a keyed table that may be large,
 * ``merge_rows`` - put one-row-per-group frames side by side without a join.
 """
 
@@ -20,20 +19,15 @@ By = Sequence[str]
 # A rank window sees one bucket. 16**4 buckets keep 10**11 rows at ~1.5 million each,
 # and the table of bucket totals at 65,536 rows at most.
 HEX_DIGITS = 4
-# Splitters that cut the distinct values of one group into rank buckets.
-QUANTILE_BUCKETS = 256
-# Splitters that cut a sorted key space, and the sample they are read from.
+# Splitters that cut the distinct values of one group into rank buckets, read from a sketch of the group.
+QUANTILE_BUCKETS = 1024
+SKETCH_SIZE = 4096
+# A group with at least 1/GROUP_SHARES of all rows is hot: there are GROUP_SHARES of them at most, so what
+# is known of them may be broadcast, and every other group is small enough for one task.
+GROUP_SHARES = 1000
+# Sorted keys are cut twice by so many splitters, read from about so many keys.
 KEY_BUCKETS = 128
-KEY_SAMPLE = 4096
-# A key with at least 1/LOOKUP_SHARES of all fact rows is frequent. There can be no more
-# than LOOKUP_SHARES of them, and every other key is too rare to make a partition hot.
-LOOKUP_SHARES = 50_000
-# Parts a group is split into when its rows meet the facts of the group.
-SALTS = 16
-# A lookup table of at most this many rows is broadcast whole.
-LOOKUP_WHOLE_ROWS = 500_000
-# Broadcast keys are at most this long, so a broadcast stays below ~50 MB.
-LOOKUP_KEY_CHARS = 64
+KEY_SAMPLE = KEY_BUCKETS * KEY_BUCKETS * 8
 
 
 def _leading(items: Column, size: int, holds: Callable[[Column], Column]) -> Column:
@@ -76,24 +70,40 @@ def global_position(
     return _ranked_within(keyed, "_bucket", [F.col("_key"), F.col(tie)], position).drop("_key")
 
 
-def sorted_position(df: DataFrame, key: str, order: Column, position: str = "position") -> DataFrame:
-    """Position 1..N of every row in the order of any expression; ``key`` is unique.
+def _splitters(sorted_keys: Column) -> Column:
+    """At most KEY_BUCKETS - 1 keys that cut a sorted array evenly."""
+    step = F.greatest(F.lit(1), F.ceil(F.size(sorted_keys) / KEY_BUCKETS))
+    return F.filter(sorted_keys, lambda x, i: (i % step == 0) & (i > 0))
 
-    Buckets are cut at splitters read from a fixed-size uniform sample (lowest
-    hashes of the key), so they follow the data: many equal counts or a shared
-    prefix do not gather in one bucket.
+
+def sorted_position(
+    df: DataFrame, key: str, order: Column, position: str = "position", sample: int = KEY_SAMPLE
+) -> DataFrame:
+    """Position 1..N of every row in the order of any expression, which is unique or followed by ``key``.
+
+    Splitters are read from about ``sample`` distinct keys, chosen by hash at a rate that follows the
+    number of rows, and cut the rows twice: into KEY_BUCKETS ranges, and each of those into as many
+    again. A task ranks about 1/16,000 of all rows, whatever they hold; equal weights or shared
+    prefixes do not gather in one bucket. What is broadcast are the splitters alone.
     """
     keyed = df.withColumn("_order", order)
-    sample = (
-        keyed.orderBy(F.xxhash64(key), F.col(key))
-        .limit(KEY_SAMPLE)
-        .agg(F.array_sort(F.collect_list("_order")).alias("s"))
+    size = df.agg(F.count(F.lit(1))).scalar()
+    chosen = F.pmod(F.xxhash64("_order"), F.greatest(F.lit(1), size)) < sample
+    seen = keyed.where(chosen).select("_order").distinct()
+    first = seen.agg(F.array_sort(F.collect_list("_order")).alias("s")).select(_splitters(F.col("s"))).scalar()
+
+    def cut(rows: DataFrame) -> DataFrame:
+        below = _leading(F.col("_splitters"), KEY_BUCKETS, lambda s: s <= F.col("_order"))
+        return rows.withColumn("_splitters", first).withColumn("_range", below).drop("_splitters")
+
+    second = cut(seen).groupBy("_range").agg(F.array_sort(F.collect_list("_order")).alias("s"))
+    second = second.select("_range", _splitters(F.col("s")).alias("_splitters"))
+    within = F.coalesce(
+        _leading(F.col("_splitters"), KEY_BUCKETS, lambda s: s <= F.col("_order")), F.lit(0)
     )
-    step = F.greatest(F.lit(1), F.ceil(F.size("s") / KEY_BUCKETS))
-    splitters = sample.select(F.filter("s", lambda x, i: (i % step == 0) & (i > 0))).scalar()
-    below = _leading(F.col("_splitters"), KEY_BUCKETS, lambda s: s <= F.col("_order"))
-    bucketed = keyed.withColumn("_splitters", splitters).withColumn("_bucket", below).drop("_splitters")
-    return _ranked_within(bucketed, "_bucket", [F.col("_order")], position).drop("_order")
+    bucketed = cut(keyed).join(F.broadcast(second), "_range", "left")
+    bucketed = bucketed.withColumn("_bucket", F.col("_range") * (KEY_BUCKETS + 1) + within).drop("_splitters", "_range")
+    return _ranked_within(bucketed, "_bucket", [F.col("_order"), F.col(key)], position).drop("_order")
 
 
 def join_by(left: DataFrame, right: DataFrame, by: By) -> DataFrame:
@@ -105,15 +115,28 @@ def join_by(left: DataFrame, right: DataFrame, by: By) -> DataFrame:
     return left.join(renamed, same).drop(*[f"_by_{c}" for c in by])
 
 
-def join_group_facts(rows: DataFrame, facts: DataFrame, by: By, spread_by: str) -> DataFrame:
+def _without(rows: DataFrame, groups: DataFrame, by: By) -> DataFrame:
+    """Rows of all groups but these; a null group is a group like others."""
+    renamed = groups.select(*[F.col(c).alias(f"_by_{c}") for c in by])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
+    return rows.join(F.broadcast(renamed), same, "left_anti")
+
+
+def hot_groups(rows: DataFrame, by: By, shares: int = GROUP_SHARES) -> DataFrame:
+    """Groups that hold at least 1/``shares`` of all rows: no more than ``shares`` of them."""
+    size = rows.agg(F.count(F.lit(1))).scalar()
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    return sizes.where(F.col("_rows") * shares >= size).select(*by)
+
+
+def join_group_facts(rows: DataFrame, facts: DataFrame, by: By, shares: int = GROUP_SHARES) -> DataFrame:
     """Join rows to the one fact row of their group, a group's rows being any share of all.
 
-    A hot group is split into ``SALTS`` parts by a hash of ``spread_by``; the fact
-    rows, few against the rows, are repeated once per part.
+    Facts of hot groups go to the rows, wherever they are; rows of other groups go to their facts.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
-    repeated = facts.withColumn("_salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])))
-    return join_by(salted, repeated, [*by, "_salt"]).drop("_salt")
+    hot = hot_groups(rows, by, shares)
+    met = join_by(rows, F.broadcast(join_by(facts, F.broadcast(hot), by)), by)
+    return met.unionByName(join_by(_without(rows, hot, by), facts, by))
 
 
 def value_counts(df: DataFrame, value: str, by: By = ()) -> DataFrame:
@@ -138,102 +161,90 @@ def exploded(df: DataFrame, items: Column, name: str, *keep: str) -> DataFrame:
 
 
 def exact_quantiles(
-    counts: DataFrame, value: str, quantiles: dict[str, float], by: By = (), buckets: int = QUANTILE_BUCKETS
+    counts: DataFrame,
+    value: str,
+    quantiles: dict[str, float],
+    by: By = (),
+    buckets: int = QUANTILE_BUCKETS,
+    shares: int = GROUP_SHARES,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, from the output of ``value_counts``.
 
-    Approximate quantiles only choose where each group's values are cut into
-    buckets; exact counts per bucket then tell which bucket holds a wanted rank,
-    and only those buckets are sorted. A bad cut costs time, never the result.
+    A mergeable sketch of a hot group's distinct values chooses where they are cut into brackets;
+    exact counts per bracket tell which bracket holds a wanted rank, and only the values of those
+    brackets are sorted. Cuts and brackets are broadcast (``shares`` groups at most), so the distinct
+    values of a hot group stay where counting has put them. A bad cut costs time, never the result:
+    the brackets of a group cover all numbers. Other groups are small enough to be sorted whole.
     """
     by = list(by)
-    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    groups = counts.groupBy(*by).agg(
-        F.percentile_approx(value, cuts, F.lit(10_000)).alias("_cuts"),
-        F.sum("_n").alias("_total"),
+    counts = counts.select(*by, F.col(value).cast("double").alias("_value"), "_n")
+    if not by:
+        return _of_ranks(_bracketed(counts, quantiles, by, buckets), quantiles, by)
+    hot = hot_groups(counts, by, shares)
+    spread = _bracketed(join_by(counts, F.broadcast(hot), by), quantiles, by, buckets)
+    running = Window.partitionBy(*by).orderBy("_value")
+    sums = F.sum("_n").over(running)
+    whole = F.sum("_n").over(Window.partitionBy(*by))
+    small = _without(counts, hot, by).select(
+        *by, "_value", (sums - F.col("_n")).alias("_first"), sums.alias("_last"), whole.alias("_total")
     )
+    return _of_ranks(spread, quantiles, by).unionByName(_of_ranks(small, quantiles, by))
+
+
+def _ranks(quantiles: dict[str, float]) -> dict[str, tuple[Column, Column, Column]]:
+    """By name: the wanted place among the sorted rows, and the ranks below and above it."""
+    places = {name: F.lit(float(q)) * (F.col("_total") - 1) for name, q in quantiles.items()}
+    return {name: (place, F.floor(place), F.ceil(place)) for name, place in places.items()}
+
+
+def _bracketed(counts: DataFrame, quantiles: dict[str, float], by: list[str], buckets: int) -> DataFrame:
+    """by, _value, _first, _last, _total: places of the values in the brackets that hold a wanted rank."""
+    at = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    sketch = F.kll_sketch_agg_double("_value", SKETCH_SIZE).alias("_sketch")
+    cuts = counts.groupBy(*by).agg(sketch).where(F.kll_sketch_get_n_double("_sketch") > 0)
+    cuts = cuts.select(*by, F.kll_sketch_get_quantile_double("_sketch", at).alias("_cuts"))
+    bracket = _leading(F.col("_cuts"), buckets, lambda c: c < F.col("_value"))
     if by:
-        cut_up = join_group_facts(counts, groups, by, value)
+        cut_up = join_by(counts, F.broadcast(cuts), by)
     else:
-        one = groups.select(F.struct("_cuts", "_total")).scalar()
-        cut_up = counts.withColumn("_g", one).select("*", "_g._cuts", "_g._total").drop("_g")
-    cut_up = cut_up.withColumn(
-        "_bucket", _leading(F.col("_cuts"), buckets, lambda c: c < F.col(value))
-    ).drop("_cuts")
-
-    in_group = Window.partitionBy(*by).orderBy("_bucket")
-    totals = (
-        cut_up.groupBy(*by, "_bucket", "_total")
-        .agg(F.sum("_n").alias("_rows"))
-        .withColumn("_end", F.sum("_rows").over(in_group))
-        .withColumn("_start", F.col("_end") - F.col("_rows"))
-    )
-    ranks = {}
-    for name, q in quantiles.items():
-        place = F.lit(float(q)) * (F.col("_total") - 1)
-        ranks[name] = (place, F.floor(place), F.ceil(place))
+        cut_up = counts.withColumn("_cuts", cuts.select("_cuts").scalar())
+    cut_up = cut_up.select(*by, "_value", "_n", F.coalesce(bracket, F.lit(0)).alias("_bucket"))
+
+    # at most as many rows as there are brackets in all hot groups
+    totals = cut_up.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_rows"))
+    end = F.sum("_rows").over(Window.partitionBy(*by).orderBy("_bucket"))
+    whole = F.sum("_rows").over(Window.partitionBy(*by))
+    totals = totals.select(*by, "_bucket", (end - F.col("_rows")).alias("_start"), end.alias("_end"), whole.alias("_total"))
     holds = [
-        (F.col("_start") <= r) & (r < F.col("_end")) for _, lo, hi in ranks.values() for r in (lo, hi)
+        (F.col("_start") <= r) & (r < F.col("_end")) for _, low, high in _ranks(quantiles).values() for r in (low, high)
     ]
-    wanted = totals.where(reduce(lambda a, b: a | b, holds)).drop("_rows", "_end", "_total")
+    wanted = totals.where(reduce(lambda a, b: a | b, holds)).drop("_end")
+    inside = join_by(cut_up, F.broadcast(wanted), [*by, "_bucket"])
+    last = F.col("_start") + F.sum("_n").over(Window.partitionBy(*by, "_bucket").orderBy("_value"))
+    return inside.select(*by, "_value", (last - F.col("_n")).alias("_first"), last.alias("_last"), "_total")
 
-    running = Window.partitionBy(*by, "_bucket").orderBy(value)
-    placed = (
-        join_by(cut_up, wanted, [*by, "_bucket"])
-        .withColumn("_last", F.col("_start") + F.sum("_n").over(running))
-        .withColumn("_first", F.col("_last") - F.col("_n"))
-    )
+
+def _of_ranks(placed: DataFrame, quantiles: dict[str, float], by: list[str]) -> DataFrame:
+    """Interpolated quantiles from the places of the values around their ranks."""
+    ranks = _ranks(quantiles)
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_first") <= rank) & (rank < F.col("_last")), F.col(value))).cast("double")
+        return F.max(F.when((F.col("_first") <= rank) & (rank < F.col("_last")), F.col("_value")))
 
     found = placed.groupBy(*by).agg(
-        *[at(lo).alias(f"_{name}_lo") for name, (_, lo, _hi) in ranks.items()],
-        *[at(hi).alias(f"_{name}_hi") for name, (_, _lo, hi) in ranks.items()],
+        *[at(low).alias(f"_{name}_lo") for name, (_, low, _hi) in ranks.items()],
+        *[at(high).alias(f"_{name}_hi") for name, (_, _lo, high) in ranks.items()],
         F.max("_total").alias("_total"),
     )
     return found.select(
         *by,
         *[
-            (
-                F.col(f"_{name}_lo")
-                + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * (place - F.floor(place))
-            ).alias(name)
+            (F.col(f"_{name}_lo") + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * (place - F.floor(place))).alias(name)
             for name, (place, _, _) in ranks.items()
         ],
     )
 
 
-def _fits_a_broadcast(table: DataFrame, key: str, rows: int) -> bool:
-    """Whether the table has at most ``rows`` rows, all with short keys (one scan of its keys)."""
-    seen = table.select(F.length(key).alias("chars")).limit(rows + 1).agg(F.count(F.lit(1)), F.max("chars")).first()
-    return seen[0] <= rows and (seen[1] or 0) <= LOOKUP_KEY_CHARS
-
-
-def lookup(
-    facts: DataFrame,
-    table: DataFrame,
-    key: str,
-    weight: str,
-    how: str = "inner",
-    shares: int = LOOKUP_SHARES,
-    whole_rows: int = LOOKUP_WHOLE_ROWS,
-) -> DataFrame:
-    """Join facts to a stored table with one row per key and ``weight`` = its fact rows.
-
-    A table counted to be small goes out whole. Of a larger one only the frequent
-    keys do, at most ``shares`` of them, so hot rows never travel by key; the rest
-    is shuffled and holds no hot key.
-    """
-    if _fits_a_broadcast(table, key, whole_rows):
-        return facts.join(F.broadcast(table), key, how)
-    total = table.agg(F.sum(weight)).scalar()
-    frequent = table.where((F.length(key) <= LOOKUP_KEY_CHARS) & (F.col(weight) * shares >= total))
-    hot = facts.join(F.broadcast(frequent), key)
-    rest = facts.join(F.broadcast(frequent.select(key)), key, "left_anti").join(table, key, how)
-    return hot.unionByName(rest)
-
-
 def merge_rows(frames: list[DataFrame], by: By = ()) -> DataFrame:
     """One row per group with the columns of all frames, each having one row per group."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from lexflume.constants import CLASS_IDS, DEFAULT_KEYWORDS
 from lexflume.functions.text import item_counts, join_keywords, tokens
-from lexflume.operators.distributed import exploded, lookup
+from lexflume.operators.distributed import exploded
+from lexflume.operators.keyed import KeyedTable
 from lexflume.session import stored
 
 # Width of the hashed term space: the fitted model is classes x this many numbers.
@@ -125,14 +128,6 @@ def baseline_classifier(train: DataFrame, test: DataFrame, label: str = "label")
     )
 
 
-def term_counts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (document, term, tf); counted within each document's row, so nothing is shuffled."""
-    counted = df.select(key, F.explode_outer(item_counts(tokens(F.col(text)))).alias("c"))
-    return counted.where(F.col("c").isNotNull()).select(
-        key, F.col("c.item").alias("term"), F.col("c.n").cast("bigint").alias("tf")
-    )
-
-
 def _idf(n_docs, doc_freq):
     return F.log((n_docs + 1) / (doc_freq + 1))
 
@@ -149,35 +144,59 @@ def idf_table(df: DataFrame, text: str = "text") -> DataFrame:
     return found.withColumn("idf", _idf(F.col("n_docs"), F.col("doc_freq")))
 
 
-def _top(scored: DataFrame, key: str, k: int) -> DataFrame:
-    order = Window.partitionBy(key).orderBy(F.col("score").desc(), "term")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select(key, "rank", "term", "score")
+@dataclass(frozen=True)
+class Idf:
+    """A stored IDF table ready for look-ups; make it once for a stream or for many frames."""
+
+    table: KeyedTable
+    n_docs: int
+
+    @staticmethod
+    def of(table: DataFrame, **limits: int) -> Idf:
+        return Idf(KeyedTable(table, "term", **limits), table.agg(F.max("n_docs")).first()[0] or 0)
+
+
+def with_ranked_terms(df: DataFrame, k: int, idf: Idf, text: str = "text", out: str = "ranked") -> DataFrame:
+    """``df`` with ``out``, each row's ``k`` best terms as an array of (term, score).
+
+    A row's terms are counted, looked up, scored and sorted within the row. Scores are rounded before
+    they are ranked, so the order does not hang on the last digit. Terms the table lacks get the idf
+    of a term in no document.
+    """
+    counted = df.withColumn("_counted", item_counts(tokens(F.col(text))))
+    terms = F.transform("_counted", lambda c: c["item"])
+    unseen = math.log(idf.n_docs + 1)
+    known = idf.table.look_up(counted, terms, "idf", unseen, "_idf")
+    scored = F.zip_with(
+        "_counted", "_idf", lambda c, w: F.struct((-F.round(c["n"] * w, 6)).alias("w"), c["item"].alias("term"))
+    )
+    best = F.transform(
+        F.slice(F.array_sort(scored), 1, k), lambda t: F.struct(t["term"].alias("term"), (-t["w"]).alias("score"))
+    )
+    return known.select(*df.columns, best.alias(out))
+
+
+def _ranked_rows(df: DataFrame, key: str, ranked: str) -> DataFrame:
+    rows = df.select(key, F.posexplode_outer(ranked).alias("pos", "t")).where(F.col("t").isNotNull())
+    return rows.select(key, (F.col("pos") + 1).alias("rank"), F.col("t.term").alias("term"), F.col("t.score").alias("score"))
 
 
 def extract_keywords(
     df: DataFrame,
     k: int = DEFAULT_KEYWORDS,
-    idf: DataFrame | None = None,
+    idf: DataFrame | Idf | None = None,
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """Top ``k`` terms per document by tf-idf, idf = ln((N + 1) / (df + 1)).
+    """Top ``k`` terms per row by tf-idf, idf = ln((N + 1) / (df + 1)).
 
-    With a stored ``idf`` table only scoring is done; terms it lacks get the idf
-    of a term in no document. Without one the table of this corpus is stored first.
-    Scores are rounded before they are ranked, so the order does not hang on the
-    last digit.
+    Without a stored ``idf`` table that of this corpus is stored first. Every row has a ranking of its
+    own, also where keys are equal or null.
     """
-    tf = term_counts(df, key, text)
-    if idf is None:
-        matched = lookup(tf, stored(idf_table(df, text), "idf"), "term", "doc_freq")
-    else:
-        n_docs = idf.agg(F.max("n_docs")).scalar()
-        matched = lookup(tf, idf, "term", "doc_freq", how="left").withColumn(
-            "idf", F.coalesce("idf", _idf(n_docs, F.lit(0)))
-        )
-    return _top(matched.withColumn("score", F.round(F.col("tf") * F.col("idf"), 6)), key, k)
+    if not isinstance(idf, Idf):
+        idf = Idf.of(stored(idf_table(df, text), "idf") if idf is None else idf)
+    ranked = with_ranked_terms(df.select(key, F.col(text).alias("_text")), k, idf, "_text")
+    return _ranked_rows(ranked, key, "ranked")
 
 
 def baseline_keywords(df: DataFrame, k: int = DEFAULT_KEYWORDS, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -103,7 +103,7 @@ def box_stats(df: DataFrame, value: str, by: By) -> DataFrame:
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        join_group_facts(counts, quartiles, by, value)
+        join_group_facts(counts, quartiles, by)
         .groupBy(*by)
         .agg(
             F.max("q1").alias("q1"),
@@ -120,12 +120,21 @@ def box_stats(df: DataFrame, value: str, by: By) -> DataFrame:
 def sample_per_class(df: DataFrame, key: str, name: str = "label_name", n: int = 2, seed: int = SEED) -> DataFrame:
     """Seeded sample of ``n`` rows per class.
 
-    The rank limit is applied in every task before the shuffle, so a class with
-    most of the rows sends ``n`` of them per task.
+    Keys are ranked apart from their rows, with the rank limit applied in every task before the
+    shuffle; whole rows are read again only where their key is among the few chosen. A key that
+    stands in several rows is chosen as often as it stands among the first ``n``.
     """
-    order = Window.partitionBy(name).orderBy(seeded_key(F.col(key), seed), F.col(key))
-    present = df.where(F.col(name).isNotNull())
-    return present.withColumn("sample_no", F.row_number().over(order)).where(F.col("sample_no") <= n)
+    order = Window.partitionBy(name).orderBy("_digest", key)
+    keys = df.where(F.col(name).isNotNull()).select(key, name, seeded_key(F.col(key), seed).alias("_digest"))
+    ranked = keys.withColumn("sample_no", F.row_number().over(order)).where(F.col("sample_no") <= n)
+    chosen = ranked.groupBy(key, name).agg(F.array_sort(F.collect_list("sample_no")).alias("_numbers"))
+    renamed = chosen.select(F.col(key).alias("_key"), F.col(name).alias("_name"), "_numbers")
+    found = df.join(F.broadcast(renamed), F.col(key).eqNullSafe(F.col("_key")) & (F.col(name) == F.col("_name")))
+    # of rows with an equal key as many are taken as the key was chosen, in the order of their content
+    alike = Window.partitionBy(key, name).orderBy(F.xxhash64(*df.columns))
+    numbered = found.withColumn("_at", F.row_number().over(alike)).where(F.col("_at") <= n)
+    numbered = numbered.where(F.col("_at") <= F.size("_numbers"))
+    return numbered.select(*df.columns, F.get("_numbers", F.col("_at") - 1).alias("sample_no"))
 
 
 def keyword_stats(df: DataFrame, keywords: str = "keywords_list", document: str = "document") -> DataFrame:

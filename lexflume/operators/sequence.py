@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexflume.constants import (
     IGNORED_LABEL,
+    MAX_DOCUMENT_LEN,
     MAX_TARGET_LEN,
     MAX_TEXT_LEN,
     PAD_ID,
@@ -17,7 +19,8 @@ from lexflume.constants import (
 )
 from lexflume.functions.hashing import seeded_key
 from lexflume.functions.text import tokens
-from lexflume.operators.distributed import exploded, global_position, lookup, sorted_position
+from lexflume.operators.distributed import exploded, global_position, sorted_position
+from lexflume.operators.keyed import KeyedTable
 
 
 def build_vocab(df: DataFrame, text: str = "text", min_count: int = 1) -> DataFrame:
@@ -36,9 +39,29 @@ def build_vocab(df: DataFrame, text: str = "text", min_count: int = 1) -> DataFr
     return placed.select("token", "n", (F.col("position") + UNKNOWN_ID).alias("id"))
 
 
+def as_vocab(vocab: DataFrame | KeyedTable) -> KeyedTable:
+    """A vocabulary ready for look-ups; make it once when many frames are encoded."""
+    return vocab if isinstance(vocab, KeyedTable) else KeyedTable(vocab, "token")
+
+
+def _with_ids(df: DataFrame, vocab: DataFrame | KeyedTable, text: str, max_len: int, out: str) -> DataFrame:
+    """``df`` with ``out``, the ids of the text's first ``max_len`` tokens."""
+    cut = F.slice(tokens(F.col(text)), 1, max_len)
+    found = as_vocab(vocab).look_up(df, cut, "id", UNKNOWN_ID, out)
+    return found.withColumn(out, F.col(out).cast("array<int>"))
+
+
+def _padded(ids: str, max_len: int, pad: int) -> Column:
+    return F.concat(ids, F.array_repeat(F.lit(pad), max_len - F.size(ids)))
+
+
+def _mask(ids: str, max_len: int) -> Column:
+    return F.concat(F.array_repeat(F.lit(1), F.size(ids)), F.array_repeat(F.lit(0), max_len - F.size(ids)))
+
+
 def encode(
     df: DataFrame,
-    vocab: DataFrame,
+    vocab: DataFrame | KeyedTable,
     max_len: int = MAX_TEXT_LEN,
     key: str = "doc_id",
     text: str = "text",
@@ -46,59 +69,57 @@ def encode(
 ) -> DataFrame:
     """Token ids cut and padded to the model's input length, with the attention mask.
 
-    Cutting comes before the explode, so no more than ``max_len`` rows per text
-    travel. A text without tokens sends one placeholder of its own.
+    One row for every row of ``df``, whatever its key: equal and null keys stay apart. A null text
+    has no tokens. With a small vocabulary rows stay where they are.
     """
-    cut = F.slice(tokens(F.col(text)), 1, max_len)
-    none = F.concat(F.lit(" "), F.col(key).cast("string"))
-    facts = df.select(
-        key, *keep, F.posexplode(F.when(F.size(cut) > 0, cut).otherwise(F.array(none))).alias("pos", "token")
-    )
-    known = lookup(facts, vocab.select("token", "n", "id"), "token", "n", how="left")
-    item = F.struct("pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id"))
-    real = F.when(~F.startswith("token", F.lit(" ")), item)
-    ids = F.transform(F.array_sort(F.collect_list(real)), lambda x: x["id"].cast("int"))
-    return (
-        known.groupBy(key, *keep)
-        .agg(ids.alias("_ids"))
-        .withColumn("_pad", max_len - F.size("_ids"))
-        .select(
-            key,
-            *keep,
-            F.concat("_ids", F.array_repeat(F.lit(PAD_ID), F.col("_pad"))).alias("input_ids"),
-            F.concat(
-                F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), F.col("_pad"))
-            ).alias("attention_mask"),
-        )
+    coded = _with_ids(df.select(key, *keep, F.col(text).alias("_text")), vocab, "_text", max_len, "_ids")
+    return coded.select(
+        key, *keep, _padded("_ids", max_len, PAD_ID).alias("input_ids"), _mask("_ids", max_len).alias("attention_mask")
     )
 
 
 def encode_target(
     df: DataFrame,
-    vocab: DataFrame,
+    vocab: DataFrame | KeyedTable,
     max_len: int = MAX_TARGET_LEN,
     key: str = "doc_id",
     text: str = "keywords_str",
 ) -> DataFrame:
     """Target ids as ``labels``; padded positions hold -100, which a loss leaves out."""
-    encoded = encode(df, vocab, max_len, key, text)
-    labels = F.transform("input_ids", lambda x: F.when(x == PAD_ID, F.lit(IGNORED_LABEL)).otherwise(x))
-    return encoded.select(key, labels.alias("labels"))
-
-
-def decode_target(df: DataFrame, vocab: DataFrame, key: str = "doc_id", labels: str = "labels") -> DataFrame:
-    """Labels back to text: ignored positions and pads are dropped as ids."""
-    facts = df.select(key, F.posexplode(labels).alias("pos", "id")).where(~F.col("id").isin(IGNORED_LABEL, PAD_ID))
-    named = lookup(
-        facts.withColumn("id", F.col("id").cast("string")),
-        vocab.select(F.col("id").cast("string").alias("id"), "token", "n"),
-        "id",
-        "n",
-        how="left",
+    coded = _with_ids(df.select(key, F.col(text).alias("_text")), vocab, "_text", max_len, "_ids")
+    return coded.select(key, _padded("_ids", max_len, IGNORED_LABEL).alias("labels"))
+
+
+def encode_records(
+    df: DataFrame,
+    vocab: DataFrame | KeyedTable,
+    key: str = "doc_id",
+    document: str = "document",
+    target: str = "keywords_str",
+    max_document: int = MAX_DOCUMENT_LEN,
+    max_target: int = MAX_TARGET_LEN,
+) -> DataFrame:
+    """Records of a sequence-to-sequence model: document ids, mask and target labels in one row."""
+    held = as_vocab(vocab)
+    coded = df.select(key, F.col(document).alias("_document"), F.col(target).alias("_target"))
+    coded = _with_ids(coded, held, "_document", max_document, "_ids")
+    coded = _with_ids(coded, held, "_target", max_target, "_labels")
+    return coded.select(
+        key,
+        _padded("_ids", max_document, PAD_ID).alias("input_ids"),
+        _mask("_ids", max_document).alias("attention_mask"),
+        _padded("_labels", max_target, IGNORED_LABEL).alias("labels"),
     )
-    item = F.struct("pos", F.coalesce("token", F.lit("<unk>")).alias("token"))
-    words = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["token"])
-    return named.groupBy(key).agg(F.array_join(words, " ").alias("decoded"))
+
+
+def decode_target(
+    df: DataFrame, vocab: DataFrame, key: str = "doc_id", labels: str = "labels", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Labels back to text: ignored positions and pads are dropped as ids; one row for every row of ``df``."""
+    real = F.filter(labels, lambda x: ~x.isin(IGNORED_LABEL, PAD_ID)).cast("array<bigint>")
+    by_id = KeyedTable(vocab.select(F.col("id").cast("bigint").alias("id"), "token"), "id")
+    named = by_id.look_up(df.select(key, *keep, labels), real, "token", "<unk>", "_tokens")
+    return named.select(key, *keep, F.array_join("_tokens", " ").alias("decoded"))
 
 
 def shuffle_and_batch(df: DataFrame, key: str, size: int, seed: int = SEED, shuffle: bool = True) -> DataFrame:
@@ -111,3 +132,41 @@ def shuffle_and_batch(df: DataFrame, key: str, size: int, seed: int = SEED, shuf
     else:
         placed = sorted_position(df, key, F.struct(F.col(key)))
     return placed.withColumn("batch_id", F.floor((F.col("position") - 1) / size))
+
+
+def batch_records(
+    df: DataFrame, key: str, size: int, columns: Sequence[str], seed: int = SEED, shuffle: bool = True
+) -> DataFrame:
+    """Batches as a trainer takes them: one row per batch, with its rows' columns stacked in row order.
+
+    ``batch_id``, ``n`` (rows, ``size`` but in the last batch), ``keys`` and, for every column, the array
+    of its values. No group holds more than one batch, so memory is bounded by ``size`` rows.
+    """
+    placed = shuffle_and_batch(df.select(key, *columns), key, size, seed, shuffle)
+    row = F.struct("position", F.col(key).alias("_key"), *columns)
+    stacked = placed.groupBy("batch_id").agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    return stacked.select(
+        "batch_id",
+        F.size("_rows").alias("n"),
+        F.transform("_rows", lambda r: r["_key"]).alias("keys"),
+        *[F.transform("_rows", partial(_field, c)).alias(c) for c in columns],
+    )
+
+
+def _field(name: str, row: Column) -> Column:
+    return row[name]
+
+
+def write_batches(batches: DataFrame, path: str, per_file: int = 1024) -> None:
+    """Store batches in files of ``per_file`` batches, in order, each in the folder of its range."""
+    ranged = batches.withColumn("range", F.floor(F.col("batch_id") / per_file))
+    ordered = ranged.repartition("range").sortWithinPartitions("range", "batch_id")
+    ordered.write.mode("overwrite").partitionBy("range").parquet(path)
+
+
+def read_batches(spark: SparkSession, path: str, first: int = 0, last: int | None = None, per_file: int = 1024) -> DataFrame:
+    """Stored batches ``first`` to ``last``; only the folders of their ranges are read."""
+    found = spark.read.parquet(path).where((F.col("batch_id") >= first) & (F.col("range") >= first // per_file))
+    if last is not None:
+        found = found.where((F.col("batch_id") <= last) & (F.col("range") <= last // per_file))
+    return found.drop("range")

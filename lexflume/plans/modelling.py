@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.operators import evaluate, history, models, scoring
+from lexflume.operators import evaluate, history, keyphrases, models, scoring
 from lexflume.plans.fixtures import Views, sql_tokens
 from lexflume.plans.registry import registered
 
@@ -72,6 +72,20 @@ def extract_keywords(v: Views) -> DataFrame:
     return models.extract_keywords(v.table("documents"))
 
 
+@registered(
+    "WITH turns AS (SELECT row_number() OVER () AS rid, CASE WHEN role <> 'system' THEN conv_id END AS conv_id, text FROM conversations), "
+    f"tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest({sql_tokens('text')}) AS term FROM turns) GROUP BY rid, term), "
+    "idf AS (SELECT term, ln(((SELECT count(*) FROM turns) + 1) / (count(*) + 1)) AS idf FROM tf GROUP BY term), "
+    "scored AS (SELECT rid, term, round(tf * idf, 6) AS score FROM tf JOIN idf USING (term)) "
+    "SELECT conv_id, CAST(r AS INTEGER) AS rank, term, score FROM (SELECT *, "
+    "row_number() OVER (PARTITION BY rid ORDER BY score DESC, term) AS r FROM scored) JOIN turns USING (rid) WHERE r <= 5"
+)
+def keywords_of_turns(v: Views) -> DataFrame:
+    """Rows with repeated and null keys: every row has a ranking of its own."""
+    turns = v.table("conversations").select(F.expr("CASE WHEN role <> 'system' THEN conv_id END AS conv_id"), "text")
+    return models.extract_keywords(turns, 5, key="conv_id")
+
+
 @registered(f"WITH {_TF}, scored AS (SELECT doc_id, term, CAST(tf AS DOUBLE) AS score FROM tf) {_TOP}")
 def baseline_keywords(v: Views) -> DataFrame:
     return models.baseline_keywords(v.table("documents"))
@@ -105,3 +119,50 @@ def best_epoch(v: Views) -> DataFrame:
 def checkpoints(v: Views) -> DataFrame:
     kept = history.checkpoints(history.epoch_losses(v.history(), ["run_id"]))
     return kept.withColumn("val_loss", F.round("val_loss", 6))
+
+
+# Tokens with `|` between pieces; stop words stand in a tenth of all rows.
+_FREE = (
+    "cut AS (SELECT doc_id, list_filter(string_split_regex(regexp_replace(lower(text), '[.,;:!?()\\[\\]{}\"|\\r\\n]+', ' | ', 'g'), "
+    "'[^a-z0-9|]+'), lambda t: t <> '') AS toks FROM documents), "
+    f"seen AS (SELECT DISTINCT doc_id, unnest({sql_tokens('text')}) AS token FROM documents), "
+    "stops AS (SELECT token FROM seen GROUP BY token HAVING count(*) >= 0.1 * (SELECT count(*) FROM documents)), "
+    "spots AS (SELECT doc_id, unnest(toks) AS token, generate_subscripts(toks, 1) AS p FROM cut), "
+    "free AS (SELECT *, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS run FROM spots "
+    "WHERE token <> '|' AND token NOT IN (SELECT token FROM stops))"
+)
+# Phrases of 2, 3 and 4 words between stop words, a row per occurrence.
+_GRAMS = " UNION ALL ".join(
+    f"SELECT doc_id, {n} AS words, string_agg(token, ' ') OVER w AS phrase, count(*) OVER w AS held FROM free "
+    f"WINDOW w AS (PARTITION BY doc_id, run ORDER BY p ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)"
+    for n in (2, 3, 4)
+)
+_PHRASES = (
+    f"WITH {_FREE}, grams AS (SELECT doc_id, words, phrase FROM ({_GRAMS}) WHERE held = words), "
+    "counted AS (SELECT phrase, any_value(words) AS words, count(*) AS f, count(DISTINCT doc_id) AS doc_freq "
+    "FROM grams GROUP BY phrase HAVING count(*) >= 2), "
+    "inner_ AS (SELECT DISTINCT phrase AS longer, f, array_to_string(string_split(phrase, ' ')[i:j], ' ') AS phrase "
+    "FROM counted, range(1, 5) x(i), range(2, 5) y(j) WHERE i < j AND j <= words AND j - i + 1 < words), "
+    "around AS (SELECT phrase, CAST(sum(f) AS BIGINT) AS around, count(*) AS around_n FROM inner_ GROUP BY phrase), "
+    "weighed AS (SELECT phrase, words, f, doc_freq, coalesce(around, 0) AS around, coalesce(around_n, 0) AS around_n, "
+    "round(ln(((SELECT count(*) FROM documents) + 1) / (doc_freq + 1)) * log2(1.0 + words) * "
+    "CASE WHEN around_n > 0 THEN (f - around / around_n) / f ELSE 1.0 END, 6) AS weight FROM counted LEFT JOIN around USING (phrase)) "
+)
+
+
+@registered(_PHRASES + "SELECT phrase, CAST(words AS INTEGER) AS words, f, doc_freq, around, around_n, weight FROM weighed")
+def phrase_table(v: Views) -> DataFrame:
+    """What the corpus knows of its phrases."""
+    return keyphrases.learn_phrases(v.table("documents")).table.rows.drop("n_docs")
+
+
+@registered(
+    _PHRASES
+    + ", scored AS (SELECT doc_id, phrase AS term, round(count(*) * any_value(weight), 6) AS score FROM grams JOIN weighed USING (phrase) "
+    "GROUP BY doc_id, phrase HAVING round(count(*) * any_value(weight), 6) > 0) "
+    "SELECT doc_id, CAST(r AS INTEGER) AS rank, term, score FROM (SELECT *, "
+    "row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS r FROM scored) WHERE r <= 10"
+)
+def extract_keyphrases(v: Views) -> DataFrame:
+    """The ten best phrases of every document."""
+    return keyphrases.extract_keyphrases(v.table("documents"))

@@ -1,5 +1,9 @@
 """Request streams: validate, score, answer; rejects go to their own sink.
 
+Requests that say when they were asked are answered with their response time. Retries - requests with
+an id that was seen less than ``RETRIES_WITHIN`` before - are answered once, across micro-batches and
+restarts.
+
 Each micro-batch runs the batch functions unchanged. A batch writes to a folder
 of its own number and overwrites it when it is run again after a failure, so
 answers appear exactly once.
@@ -17,7 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from lexflume.constants import MAX_KEYWORDS
-from lexflume.operators.models import extract_keywords, keywords_per_document, score_classifier
+from lexflume.functions.text import join_keywords
+from lexflume.operators.models import Idf, score_classifier, with_ranked_terms
 from lexflume.operators.scoring import keywords_response, predict_sentiment, validate_requests
 
 REQUEST_SCHEMA = T.StructType(
@@ -25,8 +30,11 @@ REQUEST_SCHEMA = T.StructType(
         T.StructField("request_id", T.StringType()),
         T.StructField("text", T.StringType()),
         T.StructField("max_keywords", T.IntegerType()),
+        T.StructField("asked_at", T.TimestampType()),
     ]
 )
+# How long the ids of answered requests are kept.
+RETRIES_WITHIN = "10 minutes"
 
 
 def request_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -35,24 +43,49 @@ def request_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000
     return reader.json(path)
 
 
+def without_retries(requests: DataFrame, within: str = RETRIES_WITHIN) -> DataFrame:
+    """A stream's requests with one of each ``request_id``; later ones with an id seen before are left out.
+
+    An id is remembered until the stream's ``asked_at`` has moved on by ``within``, so the state holds
+    the ids of that time and no more; an id that comes again after that is a request of its own, and a
+    request asked longer ago than ``within`` before the latest one is late and may be left out. A
+    request without an id or without a time cannot be told from others: each one is kept.
+    """
+    timed = F.col("request_id").isNotNull() & F.col("asked_at").isNotNull()
+    # rows that are kept apart carry no time, so they neither move the watermark nor fall behind it
+    first = requests.where(timed).withWatermark("asked_at", within).dropDuplicatesWithinWatermark(["request_id"])
+    return first.unionByName(requests.where(~timed))
+
+
+def with_response_time(answers: DataFrame) -> DataFrame:
+    """When a request was answered, and how many milliseconds after it was asked."""
+    now = F.current_timestamp()
+    waited = (F.unix_micros(now) - F.unix_micros("asked_at")) / 1000
+    return answers.withColumns({"answered_at": now, "response_ms": waited})
+
+
+def _timed(requests: DataFrame, *columns: str) -> DataFrame:
+    """These columns and when the request was asked, null where requests do not say."""
+    asked = F.col("asked_at") if "asked_at" in requests.columns else F.lit(None).cast("timestamp").alias("asked_at")
+    return requests.select(*columns, asked)
+
+
 def answer_sentiment(requests: DataFrame, model: PipelineModel) -> DataFrame:
     """Answers to valid sentiment requests."""
-    scored = score_classifier(requests.select("request_id", "text"), model)
-    return predict_sentiment(scored).select("request_id", "text", "label", "confidence", "probabilities")
+    scored = score_classifier(_timed(requests, "request_id", "text"), model)
+    return predict_sentiment(scored).select("request_id", "text", "label", "confidence", "probabilities", "asked_at")
 
 
-def answer_keywords(requests: DataFrame, idf: DataFrame) -> DataFrame:
+def answer_keywords(requests: DataFrame, idf: DataFrame | Idf) -> DataFrame:
     """One answer per valid keyword request; a text without terms gets an empty list.
 
-    Keywords belong to the text and not to the id, which may be null or repeated:
-    each distinct text is worked on once.
+    Keywords are found within the request's row, so null and repeated ids are answered row by row.
     """
-    keyed = requests.select("request_id", "text", "max_keywords", F.sha2("text", 256).alias("_text"))
-    ranked = extract_keywords(keyed.dropDuplicates(["_text"]), MAX_KEYWORDS, idf, key="_text")
-    generated = keywords_per_document(ranked, "_text").select("_text", "generated")
-    joined = keyed.join(generated, "_text", "left")
-    answered = keywords_response(joined.withColumn("generated", F.coalesce("generated", F.lit(""))))
-    return answered.select("request_id", F.col("preview").alias("text"), "keywords", "keywords_string")
+    held = idf if isinstance(idf, Idf) else Idf.of(idf)
+    ranked = with_ranked_terms(_timed(requests, "request_id", "text", "max_keywords"), MAX_KEYWORDS, held)
+    generated = join_keywords(F.transform("ranked", lambda t: t["term"]))
+    answered = keywords_response(ranked.withColumn("generated", generated))
+    return answered.select("request_id", F.col("preview").alias("text"), "keywords", "keywords_string", "asked_at")
 
 
 # Answer what has arrived, then stop; {"processingTime": "10 seconds"} goes on.
@@ -71,7 +104,7 @@ def _run(
         checked = validate_requests(batch, task).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid = checked.where("is_valid").drop("is_valid", "reasons")
-            answer(valid).write.mode("overwrite").json(f"{out}/answers/batch={batch_id}")
+            with_response_time(answer(valid)).write.mode("overwrite").json(f"{out}/answers/batch={batch_id}")
             rejected = checked.where("NOT is_valid").select("request_id", "text", "reasons")
             rejected.write.mode("overwrite").json(f"{out}/rejects/batch={batch_id}")
         finally:
@@ -98,19 +131,22 @@ def stream_sentiment(
 
 def stream_keywords(
     requests: DataFrame,
-    idf: DataFrame,
+    idf: DataFrame | Idf,
     out: str,
     checkpoint: str,
     trigger: dict[str, object] = ARRIVED,
 ) -> StreamingQuery:
-    """Answer keyword requests with a stored IDF table."""
-    return _run(requests, "keyword", lambda valid: answer_keywords(valid, idf), out, checkpoint, trigger)
+    """Answer keyword requests with a stored IDF table, whose size is looked at once and not per batch."""
+    held = idf if isinstance(idf, Idf) else Idf.of(idf)
+    return _run(requests, "keyword", lambda valid: answer_keywords(valid, held), out, checkpoint, trigger)
 
 
 ANSWER_SCHEMAS = {
-    "sentiment": "request_id string, text string, label string, confidence double, "
-    "probabilities map<string,double>, batch int",
-    "keyword": "request_id string, text string, keywords array<string>, keywords_string string, batch int",
+    task: columns + ", asked_at timestamp, answered_at timestamp, response_ms double, batch int"
+    for task, columns in {
+        "sentiment": "request_id string, text string, label string, confidence double, probabilities map<string,double>",
+        "keyword": "request_id string, text string, keywords array<string>, keywords_string string",
+    }.items()
 }
 REJECT_SCHEMA = "request_id string, text string, reasons array<string>, batch int"
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lexflume.functions.hashing import seeded_key
 from lexflume.operators import distributed as d
+from lexflume.operators.keyed import KeyedTable, dealt, hot_keys
 
 
 def lopsided(n=4000, seed=3):
@@ -83,18 +84,37 @@ def test_sorted_position_of_one_row_and_none(frame):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("limits", [{}, {"whole_rows": 5}, {"whole_rows": 5, "shares": 3}, {"whole_rows": 5, "shares": 1}])
-def test_lookup_is_a_join(frame, how, limits):
+@pytest.mark.parametrize("limits", [{}, {"whole_rows": 5}, {"whole_rows": 5, "part_rows": 7}, {"whole_rows": 5, "part_rows": 1, "shares": 3}])
+def test_keyed_join_is_a_join(frame, how, limits):
     rng = random.Random(6)
     long_word = "x" * 100
-    words = ["hot"] * 400 + [long_word] * 50 + [f"w{rng.randint(0, 60)}" for _ in range(400)] + ["absent"] * 10
+    words = ["hot"] * 400 + [long_word] * 50 + [f"w{rng.randint(0, 60)}" for _ in range(400)] + ["absent"] * 90 + [None] * 40
     facts = frame([(i, w) for i, w in enumerate(words)], "id int, w string", 5)
-    table = frame([(w, words.count(w), len(w)) for w in sorted(set(words) - {"absent"})], "w string, n int, size int")
-    found = d.lookup(facts, table, "w", "n", how, **limits).select("id", "w", "size").collect()
+    table = frame([(w, len(w)) for w in sorted({w for w in words if w} - {"absent"})], "w string, size int")
+    held = KeyedTable(table, "w", **limits)
+    assert not held.small  # one key is too long
+    found = held.join(facts, how).select("id", "w", "size").collect()
     expected = facts.join(table, "w", how).select("id", "w", "size").collect()
     assert sorted(found, key=repr) == sorted(expected, key=repr)
 
 
+def test_hot_keys_are_those_of_the_facts(spark):
+    """Keys a table lacks, and missing keys, are dealt over parts too."""
+    key = F.when(F.col("id") % 3 == 0, "lacking").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id")))
+    facts = spark.range(60_000).select("id", key.alias("w"))
+    hot = hot_keys(facts, "w", part_rows=1000)
+    parts = dict(tuple(r) for r in hot.collect())
+    hashes = {r["h"]: r["w"] for r in facts.where("id IN (0, 2)").select("w", F.xxhash64("w").alias("h")).collect()}
+    assert {hashes[h]: n for h, n in parts.items()} == {"lacking": 20, None: 20}
+    sizes = dealt(facts, "w", hot).groupBy("w", "_part").count()
+    assert sizes.agg(F.max("count")).first()[0] < 1300
+    assert sizes.agg(F.sum("count")).first()[0] == 60_000
+
+
+def test_hot_keys_need_no_more_than_their_share(spark):
+    assert hot_keys(spark.range(50_000).select(F.col("id").cast("string").alias("w")), "w", part_rows=1000).isEmpty()
+
+
 def test_merge_rows(frame):
     a = frame([("x", 1), ("y", 2)], "g string, a int")
     b = frame([("x", 3)], "g string, b int")

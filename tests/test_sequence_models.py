@@ -1,12 +1,12 @@
 import math
 import random
 from collections import Counter
-from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
-from lexflume.operators import distributed, models, sequence
+from lexflume.operators import models, sequence
+from lexflume.operators.keyed import KeyedTable
 from lexflume.session import stored
 
 DOCS = [(1, "The cat. The dog!"), (2, "the end"), (3, "..."), (4, None), (5, " ".join(f"w{i}" for i in range(40)))]
@@ -25,11 +25,14 @@ def test_vocab(docs):
     assert [r["token"] for r in sequence.build_vocab(docs, min_count=2).collect()] == ["the"]
 
 
-@pytest.mark.parametrize("limits", [{}, {"whole_rows": 0, "shares": 3}])
-def test_encode(docs, limits, monkeypatch):
-    monkeypatch.setattr(sequence, "lookup", partial(distributed.lookup, **limits))
-    vocab = sequence.build_vocab(docs.where("doc_id < 3"))
-    ids = {r["token"]: r["id"] for r in vocab.collect()}
+# A dictionary in every task, a join, a join whose frequent keys are dealt over parts.
+LIMITS = [{}, {"whole_rows": 0}, {"whole_rows": 0, "part_rows": 2}]
+
+
+@pytest.mark.parametrize("limits", LIMITS)
+def test_encode(docs, limits):
+    vocab = KeyedTable(sequence.build_vocab(docs.where("doc_id < 3")), "token", **limits)
+    ids = {r["token"]: r["id"] for r in vocab.rows.collect()}
     found = {r["doc_id"]: r for r in sequence.encode(docs, vocab, 6).collect()}
     assert set(found) == {1, 2, 3, 4, 5}
     assert found[1]["input_ids"] == [ids["the"], ids["cat"], ids["the"], ids["dog"], 0, 0]
@@ -38,6 +41,42 @@ def test_encode(docs, limits, monkeypatch):
     assert found[5]["input_ids"] == [1] * 6 and found[5]["attention_mask"] == [1] * 6
 
 
+@pytest.mark.parametrize("limits", LIMITS)
+def test_rows_with_equal_and_null_keys_stay_apart(frame, limits):
+    rows = [(1, "a b"), (1, "a b"), (1, "b"), (None, "a"), (None, "a"), (None, None), (None, "")] + [(2, "hot")] * 60
+    df = frame(rows, "k int, text string")
+    vocab = KeyedTable(stored(sequence.build_vocab(df.where("text <> 'hot'")), "vocab"), "token", **limits)
+    ids = {r["token"]: r["id"] for r in vocab.rows.collect()}
+    expected = Counter()
+    for k, text in rows:
+        found = [ids.get(t, 1) for t in (text or "").split()]
+        expected[k, tuple(found + [0] * (3 - len(found))), tuple([1] * len(found) + [0] * (3 - len(found)))] += 1
+    coded = sequence.encode(df, vocab, 3, key="k")
+    assert Counter((r["k"], tuple(r["input_ids"]), tuple(r["attention_mask"])) for r in coded.collect()) == expected
+    idf = models.Idf.of(stored(models.idf_table(df), "idf"), **limits)
+    ranked = Counter((r["k"], r["rank"], r["term"]) for r in models.extract_keywords(df, 2, idf, key="k").collect())
+    assert ranked[1, 1, "b"] == 3 and ranked[1, 2, "a"] == 2
+    assert ranked[None, 1, "a"] == 2 and ranked[2, 1, "hot"] == 60 and ranked.total() == 67
+
+
+def test_encode_moves_nothing_with_a_small_vocabulary(docs):
+    vocab = KeyedTable(stored(sequence.build_vocab(docs), "vocab"), "token")
+    idf = models.Idf.of(stored(models.idf_table(docs), "idf"))
+    rows = docs.sparkSession.createDataFrame(DOCS, "doc_id int, text string")
+    for df in (sequence.encode(rows, vocab, 6), models.extract_keywords(rows, 3, idf)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and "Join" not in text and "ArrowEvalPython" in text
+
+
+def test_records(docs):
+    vocab = sequence.build_vocab(docs)
+    both = docs.withColumn("keywords_str", F.lit("cat; zebra"))
+    found = {r["doc_id"]: r for r in sequence.encode_records(both, vocab, document="text").collect()}
+    assert {len(r["input_ids"]) for r in found.values()} == {512} and {len(r["labels"]) for r in found.values()} == {64}
+    assert found[1]["labels"][1:3] == [1, -100] and found[1]["labels"][0] > 1 and sum(found[1]["attention_mask"]) == 4
+    assert sum(found[4]["attention_mask"]) == 0
+
+
 def test_encode_keeps_columns(frame):
     df = frame([(1, "a b", 2)], "doc_id int, text string, label int")
     row = sequence.encode(df, sequence.build_vocab(df), 3, keep=["label"]).first()
@@ -55,7 +94,7 @@ def test_decoded_target_is_the_text(docs):
     vocab = stored(sequence.build_vocab(docs), "vocab")
     labels = sequence.encode_target(docs, vocab, 50, text="text")
     found = dict(tuple(r) for r in sequence.decode_target(labels, vocab).collect())
-    assert found == {1: "the cat the dog", 2: "the end", 5: DOCS[4][1]}
+    assert found == {1: "the cat the dog", 2: "the end", 3: "", 4: "", 5: DOCS[4][1]}
 
 
 @pytest.mark.parametrize("shuffle", [True, False])
@@ -95,13 +134,13 @@ def corpus(frame):
     return rows, frame([(i, " ".join(t)) for i, t in rows], "doc_id int, text string", 5)
 
 
-@pytest.mark.parametrize("limits", [{}, {"whole_rows": 0, "shares": 2}, {"whole_rows": 0, "shares": 500}])
-def test_keywords_against_brute_force(corpus, limits, monkeypatch):
+@pytest.mark.parametrize("limits", LIMITS)
+def test_keywords_against_brute_force(corpus, limits):
     rows, df = corpus
-    monkeypatch.setattr(models, "lookup", partial(distributed.lookup, **limits))
     found = [tuple(r) for r in models.extract_keywords(df, 5).collect()]
     assert sorted(found) == sorted(tf_idf(rows, 5))
-    by_table = [tuple(r) for r in models.extract_keywords(df, 5, stored(models.idf_table(df), "idf")).collect()]
+    idf = models.Idf.of(stored(models.idf_table(df), "idf"), **limits)
+    by_table = [tuple(r) for r in models.extract_keywords(df, 5, idf).collect()]
     assert sorted(by_table) == sorted(found)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lexflume.operators import models, scoring
 from lexflume.session import scratch_path, shared_dir
 from lexflume.sources import corpora, metrics
+from lexflume.streaming import latency
 from lexflume.streaming import requests as streams
 
 HARD = ['plain', 'a "quoted" one', "back\\slash", "two\nlines\r\nand more", "comma, semicolon;", " blanks ", "é ü 中", 'ends with "']
@@ -136,6 +137,7 @@ def test_sample_export(spark, frame, tmp_path):
     assert files[0].read_text() == '"id","input_text","confidence"\n"1","a ""b""\nc","0.5"\n'
 
 
+TIMES = ("asked_at", "answered_at", "response_ms")
 REQUESTS = [
     {"request_id": "1", "text": "great great lovely", "max_keywords": 2},
     {"request_id": "2", "text": "", "max_keywords": 2},
@@ -170,11 +172,11 @@ def test_keyword_stream_equals_batch_and_restarts(spark, documents, tmp_path):
     streams.stream_keywords(requests, idf, out, progress).awaitTermination()
     streams.stream_keywords(requests, idf, out, progress).awaitTermination()
 
-    found = sorted(tuple(r) for r in streams.read_answers(spark, out, "keyword").drop("batch").collect())
+    found = sorted(tuple(r) for r in streams.read_answers(spark, out, "keyword").drop("batch", *TIMES).collect())
     everything = spark.read.schema(streams.REQUEST_SCHEMA).json(str(tmp_path / "in"))
     checked = scoring.validate_requests(everything, "keyword")
     batch = streams.answer_keywords(checked.where("is_valid"), idf)
-    assert found == sorted(tuple(r) for r in batch.collect())
+    assert found == sorted(tuple(r) for r in batch.drop("asked_at").collect())
     answers = {r[0]: r for r in found}
     assert set(answers) == {"1", "4", "6"}
     assert answers["1"][2] == ["great", "lovely"] and answers["4"][2] == []
@@ -192,3 +194,89 @@ def test_sentiment_stream(spark, documents, tmp_path):
     assert set(found) == {"1", "3", "4", "6"} and found["1"]["label"] == "positive"
     assert sum(found["1"]["probabilities"].values()) == pytest.approx(1)
     assert streams.read_rejects(spark, out).select(F.sort_array(F.collect_set("request_id"))).first()[0] == ["2", "5"]
+
+
+ASKED = [
+    {"request_id": "1", "text": "great table", "asked_at": "2024-01-01T00:00:05Z"},
+    {"request_id": "2", "text": "awful day", "asked_at": "2024-01-01T00:00:10Z"},
+    {"request_id": None, "text": "nobody's", "asked_at": "2024-01-01T00:00:11Z"},
+    {"request_id": "4", "text": "timeless"},
+]
+
+
+def test_retries_are_answered_once(spark, documents, tmp_path):
+    idf = models.Idf.of(models.idf_table(documents))
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+
+    def go():
+        requests = streams.without_retries(streams.request_stream(spark, str(tmp_path / "in"), files_per_trigger=1))
+        streams.stream_keywords(requests, idf, out, progress).awaitTermination()
+        answers = streams.read_answers(spark, out, "keyword").collect()
+        return sorted((r["request_id"] or "", r["text"]) for r in answers)
+
+    arrive(tmp_path / "in", "a.json", [*ASKED, ASKED[0]])
+    arrive(tmp_path / "in", "b.json", [ASKED[1], {**ASKED[0], "asked_at": "2024-01-01T00:01:00Z"}])
+    once = sorted((r["request_id"] or "", r["text"]) for r in ASKED)
+    assert go() == once
+    # a retry after a restart, and requests that cannot be told from others
+    arrive(tmp_path / "in", "c.json", [ASKED[0], ASKED[2], ASKED[3]])
+    assert go() == sorted([*once, ("", "nobody's"), ("4", "timeless")])
+    # long after, the id is forgotten: the state is bounded, and the same id is a new request
+    arrive(tmp_path / "in", "d.json", [{**ASKED[0], "request_id": "9", "asked_at": "2024-01-01T01:00:00Z"}])
+    go()
+    arrive(tmp_path / "in", "e.json", [{**ASKED[0], "asked_at": "2024-01-01T01:00:01Z"}])
+    assert go().count(("1", "great table")) == 2
+
+
+def test_answers_carry_their_response_time(spark, documents, tmp_path):
+    arrive(tmp_path / "in", "a.json", ASKED)
+    out = str(tmp_path / "out")
+    requests = streams.request_stream(spark, str(tmp_path / "in"))
+    streams.stream_keywords(requests, models.idf_table(documents), out, str(tmp_path / "progress")).awaitTermination()
+    found = {r["text"]: r for r in streams.read_answers(spark, out, "keyword").collect()}
+    assert found["timeless"]["response_ms"] is None
+    asked = found["great table"]
+    assert asked["response_ms"] == pytest.approx((asked["answered_at"] - asked["asked_at"]).total_seconds() * 1000, abs=1)
+
+
+LOG = "asked_at timestamp, response_ms double"
+
+
+def test_stream_latency_equals_batch_after_a_restart(spark, tmp_path):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(8)
+    (tmp_path / "in").mkdir()
+    arriving = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    rows = []
+    for part in range(4):
+        some = [(1_700_000_000 + 60 * part + rng.randrange(120), rng.choice([float(rng.randrange(5)), None, float("nan"), 9.5])) for _ in range(80)]
+        rows += some
+        df = spark.createDataFrame(some, "s long, response_ms double").selectExpr("timestamp_seconds(s) AS asked_at", "response_ms")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        if part % 2:
+            latency.stream_latency(arriving, out, progress).awaitTermination()
+    found = {r["window_start"]: r for r in latency.read_latency(spark, out).collect()}
+    whole = {r["window_start"]: r for r in latency.by_window(spark.read.schema(LOG).parquet(str(tmp_path / "in"))).collect()}
+    assert found == whole
+    for start, r in found.items():
+        held = [v for s, v in rows if v is not None and v == v and 0 <= s - start.timestamp() < 60]
+        held.sort()
+        assert (r["n"], r["max_latency_ms"]) == (len(held), held[-1])
+        assert r["mean_latency_ms"] == pytest.approx(np.mean(held))
+        assert r["p95_latency_ms"] == held[int(np.ceil(0.95 * len(held))) - 1]
+
+
+def test_late_answers_change_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    arriving = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    for seconds in (0, 3600, 3700, 1, 3650):  # the fourth comes an hour late, the last is in time
+        one = spark.sql(f"SELECT timestamp_seconds({seconds}) AS asked_at, double(5) AS response_ms")
+        one.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        latency.stream_latency(arriving, out, progress).awaitTermination()
+    found = latency.read_latency(spark, out).selectExpr("unix_seconds(window_start) AS s", "n").collect()
+    assert {r["s"]: r["n"] for r in found} == {0: 1, 3600: 2, 3660: 1}
