@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexflume.constants import PREVIEW_CHARS
+from lexflume.functions.literals import parse_list, write_list
 
 # Everything Python's str.split() and str.strip() take as white space.
 _SPACE = r"\s\x1c-\x1f"
@@ -50,21 +51,13 @@ def split_keywords(col: Column, k: Column | int | None = None) -> Column:
 
 
 def parse_keyword_list(col: Column) -> Column:
-    """List literal such as ``['a', "b",]`` to array; whatever cannot be read gives ``[]``.
-
-    ``\\xHH`` and ``\\U0000HHHH`` are read as the code points they name; longer ones and
-    ``None`` items cannot be read.
-    """
-    named = F.regexp_replace(col, r"(?<!\\)((?:\\\\)*)\\x([0-9A-Fa-f]{2})", r"$1\\u00$2")
-    named = F.regexp_replace(named, r"(?<!\\)((?:\\\\)*)\\U0000([0-9A-Fa-f]{4})", r"$1\\u$2")
-    whole = F.when(named.rlike(r"(?s)^\s*\[.*\]\s*$"), F.regexp_replace(named, r",\s*\]\s*$", "]"))
-    parsed = F.from_json(whole, "array<string>", {"allowSingleQuotes": "true"})
-    return F.coalesce(parsed, F.array().cast("array<string>"))
+    """List literal such as ``['a', "b", None]`` to array; whatever Python could not read as one gives ``[]``."""
+    return F.coalesce(parse_list(col), F.array().cast("array<string>"))
 
 
 def keyword_list_literal(col: Column) -> Column:
     """Array to a list literal that ``parse_keyword_list`` reads back (for CSV exchange)."""
-    return F.to_json(F.coalesce(col, F.array().cast("array<string>")))
+    return write_list(col)
 
 
 def ngrams(col: Column, n: int) -> Column:

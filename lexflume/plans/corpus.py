@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.functions.text import keyword_list_literal
+from lexflume.constants import CLASS_NAMES
+from lexflume.functions.text import keyword_list_literal, parse_keyword_list
 from lexflume.operators import prepare, report
 from lexflume.plans.fixtures import Views, sql_class, sql_split
 from lexflume.plans.registry import registered
@@ -52,12 +53,12 @@ def write_dataset(v: Views) -> DataFrame:
     corpora.write_dataset(stored, path, "csv")
     schema = stored.drop("split").schema
     back = corpora.read_dataset(v.spark, path, "csv", schema)
-    listed = F.from_json("keywords_list", "array<string>")
+    listed = parse_keyword_list(F.col("keywords_list"))
     return back.select("doc_id", "document", "keywords_str", F.size(listed).alias("n_keywords"), "split")
 
 
 @registered(
-    "SELECT 42 AS random_seed, 'Apache 2.0' AS license, 'negative; neutral; positive' AS classes, split, "
+    "SELECT 42 AS random_seed, 'stand-in data' AS license, 'negative; neutral; positive' AS classes, split, "
     "count(*) AS n FROM sent GROUP BY split",
     views=("sent",),
 )
@@ -66,8 +67,8 @@ def write_manifest(v: Views) -> DataFrame:
     meta = {
         "random_seed": 42,
         "dataset": "sentiment",
-        "license": "Apache 2.0",
-        "classes": ["negative", "neutral", "positive"],
+        "license": "stand-in data",
+        "classes": list(CLASS_NAMES.values()),
     }
     corpora.write_manifest(v.sent(), meta, path)
     back = corpora.read_manifest(v.spark, path)
@@ -76,6 +77,29 @@ def write_manifest(v: Views) -> DataFrame:
     )
 
 
+@registered(
+    "SELECT 'keywords' AS dataset, split, count(*) AS n, (SELECT count(*) FROM keys WHERE document IS NULL) AS missing FROM keys GROUP BY split "
+    "UNION ALL SELECT 'sentiment' AS dataset, split, count(*) AS n, (SELECT count(*) FROM sent WHERE text IS NULL) AS missing "
+    "FROM sent GROUP BY split",
+    views=("keys", "sent"),
+)
+def write_corpus(v: Views) -> DataFrame:
+    """Both datasets written as Parquet, and one manifest with the counts of the writes."""
+    path = scratch_path(v.spark, "corpus")
+    keys = prepare.pick_keyphrases(v.keys()).select("doc_id", "document", "keywords_str", "split")
+    counts = {
+        "keywords": ({"format": "parquet"}, corpora.write_dataset(keys, f"{path}/keywords", text="document")),
+        "sentiment": (
+            {"format": "parquet", "classes": list(CLASS_NAMES.values())},
+            corpora.write_dataset(v.sent(), f"{path}/sentiment", text="text"),
+        ),
+    }
+    corpora.write_corpus_manifest(v.spark, counts, {"random_seed": 42}, f"{path}/manifest")
+    back = corpora.read_corpus_manifest(v.spark, f"{path}/manifest").select(F.explode("datasets").alias("dataset", "d"))
+    rows = back.select("dataset", F.explode("d.rows").alias("split", "n"), F.col("d.missing").alias("missing"))
+    return rows.where("n > 0")
+
+
 _RUN_COLUMNS = ("accuracy", "f1_macro", "precision", "recall", "f1_weighted", "f1_positive", "f1_neutral", "f1_negative")
 _RUNS_SQL = "SELECT run_id, 'sentiment' AS task, " + ", ".join(f"round({c}, 6) AS {c}" for c in _RUN_COLUMNS) + " FROM runs"
 

@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexflume.operators import evaluate, history, keyphrases, models, scoring
 from lexflume.plans.fixtures import Views, sql_tokens
 from lexflume.plans.registry import registered
+from lexflume.session import scratch_path
 
 
-def trained(v: Views) -> tuple[DataFrame, models.PipelineModel]:
+@lru_cache(maxsize=None)
+def _stored_model(application: str, folder: str) -> str:
+    """Path of the classifier of one folder's tables: trained once per session, then read by every query."""
+    v = Views(SparkSession.getActiveSession(), folder)
+    path = scratch_path(v.spark, "classifier")
     sent = v.sent()
-    model = models.train_classifier(sent.where("split = 'train'"), sent.where("split = 'val'"))
-    return sent, model
+    model, tried = models.train_with_history(sent.where("split = 'train'"), sent.where("split = 'val'"))
+    models.write_model(model, tried, path)
+    return path
+
+
+def trained(v: Views) -> tuple[DataFrame, models.PipelineModel]:
+    """Labelled rows, and the stored classifier."""
+    return v.sent(), models.read_model(v.spark, _stored_model(v.spark.sparkContext.applicationId, v.folder))[0]
 
 
 @registered()
@@ -34,6 +47,50 @@ def score_classifier(v: Views) -> DataFrame:
     return answered.select("doc_id", "label", F.round("confidence", 6).alias("confidence"))
 
 
+@registered(
+    "SELECT doc_id, true AS same, true AS sums_to_one, true AS label_fits FROM sent",
+    views=("sent",),
+)
+def score_stored_classifier(v: Views) -> DataFrame:
+    """Saved, loaded, saved and loaded again: the same answer for every row, and each one well-formed."""
+    sent, model = trained(v)
+    path = scratch_path(v.spark, "classifier")
+    models.write_model(model, models.read_model(v.spark, _stored_model(v.spark.sparkContext.applicationId, v.folder))[1], path)
+    again = models.read_model(v.spark, path)[0]
+    texts = sent.select("doc_id", "text")
+    first = scoring.predict_sentiment(models.score_classifier(texts, model)).select("doc_id", "label", "confidence", "probabilities")
+    second = scoring.predict_sentiment(models.score_classifier(texts, again)).select("doc_id", F.col("probabilities").alias("other"))
+    p, q = F.map_values("probabilities"), F.map_values("other")
+    apart = F.array_max(F.zip_with(p, q, lambda a, b: F.abs(a - b)))
+    total = F.aggregate(p, F.lit(0.0), lambda s, x: s + x)
+    return first.join(second, "doc_id").select(
+        "doc_id",
+        (apart < 1e-9).alias("same"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+        (F.element_at("probabilities", F.col("label")) == F.array_max(p)).alias("label_fits"),
+    )
+
+
+@registered(
+    "SELECT setting, strength, setting = 1 AS was_best_so_far_first, true AS chosen_is_lowest, CAST(1 AS BIGINT) AS chosen "
+    f"FROM (VALUES {', '.join(f'({i + 1}, CAST({g} AS DOUBLE))' for i, g in enumerate(models.GRID))}) AS t(setting, strength)"
+)
+def setting_history(v: Views) -> DataFrame:
+    """The stored history of the settings tried, read as a training history: the chosen one is its best epoch."""
+    kept = models.read_model(v.spark, _stored_model(v.spark.sparkContext.applicationId, v.folder))[1]
+    runs = kept.select(F.lit("grid").alias("run_id"), F.col("setting").alias("epoch"), F.col("validation_loss").alias("val_loss"))
+    best = history.best_epoch(runs).select("best_epoch").scalar()
+    first = history.checkpoints(runs).agg(F.min("epoch")).scalar()
+    chosen = kept.where("chosen")
+    return kept.select(
+        "setting",
+        "strength",
+        (F.col("setting") == first).alias("was_best_so_far_first"),
+        (best == chosen.agg(F.max("setting")).scalar()).alias("chosen_is_lowest"),
+        chosen.agg(F.count(F.lit(1))).scalar().alias("chosen"),
+    )
+
+
 @registered(
     "SELECT doc_id, (SELECT label FROM sent WHERE split = 'train' GROUP BY label ORDER BY count(*) DESC, label LIMIT 1) "
     "AS pred, "

@@ -132,6 +132,23 @@ def parse_keyword_list(v: Views) -> DataFrame:
     return parsed.select("conv_id", "turn", F.array_join("p", "|").alias("parsed"), F.size("p").alias("n"))
 
 
+_MIXED = """[None, "it's", 'say "so"', u'\\x41\\u00e9\\n', """
+
+
+@registered(
+    "SELECT conv_id, turn, CASE WHEN well_formed THEN array_to_string(['it''s', 'say \"so\"', 'Aé' || chr(10)] || toks || ['7', 'True'], '|') "
+    "ELSE '' END AS parsed, CASE WHEN well_formed THEN CAST(6 + len(toks) AS INTEGER) ELSE 0 END AS n FROM literal",
+    views=("literal",),
+)
+def parse_mixed_lists(v: Views) -> DataFrame:
+    """Lists of strings in both quotes with escapes, ``None``, numbers and booleans; a third of the turns lacks a bracket."""
+    quoted = F.transform(text.tokens(F.col("text")), lambda t: F.concat(F.lit("'"), t, F.lit("', ")))
+    turns = v.table("conversations").withColumn("literal", F.concat(F.lit(_MIXED), F.array_join(quoted, ""), F.lit("7, True,")))
+    closed = F.concat("literal", F.when(F.col("role") == "system", F.lit("")).otherwise(F.lit(" ]")))
+    parsed = turns.withColumn("p", text.parse_keyword_list(closed))
+    return parsed.select("conv_id", "turn", F.array_join("p", "|").alias("parsed"), F.size("p").alias("n"))
+
+
 @registered(
     "SELECT count(*) AS n_documents, round(avg(len(keyphrases)), 6) AS avg_keywords, "
     "CAST(min(len(keyphrases)) AS INTEGER) AS min_keywords, CAST(max(len(keyphrases)) AS INTEGER) AS max_keywords, "

@@ -21,14 +21,34 @@ def _arrived(v: Views) -> tuple[str, str]:
     return f"{path}/in", path
 
 
-@registered()
+_LIMIT = MAX_CHARS["sentiment"]
+
+
+@registered(
+    "SELECT request_id, CASE WHEN length(text) > 200 THEN substring(text, 1, 200) ELSE text END AS text, "
+    f"CASE WHEN length(text) BETWEEN 1 AND {_LIMIT} THEN 'answered' ELSE 'rejected' END AS status, "
+    f"CASE WHEN length(text) > {_LIMIT} THEN 'text is longer than {_LIMIT}' WHEN length(text) < 1 THEN 'text is empty' ELSE '' END AS reasons, "
+    f"CASE WHEN length(text) BETWEEN 1 AND {_LIMIT} THEN true END AS well_formed FROM req",
+    views=("req",),
+)
 def stream_sentiment(v: Views) -> DataFrame:
+    """Every request answered by the stored model or rejected; an answer's label has the highest probability."""
     arrived, path = _arrived(v)
     _, model = trained(v)
     requests = streams.request_stream(v.spark, arrived)
     streams.stream_sentiment(requests, model, f"{path}/out", f"{path}/progress").awaitTermination()
     answers = streams.read_answers(v.spark, f"{path}/out", "sentiment")
-    return answers.select("request_id", "text", "label", F.round("confidence", 6).alias("confidence"))
+    p = F.map_values("probabilities")
+    total = F.aggregate(p, F.lit(0.0), lambda s, x: s + x)
+    fits = (F.abs(total - 1) < 1e-9) & (F.col("confidence") == F.array_max(p)) & (F.element_at("probabilities", F.col("label")) == F.col("confidence"))
+    shown = F.substring("text", 1, 200).alias("text")
+    answered = answers.select("request_id", shown, F.lit("answered").alias("status"), F.lit("").alias("reasons"), fits.alias("well_formed"))
+    rejects = streams.read_rejects(v.spark, f"{path}/out")
+    rejected = rejects.select(
+        "request_id", shown, F.lit("rejected").alias("status"), F.array_join("reasons", "; ").alias("reasons"),
+        F.lit(None).cast("boolean").alias("well_formed"),
+    )
+    return answered.unionByName(rejected)
 
 
 @registered(

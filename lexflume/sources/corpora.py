@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,18 +66,50 @@ def read_split_csv(
     return _fill_keywords(union_splits(frames))
 
 
-def write_split_csv(df: DataFrame, path: str, task: str) -> None:
-    """One CSV folder per split, in the layout ``read_split_csv`` takes (for exchange)."""
-    for split in SPLITS:
-        rows = df.where(F.col("split") == split).drop("split")
-        rows.write.mode("overwrite").options(**_CSV_OUT).csv(f"{path}/{task}_{split}.csv")
-
-
-def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", max_rows_per_file: int = 5_000_000) -> None:
-    """Store a frame by ``split`` folders, as Parquet or, for exchange, CSV.
+def write_split_csv(df: DataFrame, path: str, task: str, max_rows_per_file: int = 100_000) -> None:
+    """One CSV folder per split, in the layout ``read_split_csv`` takes (for exchange).
 
-    The write adds no shuffle; files are bounded in rows, so readers stay parallel.
+    All splits are written in one pass over the rows, to files bounded in rows, since a file with
+    newlines in its fields is read by one task; the folders then get their names. A split without
+    rows gets an empty folder with a header, rows of other splits are refused.
     """
+    spark = df.sparkSession
+    staged = f"{path}/_{task}"
+    known = F.when(F.col("split").isin(*SPLITS), F.col("split")).otherwise(
+        F.raise_error(F.concat(F.lit("not a split: "), F.coalesce("split", F.lit("null"))))
+    )
+    writer = df.withColumn("split", known).write.mode("overwrite").partitionBy("split")
+    writer.options(**_CSV_OUT, maxRecordsPerFile=str(max_rows_per_file)).csv(staged)
+    files = spark._jvm.org.apache.hadoop.fs.Path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    for split in SPLITS:
+        target = at(f"{path}/{task}_{split}.csv")
+        files.delete(target, True)
+        if not files.rename(at(f"{staged}/split={split}"), target):
+            empty = df.limit(0).drop("split")
+            empty.write.mode("overwrite").options(**_CSV_OUT).csv(f"{path}/{task}_{split}.csv")
+    files.delete(at(staged), True)
+
+
+def write_dataset(
+    df: DataFrame, path: str, fmt: str = "parquet", max_rows_per_file: int = 5_000_000, text: str | None = None
+) -> dict[str, int]:
+    """Store a frame by ``split`` folders, as Parquet or, for exchange, CSV, and tell what was written.
+
+    The write adds no shuffle; files are bounded in rows, so readers stay parallel. Rows per split
+    (``other`` for names that are none) and rows without ``text`` are counted by the writing job
+    itself, nothing is read again.
+    """
+    written = Observation()
+    split = F.col("split")
+    counted = [F.count_if(split == s).alias(s) for s in SPLITS]
+    missing = F.col(text).isNull() if text else F.lit(False)
+    df = df.observe(
+        written,
+        *counted,
+        F.count_if(split.isNull() | ~split.isin(*SPLITS)).alias("other"),
+        F.count_if(missing).alias("missing"),
+    )
     writer = df.write.mode("overwrite").partitionBy("split").option("maxRecordsPerFile", max_rows_per_file)
     if fmt == "csv":
         writer.options(**_CSV_OUT).csv(path)
@@ -85,6 +117,7 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", max_rows_per_f
         writer.parquet(path)
     else:
         raise ValueError(f"format must be parquet or csv, not {fmt}")
+    return dict(written.get)
 
 
 def read_dataset(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
@@ -137,6 +170,46 @@ def write_manifest(df: DataFrame, meta: dict[str, object], path: str) -> None:
     manifest(df, meta).write.mode("overwrite").json(path)
 
 
+CORPUS_SCHEMA = T.StructType(
+    [
+        T.StructField("project", T.StringType()),
+        T.StructField("date_downloaded", T.StringType()),
+        T.StructField("random_seed", T.IntegerType()),
+        T.StructField(
+            "datasets",
+            T.MapType(
+                T.StringType(),
+                T.StructType(
+                    [f for f in MANIFEST_SCHEMA.fields if f.name not in ("project", "date_downloaded", "random_seed", "dataset")]
+                    + [T.StructField("missing", T.LongType())]
+                ),
+            ),
+        ),
+    ]
+)
+
+
+def write_corpus_manifest(
+    spark: SparkSession, datasets: dict[str, tuple[dict[str, object], dict[str, int]]], meta: dict[str, object], path: str
+) -> None:
+    """One record for all datasets of a corpus, by name: what is known of each, and the counts its write gave."""
+    fields = [f.name for f in CORPUS_SCHEMA["datasets"].dataType.valueType.fields]
+    held = {}
+    for name, (known, counts) in datasets.items():
+        unknown = set(known) - set(fields) | set(meta) - set(CORPUS_SCHEMA.names)
+        if unknown:
+            raise ValueError(f"not part of a manifest: {sorted(unknown)}")
+        rows = {split: n for split, n in counts.items() if split in SPLITS or split == "other" and n}
+        held[name] = tuple({**known, "rows": rows, "missing": counts["missing"]}.get(f) for f in fields)
+    record = [meta.get(f) for f in CORPUS_SCHEMA.names[:-1]] + [held]
+    spark.createDataFrame([tuple(record)], CORPUS_SCHEMA).write.mode("overwrite").json(path)
+
+
+def read_corpus_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The stored record of a corpus."""
+    return spark.read.schema(CORPUS_SCHEMA).option("mode", "FAILFAST").json(path)
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The stored manifest records."""
     return spark.read.schema(MANIFEST_SCHEMA).option("mode", "FAILFAST").json(path)

@@ -167,3 +167,73 @@ def test_keyword_list_escapes(frame):
     df = frame(list(enumerate(literals)), "id int, s string")
     found = df.select("id", text.parse_keyword_list(F.col("s")).alias("k")).orderBy("id").collect()
     assert [r["k"] for r in found] == expected
+
+
+def _literal(rng, items):
+    """A list literal of these items as some program may write it."""
+
+    def string(x):
+        quote = rng.choice("'\"")
+        out = ""
+        for c in x:
+            ways = [c] if c not in "\\\n\r\x00" + quote else []
+            n = ord(c)
+            ways += [f"\\U{n:08x}"] + [f"\\u{n:04X}"] * (n < 0x10000) + [f"\\x{n:02x}"] * (n < 256) + [f"\\{n:03o}"] * (n < 256)
+            ways += ["\\" + c] * (c in "\\'\"") + ["\\n"] * (c == "\n") + [c] * 6 * (c not in "\\\n\r\x00" + quote)
+            out += rng.choice(ways)
+        return rng.choice(["", "", "u"]) + quote + out + quote
+
+    def item(x):
+        if isinstance(x, str):
+            return string(x) if rng.random() < 0.9 or len(x) < 2 else string(x[:1]) + rng.choice(["", " "]) + string(x[1:])
+        return repr(x)
+
+    space = lambda: rng.choice(["", "", " ", "\n "])
+    body = ",".join(space() + item(x) + space() for x in items)
+    return "[" + body + ("," if items and rng.random() < 0.2 else "") + "]"
+
+
+def _as_python_reads(literal):
+    try:
+        found = ast.literal_eval(literal)
+    except (ValueError, SyntaxError):
+        return []
+    if not isinstance(found, list) or any(isinstance(x, (list, tuple, dict, set, bytes)) for x in found):
+        return []
+    return [None if x is None else str(x) for x in found]
+
+
+def test_lists_are_read_as_python_reads_them(frame):
+    rng = random.Random(21)
+    letters = ["a", "b", " ", "'", '"', "\\", "\n", "\t", ",", "[", "]", "é", "漢", "😀", "\x07", "n", "7"]
+    literals = []
+    for _ in range(500):
+        items = [rng.choice([None, True, 7, -3, 12, *["".join(rng.choices(letters, k=rng.randrange(6))) for _ in range(6)]]) for _ in range(rng.randrange(5))]
+        made = _literal(rng, items)
+        assert ast.literal_eval(made) == items
+        literals.append(made)
+        at = rng.randrange(len(made))
+        literals.append(made[:at] + rng.choice(["", ",", "'", "]", "\\", "x"]) + made[at + rng.randrange(2) :])
+    literals += [r"['\\q']", "['a' 'b', \"c\"]", "[None, None,]", "[,]", "['a',,]", "[[1], 'a']", "('a', 'b')", "nothing", "", "[", "['\\x4']", "['\\N{DASH}']", "[" + "'a'," * 20_000 + "]", "['" + "\\\\n" * 50_000 + "']", "[" + "'b'" * 20_000 + "]"]
+    literals = [x for x in literals if "\x00" not in x]
+    df = frame(list(enumerate(literals)), "id int, s string", 4)
+    found = {r["id"]: r["k"] for r in df.select("id", text.parse_keyword_list(F.col("s")).alias("k")).collect()}
+    import warnings
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        wrong = [(s, found[i], _as_python_reads(s)) for i, s in enumerate(literals) if found[i] != _as_python_reads(s)]
+    assert wrong == []
+
+
+def test_surrogate_escapes(frame):
+    assert one(frame, r"['\ud83d\ude00']", text.parse_keyword_list) == ["😀"]
+    assert one(frame, r"['\ud83d']", text.parse_keyword_list) == []
+    assert one(frame, r"['\U00110000']", text.parse_keyword_list) == []
+
+
+def test_written_lists_are_read_by_python(frame):
+    items = ["a 'b'", 'c "d"', "\\", "\n\r\t", "é😀", None, ""]
+    written = one(frame, items, text.keyword_list_literal, "array<string>")
+    assert ast.literal_eval(written) == items
+    assert one(frame, written, text.parse_keyword_list) == items

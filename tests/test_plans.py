@@ -10,7 +10,7 @@ import __spark_entry__ as entry_module
 FOLDER = os.environ.get("LEXFLUME_TESTDATA", "/root/testdata/sf0.001")
 QUERIES = entry_module.queries()
 # These run jobs while they are built (streams, training, stored tables).
-EAGER = {"train_classifier", "score_classifier", "stream_sentiment", "stream_keywords", "stream_retries", "stream_latency"}
+EAGER = {"train_classifier", "score_classifier", "score_stored_classifier", "setting_history", "stream_sentiment", "stream_keywords", "stream_retries", "stream_latency"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables are not here")
 
