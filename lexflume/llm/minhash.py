@@ -6,8 +6,8 @@ each other in a sketch: one value alone is held by a fixed share of unrelated do
 would grow with the corpus. Nodes of small sets enter only the lists of their rarest neighbours.
 Lists are linked star-wise to a pivot, another one in every round, as long as that links much of what
 it compares; what stars leave open is compared member by member. Sizes and 256 bits drawn from the same
-hashes rule most pairs out before they are written. The union sketch of the others filters, and exact
-Jaccard on whole sets confirms.
+hashes rule most pairs out before they are written, and so does an odd sketch, which never rules out a
+pair at the threshold. The union sketch of the others filters, and exact Jaccard on whole sets confirms.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ MISS = 1e-10
 # One bit of the smallest hash of each of so many slices of a set; longs hold 64 each.
 SLICES = 256
 BITS = [f"bits{i}" for i in range(SLICES // 64)]
+# Bits of a set's odd sketch: each is the parity of the hashes that fall on it (Mitzenmacher, Pagh and Pham, 2014).
+ODD = 1024
 # Star rounds go on while one links at least this share of the pairs it compares.
 WORTHWHILE = 0.02
 # Pairs of an open list that one task compares, about.
@@ -70,6 +72,12 @@ def slice_bits(members: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
+def odd_sketch(members: np.ndarray) -> np.ndarray:
+    """Longs of parity bits; two sets' sketches differ in no more bits than the sets differ in members."""
+    parity = np.bincount((members >> 16) & (ODD - 1), minlength=ODD).astype(np.uint8) & 1
+    return np.packbits(parity, bitorder="little").view(np.int64)
+
+
 def most_bits_apart(threshold: float) -> int:
     """Smallest x so that more than x slice bits of two sets at the threshold differ with chance <= MISS.
 
@@ -110,8 +118,9 @@ def _profile_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[
                 pa.array([xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64())),
                 *[pa.array(bits[:, i].copy()) for i in range(len(BITS))],
+                pa.array([odd_sketch(s) for s in sets], pa.list_(pa.int64())),
             ],
-            names=["doc_id", "n", "set_key", "sketch", *BITS],
+            names=["doc_id", "n", "set_key", "sketch", *BITS, "odd"],
         )
 
 
@@ -125,14 +134,14 @@ def _set_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.R
 
 
 def profiles(docs: DataFrame, width: int) -> DataFrame:
-    """Stored (doc_id, n, set_key, sketch, bits) of every row."""
+    """Stored (doc_id, n, set_key, sketch, bits, odd) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n bigint, set_key binary, sketch array<bigint>, " + ", ".join(f"{b} bigint" for b in BITS)
+    schema = f"doc_id {kind}, n bigint, set_key binary, sketch array<bigint>, " + ", ".join(f"{b} bigint" for b in BITS) + ", odd array<bigint>"
     return stored(docs.select("doc_id", "text").mapInArrow(partial(_profile_batches, width=width), schema), "profiles")
 
 
 def set_nodes(rows: DataFrame) -> DataFrame:
-    """Stored nodes, one per distinct non-empty set: node, set_key, doc_id (smallest), n, sketch, bits, copies.
+    """Stored nodes, one per distinct non-empty set: node, set_key, doc_id (smallest), n, sketch, bits, odd, copies.
 
     A node is named by its smallest doc_id; where that is null or names several sets, by a negative
     digest of the set.
@@ -140,7 +149,7 @@ def set_nodes(rows: DataFrame) -> DataFrame:
     grouped = rows.where("n > 0").groupBy("set_key").agg(
         F.min("doc_id").alias("doc_id"),
         F.first("n").alias("n"),
-        *[F.first(c).alias(c) for c in ("sketch", *BITS)],
+        *[F.first(c).alias(c) for c in ("sketch", *BITS, "odd")],
         F.count(F.lit(1)).alias("copies"),
     )
     grouped = stored(grouped, "sets")
@@ -191,13 +200,24 @@ def _alike(a: Callable[[str], Column], b: Callable[[str], Column], threshold: fl
     return sizes & (apart <= most_bits_apart(threshold))
 
 
+def _near_enough(odd_a: str, odd_b: str, n_a: str, n_b: str, threshold: float) -> Column:
+    """Whether two odd sketches allow the threshold: false only for pairs below it.
+
+    At a Jaccard of t two sets differ in (1 - t) / (1 + t) of their members' number taken together.
+    """
+    apart = F.aggregate(
+        F.zip_with(odd_a, odd_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
+    )
+    return apart * (1 + threshold) <= (F.col(n_a) + F.col(n_b)) * (1 - threshold) + 1e-6
+
+
 def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Stored pairs that sizes and union sketches allow, as (a, b)."""
-    slim = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    """Stored pairs that sizes, odd sketches and union sketches allow, as (a, b)."""
+    slim = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"), F.col("odd").alias("ob"))
     degrees = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_n"))
     right = stored(degrees.join(slim, "b"), "sketches")
     sided = attach(pairs, right, "b", "_n", "a", "inner").join(
-        nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a"
+        nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"), F.col("odd").alias("oa")), "a"
     )
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, SKETCH)
     shared = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
@@ -207,7 +227,8 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
         shared >= least_overlap(threshold)
     )
     fits = F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9
-    likely = stored(sided.where(fits).where(allowed).select("a", "b"), "likely")
+    near = _near_enough("oa", "ob", "na", "nb", threshold)
+    likely = stored(sided.where(fits & near).where(allowed).select("a", "b"), "likely")
     forget(right)
     return likely
 
@@ -272,7 +293,7 @@ def _stars(labelled: DataFrame, turn: int, threshold: float) -> tuple[DataFrame,
     return pairs, lists
 
 
-def _members(labelled: DataFrame, threshold: float) -> DataFrame:
+def _members(labelled: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Stored (a, b): likely pairs of an open list from different components, one end outside the list's largest one.
 
     Members meet only where their sizes allow a pair, by bands of sizes, and a long list's members are
@@ -287,7 +308,7 @@ def _members(labelled: DataFrame, threshold: float) -> DataFrame:
     )
     parts = F.ceil(F.col("_n") * (F.col("_n") - F.col("most")) / PART_PAIRS)
     lists = stored(lists.where("k > 1").select("value", "main", parts.alias("parts"), "_n"), "open")
-    inside = attach(labelled, lists, "value", "_n", "node", "inner")
+    inside = attach(labelled, lists, "value", "_n", "node", "inner").join(nodes.select("node", "odd"), "node")
     # sizes of a pair are at most one band apart
     band = F.floor(F.log("n") / log(1 / threshold) + 1e-9)
     inside = stored(inside.withColumn("band", band).withColumn("part", F.pmod(F.xxhash64("node"), "parts")), "inside")
@@ -295,13 +316,14 @@ def _members(labelled: DataFrame, threshold: float) -> DataFrame:
         "value",
         F.col("node").alias("x"),
         F.col("root").alias("rx"),
-        *[F.col(t).alias(f"x_{t}") for t in ("n", *BITS)],
+        *[F.col(t).alias(f"x_{t}") for t in ("n", *BITS, "odd")],
         "parts",
         F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
     )
     outer = outer.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).drop("parts")
     met = inside.join(outer, ["value", "band", "part"]).where("root != rx AND (root = main OR node < x)")
     met = met.where(_alike(F.col, lambda c: F.col(f"x_{c}"), threshold))
+    met = met.where(_near_enough("odd", "x_odd", "n", "x_n", threshold))
     pairs = stored(met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct(), "pairs")
     forget(lists, inside)
     return pairs
@@ -362,7 +384,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         share, turn = links.add(pairs), turn + 1
     # whatever the stars have found: members of open lists that no pivot has joined
     labelled = stored(_labelled(lists, links.roots), "labelled")
-    pairs = _members(labelled, percent / 100)
+    pairs = _members(labelled, nodes, percent / 100)
     forget(labelled, lists)
     links.add(pairs)
     forget(*links.found, *links.sets)

@@ -106,6 +106,21 @@ def test_slice_bits_of_alike_and_unlike_sets():
     assert minhash.slice_bits(np.empty(0, np.int64)).tolist() == [0] * len(minhash.BITS)
 
 
+def test_odd_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(6)
+    ruled_out = 0
+    for n in (0, 1, 30, 300, 300, 3000):
+        for share in (0.05, 0.2, 0.3, 0.5):
+            a = np.unique(rng.integers(0, 2**62, n))
+            b = np.unique(np.r_[a[: len(a) - int(share * n)], rng.integers(0, 2**62, int(share * n))])
+            x = minhash.odd_sketch(a) ^ minhash.odd_sketch(b)
+            apart = int(np.unpackbits(x.view(np.uint8)).sum())
+            different = len(np.setxor1d(a, b))
+            assert apart <= different
+            ruled_out += n == 300 and share >= 0.2 and apart * 1.8 > (len(a) + len(b)) * 0.2
+    assert ruled_out == 6  # pairs of 300 members each with a Jaccard of 2/3 or less
+
+
 def brute_components(texts, width):
     """Smallest index reachable over pairs of sets of shingles, as tuples of words, with a Jaccard of 0.8."""
     sets = []
