@@ -107,7 +107,7 @@ def align(v: Views) -> DataFrame:
     return evaluate.align(predicted, truth, "vec_id")
 
 
-def _rouge_n_sql(n: int) -> str:
+def rouge_n_sql(n: int) -> str:
     """CTEs ``grams`` and ``r<n>``: one F score per pair."""
     gram = "array_to_string(t[i:i + {0}], ' ')".format(n - 1)
     side = (
@@ -128,7 +128,7 @@ def _rouge_n_sql(n: int) -> str:
 
 # Longest common subsequence of whole texts: one recursion step per token of the
 # shorter text, a running maximum over the longer one.
-_LCS_SQL = (
+LCS_SQL = (
     f"t AS MATERIALIZED (SELECT conv_id, turn, {sql_tokens('reference')} AS r, {sql_tokens('prediction')} AS p FROM pairs), "
     "o AS MATERIALIZED (SELECT conv_id, turn, CASE WHEN len(r) <= len(p) THEN r ELSE p END AS s, "
     "CASE WHEN len(r) <= len(p) THEN p ELSE r END AS l FROM t), "
@@ -148,28 +148,28 @@ def _rouge_query(n: int, v: Views) -> DataFrame:
 
 
 @registered(
-    f"SELECT * FROM (WITH {_rouge_n_sql(1)} SELECT conv_id, turn, round(f, 6) AS rouge1 FROM r1)", views=("pairs",)
+    f"SELECT * FROM (WITH {rouge_n_sql(1)} SELECT conv_id, turn, round(f, 6) AS rouge1 FROM r1)", views=("pairs",)
 )
 def rouge_n(v: Views) -> DataFrame:
     return _rouge_query(1, v)
 
 
 @registered(
-    f"SELECT * FROM (WITH {_rouge_n_sql(2)} SELECT conv_id, turn, round(f, 6) AS rouge2 FROM r2)", views=("pairs",)
+    f"SELECT * FROM (WITH {rouge_n_sql(2)} SELECT conv_id, turn, round(f, 6) AS rouge2 FROM r2)", views=("pairs",)
 )
 def rouge_2(v: Views) -> DataFrame:
     return _rouge_query(2, v)
 
 
 @registered(
-    f'SELECT * FROM (WITH RECURSIVE {_LCS_SQL} SELECT conv_id, turn, round(f, 6) AS "rougeL" FROM rl)', views=("pairs",)
+    f'SELECT * FROM (WITH RECURSIVE {LCS_SQL} SELECT conv_id, turn, round(f, 6) AS "rougeL" FROM rl)', views=("pairs",)
 )
 def rouge_l(v: Views) -> DataFrame:
     return _rounded(evaluate.rouge_l(v.pairs(), PAIR), "rougeL")
 
 
 REPORT_SQL = (
-    f"WITH RECURSIVE {_rouge_n_sql(1)}, {_rouge_n_sql(2)}, {_LCS_SQL} SELECT (SELECT avg(f) FROM r1) AS rouge1, "
+    f"WITH RECURSIVE {rouge_n_sql(1)}, {rouge_n_sql(2)}, {LCS_SQL} SELECT (SELECT avg(f) FROM r1) AS rouge1, "
     '(SELECT avg(f) FROM r2) AS rouge2, (SELECT avg(f) FROM rl) AS "rougeL", (SELECT count(*) FROM pairs) AS num_samples_evaluated'
 )
 

@@ -9,6 +9,7 @@ from lexflume.functions import text
 from lexflume.operators import prepare, profile
 from lexflume.plans.fixtures import Views, sql_key, sql_tokens, sql_words
 from lexflume.plans.registry import registered
+from lexflume.session import scratch_path
 
 
 def _rounded(df: DataFrame, *cols: str) -> DataFrame:
@@ -219,7 +220,10 @@ def _samples_sql(view: str) -> str:
     views=("sent", "keys"),
 )
 def eda_summary(v: Views) -> DataFrame:
-    record = profile.eda_summary(v.sent(), _keywords(v))
+    """The summary record, stored as JSON and read again."""
+    path, record = scratch_path(v.spark, "eda"), profile.eda_summary(v.sent(), _keywords(v))
+    profile.write_eda_summary(v.sent(), _keywords(v), path)
+    record = v.spark.read.schema(record.schema).option("mode", "FAILFAST").json(path)
     samples = ("total_samples", "train_samples", "val_samples", "test_samples")
     shares = F.transform(
         F.map_entries("sentiment.class_distribution"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))
