@@ -1,4 +1,8 @@
-"""Corpus pipeline: each stage works on all that its predecessor kept."""
+"""Corpus pipeline: each stage works on all that its predecessor kept.
+
+Null, empty and very long texts, ties, repeated rows, empty tables and extra columns have the results that
+the stages' operators state; no stage drops a row for any of them.
+"""
 
 from __future__ import annotations
 
