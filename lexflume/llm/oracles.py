@@ -94,3 +94,21 @@ CREDENTIALS = rf"""
            coalesce(n_example, 0) AS n_example, coalesce(live_spans, '') AS live_spans
     FROM d LEFT JOIN by_doc USING (id)
 """
+
+# Every \\, < and [ of a role or text is written as two characters; a turn's marks have 19.
+_SPECIAL = "len(regexp_extract_all({0}, '[\\\\<\\[]'))"
+CHAT = f"""
+    WITH c AS (
+        SELECT conv_id, turn, role, text FROM conversations UNION ALL
+        SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ), t AS (
+        SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, coalesce(role = 'assistant', false) AS loss,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place
+        FROM c
+    )
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY place)) AS turns_sha256,
+           CAST(coalesce(sum(length(x)) FILTER (loss), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(x, '' ORDER BY place) FILTER (loss), '')) AS loss_sha256,
+           CAST(sum(19 + length(r) + length(x) + {_SPECIAL.format('r')} + {_SPECIAL.format('x')}) AS BIGINT) AS formatted_chars
+    FROM t GROUP BY conv_id
+"""

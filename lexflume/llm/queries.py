@@ -20,7 +20,7 @@ from lexflume.llm import (
     periodic,
     toxicity,
 )
-from lexflume.llm.oracles import COLLOCATIONS, CREDENTIALS
+from lexflume.llm.oracles import CHAT, COLLOCATIONS, CREDENTIALS
 
 # Target weights of the domains: languages as the labelled table's good rows have them, and its junk.
 DOMAIN_WEIGHTS = {"en": 0.52, "de": 0.16, "fr": 0.16, "es": 0.12, "junk": 0.04}
@@ -157,6 +157,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_chat_format": CHAT,
     "op11_secret_scan": CREDENTIALS,
     "op12_phrase_collocations": COLLOCATIONS,
     "op10_exact_dedup": """
