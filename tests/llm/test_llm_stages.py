@@ -1,11 +1,12 @@
 """Stages of the corpus pipeline: nothing lost, nothing that hangs on names of columns."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 
-from lexflume.llm import chat, exact_dedup, minhash, mixing, toxicity
+from lexflume.llm import chat, exact_dedup, licenses, minhash, mixing, toxicity
 
 SCHEMA = "doc_id bigint, text string, `a.b` string, `x``y` map<string,int>, n bigint"
 WORDS = {"en": "the house of", "de": "das haus von", "it": "la casa di", "fr": "une maison pour"}
@@ -99,3 +100,62 @@ def test_conversations_without_messages_have_no_turns(spark):
     rows = [(1, [("a", "user")]), (2, []), (3, None)]
     df = spark.createDataFrame(rows, "conv_id bigint, messages array<struct<content:string,role:string>>")
     assert [r["conv_id"] for r in chat.canonical_turns(df).collect()] == [1]
+
+
+PROBES = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated\n"
+    "documentation files (the \"Software\"), to deal in the Software without restriction",
+    "apache-2.0": "# SPDX-License-Identifier: Apache-2.0",
+    "gpl-2": "GNU GPL v2",
+    "bsd-3": "BSD 3-Clause License",
+    "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "gpl-3": "GNU General Public License v3",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that",
+    "agpl": "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3",
+}
+
+
+def test_license_probes(spark):
+    prose = ["the terms of the day and the copy of a work in use by any person"] * 60
+    texts = [*PROBES.values(), "Permission is granted to walk on the grass. Redistribution of wealth; endorse this", *prose]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    found = {r["doc_id"]: r for r in licenses.scan(df).collect()}
+    for i, label in enumerate(PROBES):
+        assert label in found[i]["labels"].split(","), (label, found[i])
+    assert found[5]["labels"] == "gpl,gpl-3" and found[len(PROBES)]["labels"] == ""
+    assert all(found[i]["labels"] == "" and found[i]["score"] == 0 for i in range(len(PROBES) + 1, len(texts)))
+
+
+def test_every_mandatory_phrase_has_a_mark():
+    for phrase in [*(p for _, _, p in licenses.TEMPLATES), *licenses.BASE]:
+        assert any(mark in phrase for mark in licenses.MARKS), phrase
+    for _, words, phrase in licenses.TEMPLATES:
+        assert f" {phrase} " in f" {words} "
+
+
+def test_rare_words_hold_half_of_a_template(spark):
+    """A placement with half of its template's rarity holds one of the rare words, whatever the corpus."""
+    rng = random.Random(2)
+    idf = spark.createDataFrame([(w, rng.choice([0.01, 1.0, 5.0]) + rng.random()) for w in licenses.VOCABULARY], "word string, idf double")
+    rows = licenses.postings(idf).collect()
+    for t in {r["template"] for r in rows}:
+        those = [r for r in rows if r["template"] == t]
+        assert sum(r["idf"] for r in those if not r["rare"]) * 2 < those[0]["whole"] + 1e-9
+        assert max(r["idf"] for r in those) == max(r["idf"] for r in those if r["rare"])
+
+
+def test_license_base_columns_equal_brute_force(spark):
+    rng = random.Random(3)
+    pool = ["MIT", "License", "mit", "license", "apache", "Apache", "general", "public", "GNU", "x1", "é", "the", "-", "\n", "licensE."]
+    rows = [(i, " ".join(rng.choice(pool) for _ in range(rng.randrange(40)))) for i in range(300)] + [(300, None), (301, "")]
+    found = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, text in rows:
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low)
+        starts = [(k, label) for p, label in licenses.BASE.items() for k in range(len(words)) if words[k : k + len(p.split())] == p.split()]
+        places = [k for k, _ in starts]
+        r = found[i]
+        assert (r["n_words"], r["n_base"]) == (len(words), len(starts))
+        assert (r["first_word"], r["last_word"]) == ((min(places), max(places)) if places else (None, None))
+        assert r["base_labels"] == ",".join(sorted({label for _, label in starts}))
+        assert {label for _, label in starts} <= set(r["labels"].split(","))
