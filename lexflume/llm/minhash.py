@@ -38,7 +38,7 @@ BITS = [f"bits{i}" for i in range(SLICES // 64)]
 # Bits of a set's odd sketch: each is the parity of the hashes that fall on it (Mitzenmacher, Pagh and Pham, 2014).
 ODD = 1024
 # Star rounds go on while one links at least this share of the pairs it compares.
-WORTHWHILE = 0.02
+WORTHWHILE = 0.05
 # Pairs of an open list that one task compares, about.
 PART_PAIRS = 1 << 20
 WORD_SEED = 7
@@ -330,11 +330,10 @@ def _members(labelled: DataFrame, nodes: DataFrame, threshold: float) -> DataFra
 
 
 class _Links:
-    """Links found so far, and the components they make."""
+    """Components of the links found so far."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> None:
         self.docs, self.nodes, self.width, self.percent = docs, nodes, width, percent
-        self.found: list[DataFrame] = []
         self.sets: list[DataFrame] = []
         self.roots: DataFrame | None = None
 
@@ -351,12 +350,25 @@ class _Links:
         forget(likely)
         linked = fresh.count()
         if linked:
-            self.found.append(fresh)
-            before, self.roots = self.roots, connected(reduce(DataFrame.unionByName, self.found))
-            if before is not None:
-                forget(before)
+            self._join(fresh)
+        forget(fresh)
         return linked / compared
 
+    def _join(self, fresh: DataFrame) -> None:
+        """Components after these links: only roots that are newly linked are looked at, not all links again."""
+        if self.roots is None:
+            self.roots = connected(fresh)
+            return
+        known = [self.roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")) for end in ("a", "b")]
+        ends = fresh.join(known[0], "a", "left").join(known[1], "b", "left")
+        ends = stored(ends.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).distinct(), "ends")
+        moved = connected(ends)
+        to = moved.select(F.col("node").alias("root"), F.col("root").alias("low"))
+        old = self.roots.join(to, "root", "left").select("node", F.coalesce("low", "root").alias("root"))
+        new = moved.join(self.roots.select("node"), "node", "left_anti").select("node", "root")
+        before, self.roots = self.roots, stored(old.unionByName(new), "roots")
+        forget(before, ends, moved)
+
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``.
@@ -387,7 +399,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = _members(labelled, nodes, percent / 100)
     forget(labelled, lists)
     links.add(pairs)
-    forget(*links.found, *links.sets)
+    forget(*links.sets)
 
     roots = links.roots
     if roots is None:

@@ -10,6 +10,8 @@ from lexflume.session import stored
 # A key with more than 1/SHARES of all rows is dealt over several parts. There are fewer than
 # SHARES such keys, so the table of their part counts may be broadcast at any size of input.
 SHARES = 10_000
+# Fewer rows than this are not split: a part repeats its table row, however large that is.
+PART_ROWS = 200
 # A set of keys is broadcast only when counted to be at most this large (8 to 16 bytes a key).
 BROADCAST_KEYS = 500_000
 
@@ -23,10 +25,11 @@ def attach(facts: DataFrame, table: DataFrame, key: str, weight: str, by: str, h
     """Join facts to a stored table with one row per key and ``weight`` = its rows among the facts.
 
     Both sides travel by (key, part). A frequent key has many parts, chosen by a hash of ``by``,
-    and its table row is repeated once per part; no part holds more than 1/SHARES of the facts.
+    and its table row is repeated once per part; no part holds more than 1/SHARES of the facts, or
+    PART_ROWS of them where that is more.
     """
     total = table.agg(F.sum(weight)).scalar()
-    sized = table.withColumn("_parts", F.ceil(F.col(weight) * F.lit(SHARES) / total).cast("bigint")).drop(weight)
+    sized = table.withColumn("_parts", F.ceil(F.col(weight) / F.greatest(F.lit(float(PART_ROWS)), total / SHARES)).cast("bigint")).drop(weight)
     frequent = sized.where("_parts > 1").select(key, F.col("_parts").alias("_of"))
     salted = facts.join(F.broadcast(frequent), key, "left").select(
         *facts.columns,
