@@ -28,6 +28,51 @@ def values_of(items: pa.Array, known: dict, default: object, kind: pa.DataType)
     return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), values)
 
 
+def common_and_rare(items: pa.Array, known: dict, default: object, kind: pa.DataType) -> pa.Array:
+    """(values, rare) of each array: its items' values, null for those the table lacks, and these items in their order."""
+    flat = items.flatten()
+    coded = flat.dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    values = [default if (v := known.get(item)) is None else v for item in names]
+    lacks = np.array([item not in known for item in names] + [False])
+    at = pc.fill_null(coded.indices, len(names)).to_numpy(zero_copy_only=False)
+    rare = lacks[at] if len(at) else np.zeros(0, bool)
+    found = pa.array([*values, default], kind).take(pa.array(at, pa.int32(), mask=rare))
+    ends = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(items), 0).to_numpy(zero_copy_only=False))]
+    before = np.r_[0, np.cumsum(rare)]
+    return pa.StructArray.from_arrays(
+        [
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found),
+            pa.ListArray.from_arrays(pa.array(before[ends], pa.int32()), flat.filter(pa.array(rare))),
+        ],
+        ["values", "rare"],
+    )
+
+
+def common_values(table: Broadcast, default: object, kind: str, item_kind: str) -> Callable[[Column], Column]:
+    """Column function: array of items to (values, rare) by the common part of a larger table."""
+    arrow = _KINDS[kind]
+
+    @F.arrow_udf(f"struct<values: array<{kind}>, rare: array<{item_kind}>>")
+    def found(items: pa.Array) -> pa.Array:
+        return common_and_rare(items, table.value, default, arrow)
+
+    return found.asNondeterministic()
+
+
+def filled_values(kind: str) -> Callable[[Column, Column], Column]:
+    """Column function: arrays with nulls, and for each of them the values that belong there in their order."""
+
+    @F.arrow_udf(f"array<{kind}>")
+    def filled(values: pa.Array, fills: pa.Array) -> pa.Array:
+        flat = values.flatten()
+        whole = pc.replace_with_mask(flat, pc.is_null(flat), fills.flatten())
+        ends = np.cumsum(pc.list_value_length(values).to_numpy(zero_copy_only=False))
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), whole)
+
+    return filled
+
+
 def item_values(table: Broadcast, default: object, kind: str) -> Callable[[Column], Column]:
     """Column function: array of items to the array of their values."""
     arrow = _KINDS[kind]

@@ -8,15 +8,20 @@ by mergeable heavy-hitter sketches of the facts themselves and dealt over severa
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.functions.items import item_values
+from lexflume.functions.items import common_values, filled_values, item_values
+from lexflume.session import stored
 
 # A table of at most this many rows, with keys of at most so many characters, goes to every task
-# (below ~50 MB).
+# (below ~50 MB); of a larger one at most so many of its most frequent rows do.
 WHOLE_ROWS = 500_000
 KEY_CHARS = 64
+# Frequencies are told apart by eighths of a power of two, when the frequent rows of a table are chosen.
+LEVELS = 8
 # No part of a frequent key holds more than 1/SHARES of the facts, or PART_ROWS of them where that is more.
 SHARES = 10_000
 PART_ROWS = 10_000
@@ -64,7 +69,11 @@ def skewed_join(
 
 
 class KeyedTable:
-    """A stored table with one row per key; its size is counted once, when it is made."""
+    """A stored table with one row per key; its size is counted once, when it is made.
+
+    ``often`` names the column that says how often a key is met; without it no row of a large table
+    counts as frequent.
+    """
 
     def __init__(
         self,
@@ -73,16 +82,32 @@ class KeyedTable:
         whole_rows: int = WHOLE_ROWS,
         shares: int = SHARES,
         part_rows: int = PART_ROWS,
+        often: str | None = None,
     ) -> None:
         self.rows, self.key, self.shares, self.part_rows = rows, key, shares, part_rows
         size, chars = rows.agg(F.count(F.lit(1)), F.max(F.length(F.col(key).cast("string")))).first()
         self.small = size <= whole_rows and (chars or 0) <= KEY_CHARS
+        self.held = rows if self.small else self._common(whole_rows, often)
         self._broadcast: dict[str, object] = {}
 
+    def _common(self, whole_rows: int, often: str | None) -> DataFrame:
+        """The most frequent rows with short keys, at most ``whole_rows``: all above one level of frequency."""
+        if often is None:
+            return self.rows.limit(0)
+        short = self.rows.where(F.length(F.col(self.key).cast("string")) <= KEY_CHARS)
+        level = F.floor(F.log2(F.col(often)) * LEVELS)
+        lowest, total = None, 0
+        for row in sorted(short.groupBy(level.alias("level")).count().where("level IS NOT NULL").collect(), reverse=True):
+            total += row["count"]
+            if total > whole_rows:
+                break
+            lowest = row["level"]
+        return self.rows.limit(0) if lowest is None else short.where(level >= lowest)
+
     def _dictionary(self, value: str):
         """Broadcast of key -> value, made once per value column."""
         if value not in self._broadcast:
-            held = self.rows.select(self.key, value).toArrow()
+            held = self.held.select(self.key, value).toArrow()
             known = dict(zip(held.column(0).to_pylist(), held.column(1).to_pylist(), strict=True))
             self._broadcast[value] = self.rows.sparkSession.sparkContext.broadcast(known)
         return self._broadcast[value]
@@ -93,22 +118,29 @@ class KeyedTable:
             return facts.join(F.broadcast(self.rows), self.key, how)
         return skewed_join(facts, self.rows, self.key, how, self.shares, self.part_rows)
 
-    def look_up(self, df: DataFrame, items: Column, value: str, default: object, out: str) -> DataFrame:
-        """``df`` with ``out``, the values of an array's items in their order; ``default`` for items without a row.
+    def look_up(
+        self, df: DataFrame, items: Column, value: str, default: object, out: str, keep: Sequence[str] | None = None
+    ) -> DataFrame:
+        """``df`` (its columns ``keep``, or all) with ``out``, the values of an array's items in their order.
 
-        A null array gives an empty one. Of a large table equal arrays are looked up once and joined
-        back to every row that has them.
+        ``default`` is the value of items without a row; a null array gives an empty one. For a large
+        table the kept columns are stored with what the frequent rows tell; the rare items are joined
+        and their values brought back to their row, so keep only what is needed later.
         """
+        kept = list(df.columns if keep is None else keep)
         kind = dict(self.rows.dtypes)[value]
         if self.small:
-            return df.withColumn(out, item_values(self._dictionary(value), default, kind)(items))
-        named = df.withColumn("_items", F.coalesce(items, F.array().cast(df.select(items).dtypes[0][1])))
-        named = named.withColumn("_digest", F.sha2(F.to_json(F.struct("_items")), 256))
-        each = named.groupBy("_digest").agg(F.first("_items").alias("_items"))
-        facts = each.select("_digest", F.posexplode("_items").alias("_pos", self.key))
-        met = self.join(facts, "left")
-        item = F.struct("_pos", F.coalesce(F.col(value), F.lit(default).cast(kind)).alias("_value"))
-        in_order = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["_value"])
-        found = met.groupBy("_digest").agg(in_order.alias(out))
-        back = skewed_join(named.drop("_items"), found, "_digest", "left", self.shares, self.part_rows)
-        return back.select(*df.columns, F.coalesce(out, F.array().cast(f"array<{kind}>")).alias(out))
+            return df.withColumn(out, item_values(self._dictionary(value), default, kind)(items)).select(*kept, out)
+        item_kind = dict(self.rows.dtypes)[self.key]
+        known = common_values(self._dictionary(value), default, kind, item_kind)(items)
+        rows = df.select(*kept, known.alias("_known"), F.monotonically_increasing_id().alias("_row"))
+        # written once: the rows are read several times below, and keep their numbers
+        rows = stored(rows, "looked-up")
+        facts = rows.select("_row", F.posexplode("_known.rare").alias("_pos", self.key))
+        table = self.rows.select(self.key, F.col(value).alias("_value"))
+        met = skewed_join(facts, table, self.key, "left", self.shares, self.part_rows)
+        item = F.struct("_pos", F.coalesce(F.col("_value"), F.lit(default).cast(kind)).alias("_value"))
+        fills = met.groupBy("_row").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["_value"]).alias("_fills"))
+        back = rows.join(fills, "_row", "left")
+        whole = filled_values(kind)(F.col("_known.values"), F.coalesce("_fills", F.array().cast(f"array<{kind}>")))
+        return back.withColumn(out, whole).select(*kept, out)

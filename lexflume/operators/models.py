@@ -153,11 +153,14 @@ class Idf:
 
     @staticmethod
     def of(table: DataFrame, **limits: int) -> Idf:
-        return Idf(KeyedTable(table, "term", **limits), table.agg(F.max("n_docs")).first()[0] or 0)
+        often = "doc_freq" if "doc_freq" in table.columns else None
+        return Idf(KeyedTable(table, "term", often=often, **limits), table.agg(F.max("n_docs")).first()[0] or 0)
 
 
-def with_ranked_terms(df: DataFrame, k: int, idf: Idf, text: str = "text", out: str = "ranked") -> DataFrame:
-    """``df`` with ``out``, each row's ``k`` best terms as an array of (term, score).
+def with_ranked_terms(
+    df: DataFrame, k: int, idf: Idf, text: str = "text", out: str = "ranked", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``df`` (its columns ``keep``, or all) with ``out``, each row's ``k`` best terms as an array of (term, score).
 
     A row's terms are counted, looked up, scored and sorted within the row. Scores are rounded before
     they are ranked, so the order does not hang on the last digit. Terms the table lacks get the idf
@@ -166,14 +169,15 @@ def with_ranked_terms(df: DataFrame, k: int, idf: Idf, text: str = "text", out:
     counted = df.withColumn("_counted", item_counts(tokens(F.col(text))))
     terms = F.transform("_counted", lambda c: c["item"])
     unseen = math.log(idf.n_docs + 1)
-    known = idf.table.look_up(counted, terms, "idf", unseen, "_idf")
+    kept = [c for c in df.columns if keep is None or c in keep]
+    known = idf.table.look_up(counted, terms, "idf", unseen, "_idf", [*kept, "_counted"])
     scored = F.zip_with(
         "_counted", "_idf", lambda c, w: F.struct((-F.round(c["n"] * w, 6)).alias("w"), c["item"].alias("term"))
     )
     best = F.transform(
         F.slice(F.array_sort(scored), 1, k), lambda t: F.struct(t["term"].alias("term"), (-t["w"]).alias("score"))
     )
-    return known.select(*df.columns, best.alias(out))
+    return known.select(*kept, best.alias(out))
 
 
 def _ranked_rows(df: DataFrame, key: str, ranked: str) -> DataFrame:
@@ -195,7 +199,7 @@ def extract_keywords(
     """
     if not isinstance(idf, Idf):
         idf = Idf.of(stored(idf_table(df, text), "idf") if idf is None else idf)
-    ranked = with_ranked_terms(df.select(key, F.col(text).alias("_text")), k, idf, "_text")
+    ranked = with_ranked_terms(df.select(key, F.col(text).alias("_text")), k, idf, "_text", keep=[key])
     return _ranked_rows(ranked, key, "ranked")
 
 

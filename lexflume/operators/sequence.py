@@ -21,6 +21,7 @@ from lexflume.functions.hashing import seeded_key
 from lexflume.functions.text import tokens
 from lexflume.operators.distributed import exploded, global_position, sorted_position
 from lexflume.operators.keyed import KeyedTable
+from lexflume.session import stored
 
 
 def build_vocab(df: DataFrame, text: str = "text", min_count: int = 1) -> DataFrame:
@@ -35,19 +36,31 @@ def build_vocab(df: DataFrame, text: str = "text", min_count: int = 1) -> DataFr
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= min_count)
     )
+    # stored, as ranking reads them several times: texts are cut into tokens once
+    counts = stored(counts, "token-counts")
     placed = sorted_position(counts, "token", F.struct((-F.col("n")).alias("w"), F.col("token")))
     return placed.select("token", "n", (F.col("position") + UNKNOWN_ID).alias("id"))
 
 
 def as_vocab(vocab: DataFrame | KeyedTable) -> KeyedTable:
     """A vocabulary ready for look-ups; make it once when many frames are encoded."""
-    return vocab if isinstance(vocab, KeyedTable) else KeyedTable(vocab, "token")
+    return vocab if isinstance(vocab, KeyedTable) else KeyedTable(vocab, "token", often=_often(vocab))
 
 
-def _with_ids(df: DataFrame, vocab: DataFrame | KeyedTable, text: str, max_len: int, out: str) -> DataFrame:
-    """``df`` with ``out``, the ids of the text's first ``max_len`` tokens."""
-    cut = F.slice(tokens(F.col(text)), 1, max_len)
-    found = as_vocab(vocab).look_up(df, cut, "id", UNKNOWN_ID, out)
+def _often(vocab: DataFrame) -> str | None:
+    return "n" if "n" in vocab.columns else None
+
+
+def _first_tokens(text: str, max_len: int) -> Column:
+    """The first ``max_len`` tokens; none of a null text."""
+    return F.coalesce(F.slice(tokens(F.col(text)), 1, max_len), F.array().cast("array<string>"))
+
+
+def _with_ids(
+    df: DataFrame, vocab: DataFrame | KeyedTable, text: str, max_len: int, out: str, keep: Sequence[str]
+) -> DataFrame:
+    """``keep`` and ``out``, the ids of the text's first ``max_len`` tokens."""
+    found = as_vocab(vocab).look_up(df, _first_tokens(text, max_len), "id", UNKNOWN_ID, out, keep)
     return found.withColumn(out, F.col(out).cast("array<int>"))
 
 
@@ -72,7 +85,7 @@ def encode(
     One row for every row of ``df``, whatever its key: equal and null keys stay apart. A null text
     has no tokens. With a small vocabulary rows stay where they are.
     """
-    coded = _with_ids(df.select(key, *keep, F.col(text).alias("_text")), vocab, "_text", max_len, "_ids")
+    coded = _with_ids(df.select(key, *keep, F.col(text).alias("_text")), vocab, "_text", max_len, "_ids", [key, *keep])
     return coded.select(
         key, *keep, _padded("_ids", max_len, PAD_ID).alias("input_ids"), _mask("_ids", max_len).alias("attention_mask")
     )
@@ -86,7 +99,7 @@ def encode_target(
     text: str = "keywords_str",
 ) -> DataFrame:
     """Target ids as ``labels``; padded positions hold -100, which a loss leaves out."""
-    coded = _with_ids(df.select(key, F.col(text).alias("_text")), vocab, "_text", max_len, "_ids")
+    coded = _with_ids(df.select(key, F.col(text).alias("_text")), vocab, "_text", max_len, "_ids", [key])
     return coded.select(key, _padded("_ids", max_len, IGNORED_LABEL).alias("labels"))
 
 
@@ -99,11 +112,18 @@ def encode_records(
     max_document: int = MAX_DOCUMENT_LEN,
     max_target: int = MAX_TARGET_LEN,
 ) -> DataFrame:
-    """Records of a sequence-to-sequence model: document ids, mask and target labels in one row."""
-    held = as_vocab(vocab)
-    coded = df.select(key, F.col(document).alias("_document"), F.col(target).alias("_target"))
-    coded = _with_ids(coded, held, "_document", max_document, "_ids")
-    coded = _with_ids(coded, held, "_target", max_target, "_labels")
+    """Records of a sequence-to-sequence model: document ids, mask and target labels in one row.
+
+    The tokens of both are looked up together.
+    """
+    cut = df.select(
+        key, _first_tokens(document, max_document).alias("_d"), _first_tokens(target, max_target).alias("_t")
+    ).withColumn("_n", F.size("_d"))
+    coded = as_vocab(vocab).look_up(cut, F.concat("_d", "_t"), "id", UNKNOWN_ID, "_all", [key, "_n"])
+    ids = F.col("_all").cast("array<int>")
+    coded = coded.select(
+        key, F.slice(ids, F.lit(1), F.col("_n")).alias("_ids"), F.slice(ids, F.col("_n") + 1, F.lit(max_target)).alias("_labels")
+    )
     return coded.select(
         key,
         _padded("_ids", max_document, PAD_ID).alias("input_ids"),
@@ -117,8 +137,9 @@ def decode_target(
 ) -> DataFrame:
     """Labels back to text: ignored positions and pads are dropped as ids; one row for every row of ``df``."""
     real = F.filter(labels, lambda x: ~x.isin(IGNORED_LABEL, PAD_ID)).cast("array<bigint>")
-    by_id = KeyedTable(vocab.select(F.col("id").cast("bigint").alias("id"), "token"), "id")
-    named = by_id.look_up(df.select(key, *keep, labels), real, "token", "<unk>", "_tokens")
+    often = _often(vocab)
+    by_id = KeyedTable(vocab.select(F.col("id").cast("bigint").alias("id"), "token", *([often] if often else [])), "id", often=often)
+    named = by_id.look_up(df.select(key, *keep, labels), real, "token", "<unk>", "_tokens", [key, *keep])
     return named.select(key, *keep, F.array_join("_tokens", " ").alias("decoded"))
 
 
@@ -142,7 +163,8 @@ def batch_records(
     ``batch_id``, ``n`` (rows, ``size`` but in the last batch), ``keys`` and, for every column, the array
     of its values. No group holds more than one batch, so memory is bounded by ``size`` rows.
     """
-    placed = shuffle_and_batch(df.select(key, *columns), key, size, seed, shuffle)
+    # stored, as numbering reads the rows several times
+    placed = shuffle_and_batch(stored(df.select(key, *columns), "records"), key, size, seed, shuffle)
     row = F.struct("position", F.col(key).alias("_key"), *columns)
     stacked = placed.groupBy("batch_id").agg(F.array_sort(F.collect_list(row)).alias("_rows"))
     return stacked.select(
