@@ -7,13 +7,14 @@ longer phrases around it - is counted by Spark; a row's phrases are ranked withi
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexflume.constants import DEFAULT_KEYWORDS
-from lexflume.functions.text import item_counts
+from lexflume.functions.phrases import phrase_counts
 from lexflume.operators.distributed import exploded
 from lexflume.operators.keyed import KeyedTable
 from lexflume.operators.models import idf_table
@@ -43,26 +44,12 @@ def stop_words(df: DataFrame, text: str = "text", share: float = STOP_SHARE) ->
     return found.select(F.col("term").alias("token"), F.lit(1).alias("stop"))
 
 
-def _phrases(tokens: Column, stops: Column, n: int) -> Column:
-    """Runs of n tokens without a stop word, as strings; null where there is one."""
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-    runs = F.transform(
-        starts,
-        lambda i: F.when(
-            ~F.exists(F.slice(stops, i, F.lit(n)), lambda s: s == 1), F.array_join(F.slice(tokens, i, F.lit(n)), " ")
-        ),
-    )
-    return F.coalesce(F.array_compact(runs), F.array().cast("array<string>"))
-
-
 def with_candidates(df: DataFrame, stops: KeyedTable, text: str = "text", fewest: int = FEWEST, most: int = MOST) -> DataFrame:
     """``df`` with ``candidates``: the row's phrases with how often each occurs there."""
     cut = df.withColumn("_tokens", F.coalesce(marked_tokens(F.col(text)), F.array().cast("array<string>")))
     known = stops.look_up(cut, F.col("_tokens"), "stop", 0, "_stops")
     flags = F.zip_with("_tokens", "_stops", lambda t, s: F.when(t == BREAK, F.lit(1)).otherwise(s))
-    flagged = known.withColumn("_stops", flags)
-    found = F.concat(*[_phrases(F.col("_tokens"), F.col("_stops"), n) for n in range(fewest, most + 1)])
-    return flagged.withColumn("candidates", item_counts(found)).drop("_tokens", "_stops")
+    return known.withColumn("candidates", phrase_counts(fewest, most)("_tokens", flags)).drop("_tokens", "_stops")
 
 
 @dataclass(frozen=True)
@@ -125,24 +112,27 @@ def learn_phrases(
     """Stop words and phrase table of a corpus, both stored; used for any number of frames and for streams."""
     stops = KeyedTable(stored(stop_words(df, text, share), "stops"), "token", **limits)
     table = stored(phrase_table(df, stops, text, least, fewest, most), "phrase-table")
-    return Phrases(stops, KeyedTable(table, "phrase", **limits), fewest, most)
+    return Phrases(stops, KeyedTable(table, "phrase", often="f", **limits), fewest, most)
 
 
-def with_ranked_phrases(df: DataFrame, k: int, phrases: Phrases, text: str = "text", out: str = "ranked") -> DataFrame:
-    """``df`` with ``out``, each row's ``k`` best phrases as an array of (term, score), score = tf * weight.
+def with_ranked_phrases(
+    df: DataFrame, k: int, phrases: Phrases, text: str = "text", out: str = "ranked", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``df`` (its columns ``keep``, or all) with ``out``, each row's ``k`` best phrases as an array of (term, score), score = tf * weight.
 
     Phrases the table lacks are left out, and so are those without a weight of their own (they occur
     only within longer ones). Ties go to the phrase that comes first.
     """
     found = with_candidates(df, phrases.stops, text, phrases.fewest, phrases.most)
     items = F.transform("candidates", lambda c: c["item"])
-    known = phrases.table.look_up(found, items, "weight", 0.0, "_weight")
+    kept = [c for c in df.columns if keep is None or c in keep]
+    known = phrases.table.look_up(found, items, "weight", 0.0, "_weight", [*kept, "candidates"])
     scored = F.zip_with(
         "candidates", "_weight", lambda c, w: F.struct((-F.round(c["n"] * w, 6)).alias("w"), c["item"].alias("term"))
     )
     held = F.array_sort(F.filter(scored, lambda t: t["w"] < 0))
     best = F.transform(F.slice(held, 1, k), lambda t: F.struct(t["term"].alias("term"), (-t["w"]).alias("score")))
-    return known.select(*df.columns, best.alias(out))
+    return known.select(*kept, best.alias(out))
 
 
 def extract_keyphrases(
@@ -153,6 +143,6 @@ def extract_keyphrases(
     Rows with equal or null keys are ranked apart. Without ``phrases`` they are learned from ``df``.
     """
     held = learn_phrases(df, text) if phrases is None else phrases
-    ranked = with_ranked_phrases(df.select(key, F.col(text).alias("_text")), k, held, "_text")
+    ranked = with_ranked_phrases(df.select(key, F.col(text).alias("_text")), k, held, "_text", keep=[key])
     rows = ranked.select(key, F.posexplode_outer("ranked").alias("pos", "t")).where(F.col("t").isNotNull())
     return rows.select(key, (F.col("pos") + 1).alias("rank"), F.col("t.term").alias("term"), F.col("t.score").alias("score"))

@@ -1,11 +1,13 @@
-"""Look-ups in tables of which tasks hold the frequent rows only, against brute force."""
+"""Look-ups in tables of which tasks hold the frequent rows only, and phrases of a batch, against brute force."""
 
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from lexflume.functions.phrases import SLICE, phrases_of
 from lexflume.operators import keyed, sequence
 
 
@@ -57,3 +59,15 @@ def test_records_look_document_and_target_up_once(spark, monkeypatch):
     ]
     assert sorted(repr(tuple(r)) for r in found) == sorted(map(repr, wanted))
     assert len(calls) == 1
+
+
+def test_phrases_of_a_batch_match_brute_force():
+    rng = random.Random(9)
+    rows = [[rng.choice("abcd|") for _ in range(rng.randrange(9))] for _ in range(2 * SLICE)] + [[], ["a"]]
+    stops = [[int(t in "|d") for t in r] for r in rows]
+    found = phrases_of(pa.array(rows, pa.list_(pa.string())), pa.array(stops, pa.list_(pa.int32())), 2, 4).to_pylist()
+    for r, f in zip(rows, found, strict=True):
+        runs = [r[i : i + n] for n in (2, 3, 4) for i in range(len(r) - n + 1)]
+        assert {c["item"]: c["n"] for c in f} == Counter(" ".join(x) for x in runs if not set(x) & set("|d"))
+        assert len({c["item"] for c in f}) == len(f)
+    assert phrases_of(pa.array([], pa.list_(pa.string())), pa.array([], pa.list_(pa.int32())), 2, 4).to_pylist() == []
