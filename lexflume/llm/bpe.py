@@ -12,6 +12,7 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
+import re
 import struct
 from collections.abc import Iterable, Iterator
 
@@ -25,6 +26,9 @@ from lexflume.llm.texts import pieces
 CACHED_WORDS = 400_000
 # Fixed value: the split pattern of byte-level BPE (the ByteLevel pre-tokenizer's published pattern).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The same pattern for texts of ASCII alone, which the plain engine cuts in half the time.
+_SPACE = "\\t-\\r "
+SPLIT_ASCII = rf"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^{_SPACE}A-Za-z0-9]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 END = None  # key in a trie node of the word that ends there
 
 
@@ -55,7 +59,7 @@ class Bpe:
             if z not in self.born:
                 self.parts[z], self.born[z] = (x, y), r
         self.next, self.fall, self.ends = self._automaton()
-        self.split = regex.compile(SPLIT)
+        self.split, self.split_ascii = regex.compile(SPLIT), re.compile(SPLIT_ASCII)
         self.agreed: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
 
@@ -161,6 +165,10 @@ class Bpe:
                     stack.append((key, child, depth + 1))
         return out
 
+    def words(self, text: str) -> list[str]:
+        """The pieces that are encoded on their own."""
+        return (self.split_ascii if text.isascii() else self.split).findall(text)
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         collecting = gc.isenabled()
@@ -177,16 +185,16 @@ class Bpe:
             if self.specials and self.specials.search(text):
                 row, at = [], 0
                 for m in self.specials.finditer(text):
-                    row += self.split.findall(text[at : m.start()])
+                    row += self.words(text[at : m.start()])
                     row.append(self.special[m.group()])
                     at = m.end()
-                cut.append(row + self.split.findall(text[at:]))
+                cut.append(row + self.words(text[at:]))
             else:
-                cut.append(self.split.findall(text))
+                cut.append(self.words(text))
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
             self.agreed.clear()
-        fresh = {w for row in cut for w in row if w not in self.known}
+        fresh = [w for w in set().union(*cut) if w not in self.known]
         by_bytes = {w.encode("utf-8"): w for w in fresh if isinstance(w, str)}
         for raw, ids in self.encode_words(by_bytes).items():
             self.known[by_bytes[raw]] = ids
