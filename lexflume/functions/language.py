@@ -7,10 +7,13 @@ over Arrow batches, nothing is shuffled.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,17 +44,37 @@ def lcs_length(a, b) -> int:
     return len(a) - free.bit_count()
 
 
-@F.pandas_udf(T.IntegerType())
-def lcs(a: pd.Series, b: pd.Series) -> pd.Series:
+# Items of a batch that are Python objects at one time.
+SLICE_ITEMS = 1 << 16
+
+
+def _slices(items: pa.Array) -> Iterator[tuple[int, int]]:
+    """Where a batch of arrays is cut: rows of about SLICE_ITEMS items each, one row at least."""
+    sizes = pc.fill_null(pc.list_value_length(items), 0).to_numpy(zero_copy_only=False)
+    parts = np.cumsum(sizes) // SLICE_ITEMS
+    ends = [*(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(items)]
+    return zip([0, *ends[:-1]], ends, strict=True)
+
+
+def lcs_lengths(a: pa.Array, b: pa.Array) -> pa.Array:
+    """``lcs_length`` row by row; items are compared as numbers, a null array counts as empty."""
+    out = []
+    for start, end in _slices(a):
+        x, y = a.slice(start, end - start), b.slice(start, end - start)
+        codes = pa.concat_arrays([x.flatten(), y.flatten()]).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        ends = [np.cumsum(pc.fill_null(pc.list_value_length(z), 0).to_numpy(zero_copy_only=False)) for z in (x, y)]
+        ends[1] = ends[1] + (ends[0][-1] if len(x) else 0)
+        first = np.r_[0, ends[0]]
+        second = np.r_[first[-1], ends[1]]
+        for i in range(len(x)):
+            out.append(lcs_length(codes[first[i] : first[i + 1]].tolist(), codes[second[i] : second[i + 1]].tolist()))
+    return pa.array(out, pa.int32())
+
+
+@F.arrow_udf(T.IntegerType())
+def lcs(a: pa.Array, b: pa.Array) -> pa.Array:
     """Longest common subsequence of two arrays; a null array counts as empty."""
-    none = ()
-    return pd.Series(
-        [
-            lcs_length(none if x is None else x.tolist(), none if y is None else y.tolist())
-            for x, y in zip(a, b)
-        ],
-        dtype="int32",
-    )
+    return lcs_lengths(a, b)
 
 
 # Suffix rules of the Porter stemmer (1980) with its later published
@@ -222,9 +245,18 @@ def stem_word(words: pd.Series) -> pd.Series:
     return words.map(stem, na_action="ignore")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def stem_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def stems_of(arrays: pa.Array, stemmer: Callable[[str], str]) -> pa.Array:
+    """Arrays of the items' stems: each distinct item of a batch is stemmed once, a null array stays null."""
+    coded = arrays.flatten().dictionary_encode()
+    stems = pa.array([stemmer(t) for t in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
+    sizes = pc.list_value_length(arrays)
+    ends = np.r_[0, np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False))]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), stems, mask=pc.is_null(sizes))
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def stem_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Stem every token of an array; each task keeps a bounded cache of stems."""
     cached = lru_cache(maxsize=STEM_CACHE)(stem)
     for arrays in batches:
-        yield arrays.map(lambda a: [cached(t) for t in a], na_action="ignore")
+        yield stems_of(arrays, cached)
