@@ -64,7 +64,8 @@ def skewed_join(
     hot = hot_keys(facts, key, shares, part_rows)
     parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
     repeated = table.withColumn("_hash", F.xxhash64(key)).join(F.broadcast(hot), "_hash", "left")
-    repeated = repeated.select(*table.columns, F.explode(parts).alias("_part"))
+    # a merge: a broadcast of the table would pass the driver each time, in a stream once per micro-batch
+    repeated = repeated.select(*table.columns, F.explode(parts).alias("_part")).hint("merge")
     return dealt(facts, key, hot).join(repeated, [key, "_part"], how).drop("_part")
 
 
