@@ -30,10 +30,12 @@ BUCKETS = 256
 CLASSES = TOP_WORDS + BUCKETS
 # Words whose counts every task holds; those of all others are joined.
 DICTIONARY = 131_072
-COUNTED_WORDS = 300_000
+COUNTED_WORDS = 100_000
 WIDTH = 16
 CONTEXT = 2
 BATCH = 4096
+# Contexts normalised at one time: their scores over all classes stay near the processor.
+NORMALISED = 256
 NOISE = 32
 LEARNING_RATE = 0.05
 ROUNDS = 2
@@ -124,7 +126,7 @@ def _map_batches(batches: Iterable[pa.RecordBatch], lex: Lexicon) -> Iterator[pa
     within = np.concatenate([np.zeros(TOP_WORDS), np.log10(np.array(lex.bucket_sums))])
     end = index.get(END.encode(), -1)
     end_class = classes[end] if end >= 0 else bucket(END)
-    for batch in pieces(batches):
+    for batch in pieces(batches, size=2 << 20):
         rows = []
         for text in lowered(batch.column(2)):
             found = words(text)
@@ -187,11 +189,12 @@ class Bilinear:
         _, first, back = np.unique(codes, return_index=True, return_inverse=True)
         out = np.empty(len(first), np.float32)
         target, bias = self.target.astype(np.float32).T.copy(), self.bias.astype(np.float32)
-        for a in range(0, len(first), BATCH):
-            scores = self.predicted(before[first[a : a + BATCH]]).astype(np.float32) @ target
+        for a in range(0, len(first), NORMALISED):
+            scores = self.predicted(before[first[a : a + NORMALISED]]).astype(np.float32) @ target
             scores += bias
             top = scores.max(axis=1, keepdims=True)
-            out[a : a + BATCH] = top[:, 0] + np.log(np.exp(scores - top).sum(axis=1))
+            scores -= top
+            out[a : a + NORMALISED] = top[:, 0] + np.log(np.exp(scores, out=scores).sum(axis=1))
         return out[back]
 
     def log_probabilities(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -297,7 +300,7 @@ def train(mapped: DataFrame, lex: Lexicon) -> Bilinear:
 
 def _score_batches(batches: Iterable[pa.RecordBatch], flat: np.ndarray) -> Iterator[pa.RecordBatch]:
     model = Bilinear.of_flat(flat)
-    for batch in pieces(batches):
+    for batch in pieces(batches, size=1 << 20):
         pairs = [contexts(c) for c in batch.column(1).to_pylist()]
         logs = model.log_probabilities(np.concatenate([b for b, _ in pairs]), np.concatenate([a for _, a in pairs]))
         starts = np.cumsum([0] + [len(a) for _, a in pairs[:-1]])
