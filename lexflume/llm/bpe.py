@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from lexflume.llm.texts import pieces
+from lexflume.llm.texts import kept, pieces
 
 # Distinct words whose encodings a Python worker remembers.
 CACHED_WORDS = 400_000
@@ -29,6 +29,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 # The same pattern for texts of ASCII alone, which the plain engine cuts in half the time.
 _SPACE = "\\t-\\r "
 SPLIT_ASCII = rf"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^{_SPACE}A-Za-z0-9]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+# Rows and bytes of texts whose words a task holds at one time.
+PIECE = (512, 2 << 20)
 END = None  # key in a trie node of the word that ends there
 
 
@@ -207,16 +209,9 @@ class Bpe:
         return b"".join(map(self.bytes.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
 
 
-_LOADED: dict[str, Bpe] = {}
-
-
 def _loaded(content: str) -> Bpe:
     """One encoder per Python worker and vocabulary, so that words are remembered from task to task."""
-    key = hashlib.sha256(content.encode()).hexdigest()
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Bpe(content)
-    return _LOADED[key]
+    return kept(("bpe", hashlib.sha256(content.encode()).hexdigest()), lambda: Bpe(content))
 
 
 def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -234,7 +229,7 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     def go(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(content.value)
-        for batch in pieces(batches):
+        for batch in pieces(batches, *PIECE):
             ids = bpe.encode_batch([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexflume.llm.relations import attach, connected, forget, keep_where
-from lexflume.llm.texts import lowered, pieces, words
+from lexflume.llm.texts import lowered, pieces, release, words
 from lexflume.session import stored
 
 SKETCH = 48
@@ -42,6 +42,8 @@ WORTHWHILE = 0.05
 # Pairs of an open list that one task compares, about.
 PART_PAIRS = 1 << 20
 WORD_SEED = 7
+# Rows and bytes of texts whose sets a task holds at one time.
+PIECE = (512, 2 << 20)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -108,7 +110,8 @@ def least_overlap(threshold: float, k: int = SKETCH) -> int:
 
 
 def _profile_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches):
+    release()
+    for batch in pieces(batches, *PIECE):
         sets = [shingle_set(t, width) for t in lowered(batch.column(1))]
         bits = np.array([slice_bits(s) for s in sets], np.int64).reshape(-1, len(BITS))
         yield pa.RecordBatch.from_arrays(
@@ -125,7 +128,8 @@ def _profile_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[
 
 
 def _set_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches):
+    release()
+    for batch in pieces(batches, *PIECE):
         sets = [shingle_set(t, width) for t in lowered(batch.column(0))]
         yield pa.RecordBatch.from_arrays(
             [pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(sets, pa.list_(pa.int64()))],

@@ -2,11 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import gc
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# What this Python worker remembers from task to task: one thing of one operator, as a session's workers serve them all.
+_KEPT: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, make: Callable[[], object]) -> object:
+    """What an earlier task of this Python worker made under the key, or else made now; anything else is let go."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Let go what tasks of other operators have left in this Python worker."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
 
 def lowered(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of whole texts with A-Z lower-cased; null is empty."""

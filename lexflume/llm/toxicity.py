@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.llm.texts import pieces
+from lexflume.llm.texts import pieces, release
 from lexflume.session import stored
 
 # Labelled rows that the classifier is fitted on at most (lowest hashes of doc_id).
@@ -229,6 +229,7 @@ def drop_toxic(docs: DataFrame, model: Ordinal) -> DataFrame:
 
     @F.arrow_udf("boolean")
     def toxic(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         score = _scored(model)
         for texts in batches:
             parts = [score(p.column(0).to_pylist())[1][:, 0] >= 0.5 for p in pieces([pa.RecordBatch.from_arrays([texts], ["t"])])]
