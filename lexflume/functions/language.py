@@ -56,21 +56,77 @@ def _slices(items: pa.Array) -> Iterator[tuple[int, int]]:
     return zip([0, *ends[:-1]], ends, strict=True)
 
 
-def lcs_lengths(a: pa.Array, b: pa.Array) -> pa.Array:
-    """``lcs_length`` row by row; items are compared as numbers, a null array counts as empty."""
-    out = []
+def _coded(a: pa.Array, b: pa.Array) -> Iterator[tuple[int, int, list[tuple[np.ndarray, np.ndarray]]]]:
+    """Slices of two columns of arrays: rows, number of distinct items, and of both sides each item's row and code."""
     for start, end in _slices(a):
-        x, y = a.slice(start, end - start), b.slice(start, end - start)
-        codes = pa.concat_arrays([x.flatten(), y.flatten()]).dictionary_encode(null_encoding="encode").indices.to_numpy()
-        ends = [np.cumsum(pc.fill_null(pc.list_value_length(z), 0).to_numpy(zero_copy_only=False)) for z in (x, y)]
-        ends[1] = ends[1] + (ends[0][-1] if len(x) else 0)
-        first = np.r_[0, ends[0]]
-        second = np.r_[first[-1], ends[1]]
-        for i in range(len(x)):
-            out.append(lcs_length(codes[first[i] : first[i + 1]].tolist(), codes[second[i] : second[i + 1]].tolist()))
+        sides = [z.slice(start, end - start) for z in (a, b)]
+        flat = [z.flatten() for z in sides]
+        coded = pa.concat_arrays(flat).dictionary_encode(null_encoding="encode")
+        codes = np.split(coded.indices.to_numpy().astype(np.int64), [len(flat[0])])
+        sizes = [pc.fill_null(pc.list_value_length(z), 0).to_numpy(zero_copy_only=False) for z in sides]
+        rows = [np.repeat(np.arange(len(n)), n) for n in sizes]
+        yield end - start, max(len(coded.dictionary), 1), list(zip(rows, codes, strict=True))
+
+
+def _among(keys: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of keys in a sorted array, and whether they are there."""
+    at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+    return at, known[at] == keys if len(known) else np.zeros(len(keys), bool)
+
+
+def lcs_lengths(a: pa.Array, b: pa.Array) -> pa.Array:
+    """``lcs_length`` row by row; items are compared as numbers, a null array counts as empty.
+
+    Items that the other side's array lacks are in no common subsequence and are left out ahead.
+    """
+    out: list[int] = []
+    for size, width, sides in _coded(a, b):
+        keys = [rows * width + codes for rows, codes in sides]
+        kept = [x[_among(x, np.unique(y))[1]] for x, y in (keys, keys[::-1])]
+        ends = [np.searchsorted(x // width, np.arange(size + 1)) for x in kept]
+        for i in range(size):
+            x, y = (k[e[i] : e[i + 1]].tolist() for k, e in zip(kept, ends, strict=True))
+            out.append(lcs_length(x, y) if x else 0)
     return pa.array(out, pa.int32())
 
 
+def shared_gram_counts(a: pa.Array, b: pa.Array, n: int) -> pa.Array:
+    """Runs of n neighbouring items that two arrays share row by row, repeated runs counted as often as both have them."""
+    out = [np.zeros(0, np.int64)]
+    for size, width, (first, second) in _coded(a, b):
+        cut = len(first[0])
+        # both sides after one another, rows of the second numbered on: equal runs get equal numbers
+        rows, codes = np.r_[first[0], second[0] + size], np.r_[first[1], second[1]]
+        at = np.arange(max(len(codes) - n + 1, 0))
+        at = at[rows[at] == rows[at + n - 1]]
+        grams = codes[at]
+        for i in range(1, n):
+            if i > 1:
+                grams = np.unique(grams, return_inverse=True)[1]
+            grams = grams * width + codes[at + i]
+        span = int(grams.max(initial=0)) + 1
+        if size * span >= 1 << 62:
+            grams = np.unique(grams, return_inverse=True)[1]
+            span = len(grams) + 1
+        keys = rows[at] * span + grams
+        left = at < cut
+        known, n_known = np.unique(keys[~left] - size * span, return_counts=True)
+        places, there = _among(keys[left], known)
+        shared = np.minimum(np.bincount(places[there], minlength=len(known)), n_known)
+        out.append(np.bincount(known // span, shared, size).astype(np.int64))
+    return pa.array(np.concatenate(out), pa.int32())
+
+
+def shared_grams(n: int):
+    """Column function: how many runs of n neighbouring items two arrays share; a null array counts as empty."""
+
+    @F.arrow_udf(T.IntegerType())
+    def shared(a: pa.Array, b: pa.Array) -> pa.Array:
+        return shared_gram_counts(a, b, n)
+
+    return shared
+
+
 @F.arrow_udf(T.IntegerType())
 def lcs(a: pa.Array, b: pa.Array) -> pa.Array:
     """Longest common subsequence of two arrays; a null array counts as empty."""

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexflume.constants import CLASS_IDS, CLASS_NAMES
-from lexflume.functions.language import lcs, stem_tokens, stem_word
+from lexflume.functions.language import lcs, shared_grams, stem_tokens, stem_word
 from lexflume.functions.scores import class_name
-from lexflume.functions.text import ngrams, shared_items, strip, tokens
+from lexflume.functions.text import strip, tokens
 from lexflume.operators.distributed import exact_quantiles, exploded, merge_rows, value_counts
 from lexflume.operators.scoring import class_grid
 
@@ -164,9 +164,8 @@ def _f_score(hits: Column, a: Column, b: Column) -> Column:
 
 
 def _rouge_n(n: int) -> Column:
-    ref, pred = ngrams(F.col("_r"), n), ngrams(F.col("_p"), n)
     grams = lambda col: F.greatest(F.size(col) - (n - 1), F.lit(0))
-    return _f_score(shared_items(ref, pred), grams("_r"), grams("_p")).alias(f"rouge{n}")
+    return _f_score(shared_grams(n)("_r", "_p"), grams("_r"), grams("_p")).alias(f"rouge{n}")
 
 
 def _rouge_l() -> Column:

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from lexflume.constants import CLASS_IDS, DEFAULT_KEYWORDS
-from lexflume.functions.text import item_counts, join_keywords, tokens
-from lexflume.operators.distributed import exploded
+from lexflume.functions.items import token_counts, token_totals
+from lexflume.functions.text import join_keywords
 from lexflume.operators.keyed import KeyedTable
 from lexflume.session import stored
 
@@ -138,9 +138,9 @@ def idf_table(df: DataFrame, text: str = "text") -> DataFrame:
     A term counts once per document row and is combined in every task, so only
     distinct terms travel.
     """
-    words = exploded(df, F.array_distinct(tokens(F.col(text))), "term")
     n_docs = df.agg(F.count(F.lit(1))).scalar()
-    found = words.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")).withColumn("n_docs", n_docs)
+    found = token_totals(df, text, once=True).select(F.col("token").alias("term"), F.col("n").alias("doc_freq"))
+    found = found.withColumn("n_docs", n_docs)
     return found.withColumn("idf", _idf(F.col("n_docs"), F.col("doc_freq")))
 
 
@@ -166,7 +166,7 @@ def with_ranked_terms(
     they are ranked, so the order does not hang on the last digit. Terms the table lacks get the idf
     of a term in no document.
     """
-    counted = df.withColumn("_counted", item_counts(tokens(F.col(text))))
+    counted = df.withColumn("_counted", token_counts(F.col(text)))
     terms = F.transform("_counted", lambda c: c["item"])
     unseen = math.log(idf.n_docs + 1)
     kept = [c for c in df.columns if keep is None or c in keep]
@@ -205,10 +205,11 @@ def extract_keywords(
 
 def baseline_keywords(df: DataFrame, k: int = DEFAULT_KEYWORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Top ``k`` terms per document by frequency alone; works within each row."""
+    counted = df.select(key, token_counts(F.col(text)).alias("_counted"))
     by_frequency = F.sort_array(
-        F.transform(item_counts(tokens(F.col(text))), lambda c: F.struct((-c["n"]).alias("w"), c["item"].alias("term")))
+        F.transform("_counted", lambda c: F.struct((-c["n"]).alias("w"), c["item"].alias("term")))
     )
-    top = df.select(key, F.posexplode_outer(F.slice(by_frequency, 1, k)).alias("pos", "t"))
+    top = counted.select(key, F.posexplode_outer(F.slice(by_frequency, 1, k)).alias("pos", "t"))
     return top.where(F.col("t").isNotNull()).select(
         key, (F.col("pos") + 1).alias("rank"), F.col("t.term").alias("term"), (-F.col("t.w")).cast("double").alias("score")
     )
