@@ -86,8 +86,13 @@ def token_counts(text: Column) -> Column:
 def _total_batches(batches: Iterable[pa.RecordBatch], once: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_parts(batch.column(0)):
-            names, each, n = _row_items(part)
-            totals = np.bincount(each % max(len(names), 1), None if once else n, len(names)).astype(np.int64)
+            if once:
+                names, each, _ = _row_items(part)
+                at = each % max(len(names), 1)
+            else:
+                coded = tokens_of(part)[0].dictionary_encode()
+                names, at = coded.dictionary, coded.indices.to_numpy()
+            totals = np.bincount(at, minlength=len(names))
             yield pa.RecordBatch.from_arrays([names, pa.array(totals)], names=["token", "n"])
 
 

@@ -21,9 +21,9 @@ def word_count(col: Column) -> Column:
     return F.when(col.isNotNull(), F.regexp_count(col.cast("string"), F.lit(_WORD)))
 
 
-def tokens(col: Column) -> Column:
-    """Lower-case alphanumeric words in order of appearance."""
-    return F.array_remove(F.split(F.lower(col), "[^a-z0-9]+"), "")
+def tokens(col: Column, parts: int = -1) -> Column:
+    """Lower-case alphanumeric words in order of appearance; with ``parts``, the last of so many is the uncut rest."""
+    return F.array_remove(F.split(F.lower(col), "[^a-z0-9]+", parts), "")
 
 
 def strip(col: Column) -> Column:

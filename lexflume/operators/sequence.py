@@ -18,8 +18,9 @@ from lexflume.constants import (
     UNKNOWN_ID,
 )
 from lexflume.functions.hashing import seeded_key
+from lexflume.functions.items import token_totals
 from lexflume.functions.text import tokens
-from lexflume.operators.distributed import exploded, global_position, sorted_position
+from lexflume.operators.distributed import global_position, sorted_position
 from lexflume.operators.keyed import KeyedTable
 from lexflume.session import stored
 
@@ -30,12 +31,7 @@ def build_vocab(df: DataFrame, text: str = "text", min_count: int = 1) -> DataFr
     Counts are combined in every task before the shuffle, so frequent tokens cost
     one row per task.
     """
-    counts = (
-        exploded(df, tokens(F.col(text)), "token")
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= min_count)
-    )
+    counts = token_totals(df, text).where(F.col("n") >= min_count)
     # stored, as ranking reads them several times: texts are cut into tokens once
     counts = stored(counts, "token-counts")
     placed = sorted_position(counts, "token", F.struct((-F.col("n")).alias("w"), F.col("token")))
@@ -52,8 +48,9 @@ def _often(vocab: DataFrame) -> str | None:
 
 
 def _first_tokens(text: str, max_len: int) -> Column:
-    """The first ``max_len`` tokens; none of a null text."""
-    return F.coalesce(F.slice(tokens(F.col(text)), 1, max_len), F.array().cast("array<string>"))
+    """The first ``max_len`` tokens; none of a null text. What follows them is not cut."""
+    # of the parts one may be empty at the start, and the last one may hold the uncut rest
+    return F.coalesce(F.slice(tokens(F.col(text), max_len + 2), 1, max_len), F.array().cast("array<string>"))
 
 
 def _with_ids(
