@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.llm.relations import attach, connected, forget, keep_where
+from lexflume.llm.relations import attach, connected, forget, keep_where, sized
 from lexflume.llm.texts import lowered, pieces, release, words
 from lexflume.session import stored
 
@@ -41,6 +41,8 @@ ODD = 1024
 WORTHWHILE = 0.05
 # Pairs of an open list that one task compares, about.
 PART_PAIRS = 1 << 20
+# Members of an open list up to which all of them meet, whatever their sizes.
+BANDED = 32
 WORD_SEED = 7
 # Rows and bytes of texts whose sets a task holds at one time.
 PIECE = (512, 2 << 20)
@@ -156,15 +158,16 @@ def set_nodes(rows: DataFrame) -> DataFrame:
         *[F.first(c).alias(c) for c in ("sketch", *BITS, "odd")],
         F.count(F.lit(1)).alias("copies"),
     )
-    grouped = stored(grouped, "sets")
-    clashing = grouped.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 OR doc_id IS NULL")
-    clashing = clashing.select(F.col("doc_id").alias("clash"), F.lit(True).alias("clashes"))
+    # names alone tell which of them clash, and those are few: sketches travel once
+    names = rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("clash"))
+    clashing = names.groupBy("clash").agg(F.count(F.lit(1)).alias("c")).where("c > 1 OR clash IS NULL")
+    clashing = stored(clashing.select("clash", F.lit(True).alias("clashes")), "clashing")
     digest = -F.shiftrightunsigned(F.xxhash64("set_key"), 1) - 1
-    named = grouped.join(clashing, F.col("doc_id").eqNullSafe(F.col("clash")), "left").withColumn(
+    named = grouped.join(sized(clashing), F.col("doc_id").eqNullSafe(F.col("clash")), "left").withColumn(
         "node", F.when(F.col("clashes"), digest).otherwise(F.col("doc_id").cast("bigint"))
     )
     nodes = stored(named.drop("clash", "clashes"), "nodes")
-    forget(grouped)
+    forget(clashing)
     return nodes
 
 
@@ -217,12 +220,11 @@ def _near_enough(odd_a: str, odd_b: str, n_a: str, n_b: str, threshold: float) -
 
 def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Stored pairs that sizes, odd sketches and union sketches allow, as (a, b)."""
-    slim = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"), F.col("odd").alias("ob"))
+    ends = stored(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "ends")
+    slim = stored(keep_where(nodes.select("node", "n", "sketch", "odd"), ends, "node", "left_semi"), "sketches")
     degrees = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_n"))
-    right = stored(degrees.join(slim, "b"), "sketches")
-    sided = attach(pairs, right, "b", "_n", "a", "inner").join(
-        nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"), F.col("odd").alias("oa")), "a"
-    )
+    right = stored(degrees.join(slim.toDF("b", "nb", "sb", "ob"), "b"), "sketches")
+    sided = attach(pairs, right, "b", "_n", "a", "inner").join(slim.toDF("a", "na", "sa", "oa"), "a")
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, SKETCH)
     shared = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
     whole = (F.col("na") <= SKETCH) & (F.col("nb") <= SKETCH)
@@ -233,7 +235,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     fits = F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9
     near = _near_enough("oa", "ob", "na", "nb", threshold)
     likely = stored(sided.where(fits & near).where(allowed).select("a", "b"), "likely")
-    forget(right)
+    forget(ends, slim, right)
     return likely
 
 
@@ -243,8 +245,9 @@ def _whole_sets(docs: DataFrame, used: DataFrame, nodes: DataFrame, width: int,
     fresh = stored(fresh.join(nodes.select("node", "set_key", "doc_id"), "node"), "fresh")
     texts = keep_where(docs.select("doc_id", "text"), fresh.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
     found = texts.mapInArrow(partial(_set_batches, width=width), "set_key binary, members array<bigint>")
-    sets = fresh.join(found, "set_key").groupBy("node").agg(F.first("members").alias("members"))
-    sets = stored(sets, "members")
+    # one node per set: grouped where the join has put them, whole sets travel once
+    sets = fresh.join(found, "set_key").groupBy("set_key", "node").agg(F.first("members").alias("members"))
+    sets = stored(sets.select("node", "members"), "members")
     forget(fresh)
     return sets
 
@@ -300,8 +303,8 @@ def _stars(labelled: DataFrame, turn: int, threshold: float) -> tuple[DataFrame,
 def _members(labelled: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Stored (a, b): likely pairs of an open list from different components, one end outside the list's largest one.
 
-    Members meet only where their sizes allow a pair, by bands of sizes, and a long list's members are
-    dealt over parts that each meet the others outside its largest component.
+    Members of longer lists meet only where their sizes allow a pair, by bands of sizes, and a long list's
+    members are dealt over parts that each meet the others outside its largest component.
     """
     counted = labelled.groupBy("value", "root").agg(F.count(F.lit(1)).alias("c"))
     lists = counted.groupBy("value").agg(
@@ -311,10 +314,11 @@ def _members(labelled: DataFrame, nodes: DataFrame, threshold: float) -> DataFra
         F.sum("c").alias("_n"),
     )
     parts = F.ceil(F.col("_n") * (F.col("_n") - F.col("most")) / PART_PAIRS)
-    lists = stored(lists.where("k > 1").select("value", "main", parts.alias("parts"), "_n"), "open")
+    lists = lists.where("k > 1").select("value", "main", parts.alias("parts"), (F.col("_n") > BANDED).alias("banded"), "_n")
+    lists = stored(lists, "open")
     inside = attach(labelled, lists, "value", "_n", "node", "inner").join(nodes.select("node", "odd"), "node")
     # sizes of a pair are at most one band apart
-    band = F.floor(F.log("n") / log(1 / threshold) + 1e-9)
+    band = F.when(F.col("banded"), F.floor(F.log("n") / log(1 / threshold) + 1e-9)).otherwise(F.lit(0).cast("bigint"))
     inside = stored(inside.withColumn("band", band).withColumn("part", F.pmod(F.xxhash64("node"), "parts")), "inside")
     outer = inside.where("root != main").select(
         "value",
@@ -322,10 +326,10 @@ def _members(labelled: DataFrame, nodes: DataFrame, threshold: float) -> DataFra
         F.col("root").alias("rx"),
         *[F.col(t).alias(f"x_{t}") for t in ("n", *BITS, "odd")],
         "parts",
-        F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+        F.explode(F.when(F.col("banded"), F.sequence(F.col("band") - 1, F.col("band") + 1)).otherwise(F.array("band"))).alias("band"),
     )
     outer = outer.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).drop("parts")
-    met = inside.join(outer, ["value", "band", "part"]).where("root != rx AND (root = main OR node < x)")
+    met = inside.drop("banded", "parts").join(outer, ["value", "band", "part"]).where("root != rx AND (root = main OR node < x)")
     met = met.where(_alike(F.col, lambda c: F.col(f"x_{c}"), threshold))
     met = met.where(_near_enough("odd", "x_odd", "n", "x_n", threshold))
     pairs = stored(met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct(), "pairs")
