@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexflume.llm import bpe, exact_dedup, minhash, mixing, queries, toxicity
-from lexflume.session import stored
+from lexflume.session import hand_small_batches, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose chance of being toxic at any grade is below one half."""
+    hand_small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.drop_toxic(docs, toxicity.train(docs, labels))
 
@@ -39,6 +40,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
+    hand_small_batches(spark)
     return bpe.round_trip(docs, queries.vocabulary())
 
 

@@ -14,6 +14,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -130,7 +131,7 @@ def _map_batches(batches: Iterable[pa.RecordBatch], lex: Lexicon) -> Iterator[pa
         rows = []
         for text in lowered(batch.column(2)):
             found = words(text)
-            at = np.fromiter((index.get(w, -1) for w in found), np.int64, len(found))
+            at = np.fromiter(map(index.get, found, repeat(-1)), np.int64, len(found))
             at = np.append(at, end)
             cls = classes[at]
             rare: Counter = Counter()
@@ -160,6 +161,7 @@ class Bilinear:
     position: np.ndarray  # (CONTEXT, WIDTH)
     target: np.ndarray  # (CLASSES, WIDTH)
     bias: np.ndarray  # (CLASSES,)
+    norms: np.ndarray | None = None  # of the contexts met so far; a model that still learns must not keep any
 
     @classmethod
     def fresh(cls, log_unigram: np.ndarray) -> Bilinear:
@@ -184,18 +186,30 @@ class Bilinear:
         return sum(self.context[before[:, j]] * self.position[j] for j in range(CONTEXT))
 
     def log_norms(self, before: np.ndarray) -> np.ndarray:
-        """Log of the normaliser of each context, by matrix products over distinct contexts."""
-        codes = before @ np.array([(CLASSES + 1) ** j for j in range(CONTEXT)])
-        _, first, back = np.unique(codes, return_index=True, return_inverse=True)
-        out = np.empty(len(first), np.float32)
-        target, bias = self.target.astype(np.float32).T.copy(), self.bias.astype(np.float32)
-        for a in range(0, len(first), NORMALISED):
-            scores = self.predicted(before[first[a : a + NORMALISED]]).astype(np.float32) @ target
-            scores += bias
-            top = scores.max(axis=1, keepdims=True)
-            scores -= top
-            out[a : a + NORMALISED] = top[:, 0] + np.log(np.exp(scores, out=scores).sum(axis=1))
-        return out[back]
+        """Log of the normaliser of each context, by matrix products over distinct contexts not met before.
+
+        The table of all contexts has a fixed size (6.6 MB): a task normalises each context once.
+        """
+        if self.norms is None:
+            self.norms = np.full((CLASSES + 1) ** CONTEXT, np.nan, np.float32)
+        codes = before[:, 0].copy()
+        for j in range(1, CONTEXT):
+            codes += before[:, j] * (CLASSES + 1) ** j
+        fresh = codes[np.isnan(self.norms[codes])]
+        if len(fresh):
+            marked = np.zeros(len(self.norms), bool)
+            marked[fresh] = True
+            fresh = np.flatnonzero(marked)
+            target, bias = self.target.astype(np.float32).T.copy(), self.bias.astype(np.float32)
+            for a in range(0, len(fresh), NORMALISED):
+                part = fresh[a : a + NORMALISED]
+                contexts = np.stack([part // (CLASSES + 1) ** j % (CLASSES + 1) for j in range(CONTEXT)], axis=1)
+                scores = self.predicted(contexts).astype(np.float32) @ target
+                scores += bias
+                top = scores.max(axis=1, keepdims=True)
+                scores -= top
+                self.norms[part] = top[:, 0] + np.log(np.exp(scores, out=scores).sum(axis=1))
+        return self.norms[codes]
 
     def log_probabilities(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         scores = np.einsum("ij,ij->i", self.predicted(before), self.target[after]) + self.bias[after]

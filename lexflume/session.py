@@ -9,6 +9,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -25,6 +26,17 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     )
 
 
+def hand_small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let this session hand Python workers at most so many rows at a time; a smaller setting stays.
+
+    Whole texts travel in batches, which an executor holds for each of its tasks twice: in the JVM
+    and in the Python worker. Results do not depend on where batches are cut.
+    """
+    held = int(spark.conf.get(BATCH_CONF))
+    if held <= 0 or held > rows:
+        spark.conf.set(BATCH_CONF, str(rows))
+
+
 @lru_cache(maxsize=None)
 def _local_dir(application: str) -> str:
     return tempfile.mkdtemp(prefix="lexflume-")
