@@ -1,10 +1,10 @@
-"""Byte-level BPE by traversal of a trie of distinct words.
+"""Byte-level BPE by traversal of the trie of distinct words.
 
 A word's encoding is fixed by its last token and the encoding of what stands before it: a token that
 ends at a position is the last one exactly if it and the last token of the prefix before it are never
-merged across their border. So the distinct words of a batch go into a trie, a depth-first walk
-finds the last token of each node once, and all words below a node share it. Encodings are read
-back along last tokens.
+merged across their border. So the distinct words of a batch are walked in byte order, which is the
+depth-first order of their trie: the last token of each prefix is found once, and all words that begin
+with it share it. Encodings are read back along last tokens.
 """
 
 from __future__ import annotations
@@ -16,22 +16,24 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from lexflume.llm.texts import kept, pieces
 
-# Distinct words whose encodings a Python worker remembers.
-CACHED_WORDS = 400_000
+# Distinct words of a generation; a Python worker remembers the encodings of two, and a word that is met again moves on.
+CACHED_WORDS = 100_000
+# Pairs of neighbouring tokens of which a Python worker remembers whether they stay apart.
+CACHED_PAIRS = 400_000
 # Fixed value: the split pattern of byte-level BPE (the ByteLevel pre-tokenizer's published pattern).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # The same pattern for texts of ASCII alone, which the plain engine cuts in half the time.
 _SPACE = "\\t-\\r "
 SPLIT_ASCII = rf"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^{_SPACE}A-Za-z0-9]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 # Rows and bytes of texts whose words a task holds at one time.
-PIECE = (512, 2 << 20)
-END = None  # key in a trie node of the word that ends there
+PIECE = (256, 1 << 20)
 
 
 def byte_letters() -> dict[str, int]:
@@ -53,17 +55,20 @@ class Bpe:
         raw = {k: bytes(letters[c] for c in k) for k in vocabulary}
         self.token = {raw[k]: i for k, i in vocabulary.items()}
         self.bytes = {i: b for b, i in self.token.items()} | {i: s.encode() for s, i in self.special.items()}
+        self.table = pa.array([self.bytes.get(i) for i in range(max(self.bytes, default=-1) + 1)], pa.large_binary())
         self.rank, self.parts, self.born = {}, {}, {}
         for r, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             x, y, z = vocabulary[a], vocabulary[b], vocabulary[a + b]
-            self.rank[x, y] = r
+            self.rank[x << 32 | y] = r
             if z not in self.born:
                 self.parts[z], self.born[z] = (x, y), r
         self.next, self.fall, self.ends = self._automaton()
         self.split, self.split_ascii = regex.compile(SPLIT), re.compile(SPLIT_ASCII)
+        self.size = {i: len(b) for b, i in self.token.items()}
         self.agreed: dict[int, bool] = {}
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str | int, bytes] = {}
+        self.older: dict[str | int, bytes] = {}
 
     def _automaton(self) -> tuple[dict[int, int], list[int], list[tuple[tuple[int, int], ...]]]:
         """Suffix automaton of all tokens: transitions (state << 8 | byte), fall-back states, and the
@@ -119,7 +124,7 @@ class Bpe:
         held = self.agreed.get(left << 32 | right)
         if held is None:
             held = not any(
-                (r := self.rank.get((x, y))) is not None and r < x_until and r <= y_until
+                (r := self.rank.get(x << 32 | y)) is not None and r < x_until and r <= y_until
                 for x, x_until in self._edge(left, 1)
                 for y, y_until in self._edge(right, 0)
             )
@@ -128,43 +133,40 @@ class Bpe:
 
     def encode_words(self, found: Iterable[bytes]) -> dict[bytes, bytes]:
         """Encodings (ids as little-endian unsigned 32-bit integers) of distinct words."""
-        root: dict = {}
-        for word in found:
-            node = root
-            for b in word:
-                node = node.setdefault(b, {})
-            node[END] = word
         out = {}
-        last, size, states = [-1], [0], [0]  # of the prefixes along the walk, by depth
-        step, ends, agreed = self.next, self.ends, self.agreed
-        stack = [(b, child, 1) for b, child in root.items() if b is not END]
-        while stack:
-            b, node, depth = stack.pop()
-            del last[depth:], size[depth:], states[depth:]
-            before = states[-1]
-            state = step.get(before << 8 | b)
-            if state is None:
-                state = self._move(before, b)
-            for n, t in ends[state]:
-                if n == depth:
-                    break
-                held = agreed.get(last[-n] << 32 | t)
-                if held or held is None and self.agree(last[-n], t):
+        last, states = [-1], [0]  # of the prefixes of the word before, by length
+        step, ends, agreed, size = self.next, self.ends, self.agreed, self.size
+        packed = [struct.Struct(f"<{n}I").pack for n in range(17)]
+        before = b""
+        for word in sorted(found):
+            depth = 0
+            for x, y in zip(before, word, strict=False):
+                if x != y:
                     break
-            else:
-                raise ValueError("the vocabulary lacks a single byte")
-            last.append(t)
-            size.append(n)
-            states.append(state)
-            for key, child in node.items():
-                if key is END:
-                    ids, at = [], depth
-                    while at:
-                        ids.append(last[at])
-                        at -= size[at]
-                    out[child] = struct.pack(f"<{len(ids)}I", *reversed(ids))
+                depth += 1
+            del last[depth + 1 :], states[depth + 1 :]
+            state, before = states[-1], word
+            for b in word[depth:]:
+                depth += 1
+                key = state << 8 | b
+                state = step[key] if key in step else self._move(state, b)
+                for n, t in ends[state]:
+                    if n == depth:
+                        break
+                    key = last[-n] << 32 | t
+                    if agreed[key] if key in agreed else self.agree(last[-n], t):
+                        break
                 else:
-                    stack.append((key, child, depth + 1))
+                    raise ValueError("the vocabulary lacks a single byte")
+                last.append(t)
+                states.append(state)
+            ids, at = [], depth
+            while at:
+                t = last[at]
+                ids.append(t)
+                at -= size[t]
+            ids.reverse()
+            out[word] = packed[len(ids)](*ids) if len(ids) < len(packed) else struct.pack(f"<{len(ids)}I", *ids)
         return out
 
     def words(self, text: str) -> list[str]:
@@ -194,9 +196,16 @@ class Bpe:
             else:
                 cut.append(self.words(text))
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
+            self.known, self.older = {}, self.known
+        if len(self.agreed) > CACHED_PAIRS:
             self.agreed.clear()
-        fresh = [w for w in set().union(*cut) if w not in self.known]
+        fresh = []
+        for w in set().union(*cut).difference(self.known):
+            ids = self.older.get(w)
+            if ids is None:
+                fresh.append(w)
+            else:
+                self.known[w] = ids
         by_bytes = {w.encode("utf-8"): w for w in fresh if isinstance(w, str)}
         for raw, ids in self.encode_words(by_bytes).items():
             self.known[by_bytes[raw]] = ids
@@ -204,6 +213,18 @@ class Bpe:
             self.known[special] = struct.pack("<I", special)
         return [b"".join(map(self.known.__getitem__, row)) for row in cut]
 
+    def decode_batch(self, rows: list[bytes]) -> list[str]:
+        """Texts of the ids of each row, as ``decode`` gives them; the tokens of all rows are looked up at once."""
+        ids = np.frombuffer(b"".join(rows), "<u4")
+        taken = self.table.take(pa.array(ids))
+        if taken.null_count:
+            raise KeyError("an id that the vocabulary lacks")
+        _, offsets, data = taken.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(ids) + 1, taken.offset * 8) if len(ids) else np.zeros(1, np.int64)
+        cuts = ends[np.cumsum([0] + [len(r) // 4 for r in rows])].tolist()
+        whole = memoryview(data) if data is not None else memoryview(b"")
+        return [str(whole[a:b], "utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
     def decode(self, ids: bytes) -> str:
         """Text of ids, special tokens included; bytes that are no UTF-8 become replacement characters."""
         return b"".join(map(self.bytes.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
@@ -236,7 +257,7 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
                     batch.column(0),
                     pa.array([len(i) // 4 for i in ids], pa.int64()),
                     pa.array([hashlib.sha256(i).hexdigest() for i in ids]),
-                    pa.array([hashlib.sha256(bpe.decode(i).encode("utf-8")).hexdigest() for i in ids]),
+                    pa.array([hashlib.sha256(t.encode("utf-8")).hexdigest() for t in bpe.decode_batch(ids)]),
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
