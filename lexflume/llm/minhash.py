@@ -3,7 +3,8 @@
 A document's shingle hashes, sorted, are its set; the k smallest are its sketch. Inverted lists of
 retained values give overlapping sketches. A list is named by two retained values that are next to
 each other in a sketch: one value alone is held by a fixed share of unrelated documents, so its list
-would grow with the corpus. Nodes of small sets enter only the lists of their rarest neighbours.
+would grow with the corpus. Nodes of small sets enter only the lists of their rarest neighbours, others
+all but the few most frequent ones, which hold what unrelated texts share (a notice, a common line).
 Lists are linked star-wise to a pivot, another one in every round, as long as that links much of what
 it compares; what stars leave open is compared member by member. Sizes and 256 bits drawn from the same
 hashes rule most pairs out before they are written, and so does an odd sketch, which never rules out a
@@ -111,6 +112,20 @@ def least_overlap(threshold: float, k: int = SKETCH) -> int:
     return max(1, c)
 
 
+def least_neighbours(threshold: float, k: int = SKETCH) -> int:
+    """Largest m so that two full sketches of sets at the threshold share fewer than m neighbours with chance <= MISS.
+
+    The worst case is a subset: then each retained value of the larger set is shared with chance
+    ``threshold``, and two next to each other are shared neighbours.
+    """
+    # chances of 0, 1, .. shared neighbours among the first values, by whether the last one is shared
+    no, yes = np.array([1 - threshold]), np.array([threshold])
+    for _ in range(k - 1):
+        no, yes, more = np.append(no, 0.0), np.append(yes, 0.0), np.append(0.0, yes)
+        no, yes = (1 - threshold) * (no + yes), threshold * (no + more)
+    return int(np.sum(np.cumsum(no + yes) <= MISS))
+
+
 def _profile_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     release()
     for batch in pieces(batches, *PIECE):
@@ -176,8 +191,10 @@ def rare_lists(nodes: DataFrame, threshold: float) -> DataFrame:
 
     Of m common and d other values in hash order, at least m - d - 1 neighbours are both common.
     Where every partner's sketch is its whole set, that makes ``2 * (1 - threshold) * n + 1`` of a
-    node's rarest neighbours enough; larger sets are listed under all of theirs. Neighbours that
-    one node alone holds are the rarest of all and need no list.
+    node's rarest neighbours enough. Larger sets share m neighbours but for a chance of MISS; the
+    rarest of those is not among the m - 1 most frequent ones of either node, which need no list. So
+    a passage of unrelated texts, whose few neighbours nearly all of them hold, makes no list either.
+    Neighbours that one node alone holds are the rarest of all and need no list.
     """
     # a sketch of one value has no neighbours, and at the threshold no partner but its equals
     heads = F.slice("sketch", 1, F.size("sketch") - 1)
@@ -192,7 +209,8 @@ def rare_lists(nodes: DataFrame, threshold: float) -> DataFrame:
     held = held.join(nodes.select("node", "n", *BITS), "node")
     every = F.least(F.col("n"), F.lit(SKETCH)) - 1
     enough = F.floor(F.col("n") * (2 * (1 - threshold)) + 1e-9) + 1
-    wanted = F.when(F.col("n") <= int(SKETCH * threshold), F.least(every, enough)).otherwise(every)
+    spared = max(1, least_neighbours(threshold)) - 1
+    wanted = F.when(F.col("n") <= int(SKETCH * threshold), F.least(every, enough)).otherwise(every - spared)
     rarest = F.slice("held", 1, F.greatest(F.lit(0), wanted - (every - F.size("held"))).cast("int"))
     values = F.explode(F.transform(rarest, lambda x: x["value"])).alias("value")
     found = stored(held.select("node", "n", *BITS, values), "lists")
@@ -300,40 +318,64 @@ def _stars(labelled: DataFrame, turn: int, threshold: float) -> tuple[DataFrame,
     return pairs, lists
 
 
-def _members(labelled: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Stored (a, b): likely pairs of an open list from different components, one end outside the list's largest one.
+def _sides(labelled: DataFrame, nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Members of the open lists and those outside a list's largest component, and the stored tables behind both.
 
-    Members of longer lists meet only where their sizes allow a pair, by bands of sizes, and a long list's
-    members are dealt over parts that each meet the others outside its largest component.
+    Two of them meet where value, band, row and column are equal, and nowhere else. Members of longer
+    lists meet only where their sizes allow a pair, by those bands of sizes that the list has. A list of
+    many pairs is a grid of cells of about PART_PAIRS each: members are dealt over its rows and those
+    outside over its columns, so a row of either is repeated once per about 1,000 on the other side.
     """
-    counted = labelled.groupBy("value", "root").agg(F.count(F.lit(1)).alias("c"))
+    # sizes of a pair are at most one band apart
+    def band(n: str) -> Column:
+        return F.when(F.col("banded"), F.floor(F.log(n) / log(1 / threshold) + 1e-9)).otherwise(F.lit(0).cast("bigint"))
+
+    counted = labelled.groupBy("value", "root").agg(
+        F.count(F.lit(1)).alias("c"), F.min("n").alias("fewest"), F.max("n").alias("largest")
+    )
     lists = counted.groupBy("value").agg(
         F.max_by("root", F.struct("c", "root")).alias("main"),
-        F.max("c").alias("most"),
+        (F.sum("c") - F.max("c")).alias("outside"),
         F.count(F.lit(1)).alias("k"),
         F.sum("c").alias("_n"),
+        F.min("fewest").alias("fewest"),
+        F.max("largest").alias("largest"),
+    )
+    lists = lists.where("k > 1").withColumn("banded", F.col("_n") > BANDED)
+    lists = lists.withColumn("columns", F.ceil(F.col("outside") / PART_PAIRS**0.5))
+    rows = F.ceil(F.col("_n") * F.col("outside") / (F.col("columns") * PART_PAIRS))
+    lists = lists.select(
+        "value", "main", "banded", band("fewest").alias("low"), band("largest").alias("high"), rows.alias("rows"), "columns", "_n"
     )
-    parts = F.ceil(F.col("_n") * (F.col("_n") - F.col("most")) / PART_PAIRS)
-    lists = lists.where("k > 1").select("value", "main", parts.alias("parts"), (F.col("_n") > BANDED).alias("banded"), "_n")
     lists = stored(lists, "open")
     inside = attach(labelled, lists, "value", "_n", "node", "inner").join(nodes.select("node", "odd"), "node")
-    # sizes of a pair are at most one band apart
-    band = F.when(F.col("banded"), F.floor(F.log("n") / log(1 / threshold) + 1e-9)).otherwise(F.lit(0).cast("bigint"))
-    inside = stored(inside.withColumn("band", band).withColumn("part", F.pmod(F.xxhash64("node"), "parts")), "inside")
+    inside = stored(inside.withColumn("band", band("n")), "inside")
     outer = inside.where("root != main").select(
         "value",
         F.col("node").alias("x"),
         F.col("root").alias("rx"),
         *[F.col(t).alias(f"x_{t}") for t in ("n", *BITS, "odd")],
-        "parts",
-        F.explode(F.when(F.col("banded"), F.sequence(F.col("band") - 1, F.col("band") + 1)).otherwise(F.array("band"))).alias("band"),
+        F.pmod(F.xxhash64("node"), "columns").alias("column"),
+        "rows",
+        F.explode(F.sequence(F.greatest("low", F.col("band") - 1), F.least("high", F.col("band") + 1))).alias("band"),
+    )
+    outer = outer.withColumn("row", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1))).drop("rows")
+    members = inside.select(
+        "value", "node", "root", "main", "n", *BITS, "odd", "band",
+        F.pmod(F.xxhash64("node"), "rows").alias("row"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("columns") - 1)).alias("column"),
     )
-    outer = outer.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).drop("parts")
-    met = inside.drop("banded", "parts").join(outer, ["value", "band", "part"]).where("root != rx AND (root = main OR node < x)")
+    return members, outer, [lists, inside]
+
+
+def _members(labelled: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Stored (a, b): likely pairs of an open list from different components, one end outside the list's largest one."""
+    members, outer, behind = _sides(labelled, nodes, threshold)
+    met = members.join(outer, ["value", "band", "row", "column"]).where("root != rx AND (root = main OR node < x)")
     met = met.where(_alike(F.col, lambda c: F.col(f"x_{c}"), threshold))
     met = met.where(_near_enough("odd", "x_odd", "n", "x_n", threshold))
     pairs = stored(met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct(), "pairs")
-    forget(lists, inside)
+    forget(*behind)
     return pairs
 
 

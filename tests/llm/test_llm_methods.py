@@ -176,6 +176,53 @@ def test_near_copies_of_near_copies(spark, monkeypatch, width):
     assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, width).collect()} == dict(enumerate(wanted))
 
 
+def test_passage_of_unrelated_texts_makes_no_list(spark):
+    """A common line made a list of most of its texts; alike texts still share one."""
+    rng = np.random.default_rng(3)
+    passage = [f"p{x}" for x in range(8)]
+    texts = [[f"q{x}" for x in rng.integers(0, 10**9, 90)] + passage for _ in range(120)]
+    texts.append(texts[0][:45] + ["changed"] + texts[0][46:])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    nodes = minhash.set_nodes(minhash.profiles(docs, 5))
+    held = {}
+    for r in minhash.rare_lists(nodes, 0.8).select("value", "node").collect():
+        held.setdefault(r["value"], set()).add(r["node"])
+    assert max(len(x) for x in held.values()) < 12  # of 121 texts
+    assert any({0, 120} <= x for x in held.values())
+    found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 5).collect()}
+    assert found == {i: 0 if i == 120 else i for i in range(121)}
+
+
+def test_least_neighbours_of_alike_sketches():
+    assert [minhash.least_neighbours(t) for t in (0.7, 0.8)] == [0, 4]
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        a = rng.choice(2**62, 300, False)
+        smaller, larger = (np.sort(x)[: minhash.SKETCH].tolist() for x in (a[:240], a))
+        pairs = [set(zip(x, x[1:], strict=False)) for x in (smaller, larger)]
+        assert len(pairs[0] & pairs[1]) >= 4
+
+
+def test_long_list_is_a_grid(spark, monkeypatch):
+    """300 texts of one list, none linked: each pair meets once, rows are repeated with the sides of the grid."""
+    monkeypatch.setattr(minhash, "PART_PAIRS", 400)
+    rng = np.random.default_rng(6)
+    sizes = [int(x) for x in rng.choice([100, 110, 400], 300)]
+    labelled = spark.createDataFrame(
+        [(i, n, 0, 0, 0, 0, 1, i) for i, n in enumerate(sizes)],
+        "node bigint, n bigint, " + ", ".join(f"{b} bigint" for b in minhash.BITS) + ", value bigint, root bigint",
+    )
+    nodes = spark.createDataFrame([(i, [0] * 16) for i in range(300)], "node bigint, odd array<bigint>")
+    members, outer, _ = minhash._sides(labelled, nodes, 0.8)
+    # one row of 226 parts held all of them before: 299 * 226 rows, times three bands
+    assert members.count() == 300 * 15 and outer.count() < 299 * 15 * 3
+    met = members.join(outer, ["value", "band", "row", "column"]).where("root != rx AND (root = main OR node < x)")
+    pairs = sorted(tuple(sorted((r["node"], r["x"]))) for r in met.select("node", "x").collect())
+    assert len(pairs) == len(set(pairs))
+    alike = [(i, j) for i in range(300) for j in range(i + 1, 300) if min(sizes[i], sizes[j]) >= 0.8 * max(sizes[i], sizes[j])]
+    assert set(alike) <= set(pairs)
+
+
 def test_near_duplicates_equal_brute_force(spark):
     rng = np.random.default_rng(5)
     texts = []
