@@ -34,10 +34,10 @@ def text_parts(texts: pa.Array) -> Iterator[pa.Array]:
         yield texts.slice(start, end - start)
 
 
-def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Tokens (runs of a-z0-9) of lower-cased texts one after another, and how many there are up to the end of each text."""
+def cut_tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """``tokens_of`` the texts, all bytes of the texts, and where among them each token starts."""
     if not len(texts):
-        return pa.array([], pa.string()), np.zeros(0, np.int64)
+        return pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.uint8), np.zeros(0, np.int64)
     _, offsets, raw = texts.buffers()
     offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
     raw = np.frombuffer(raw or b"", np.uint8)[offsets[0] : offsets[-1]]
@@ -51,7 +51,12 @@ def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     letters = raw[inside]
     borders = np.r_[np.cumsum(inside, dtype=np.int32)[at] - 1, len(letters)].astype(np.int32)
     found = pa.StringArray.from_buffers(len(at), pa.py_buffer(borders), pa.py_buffer(letters))
-    return found, np.searchsorted(at, offsets[1:])
+    return found, np.searchsorted(at, offsets[1:]), raw, at
+
+
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Tokens (runs of a-z0-9) of lower-cased texts one after another, and how many there are up to the end of each text."""
+    return cut_tokens(texts)[:2]
 
 
 def _row_items(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:

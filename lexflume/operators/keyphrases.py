@@ -10,15 +10,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexflume.constants import DEFAULT_KEYWORDS
-from lexflume.functions.phrases import phrase_counts
+from lexflume.functions.phrases import best_of_table, counted_phrases, known_phrases, ranked_phrases, repeated_phrases
 from lexflume.operators.distributed import exploded
 from lexflume.operators.keyed import KeyedTable
 from lexflume.operators.models import idf_table
-from lexflume.session import stored
+from lexflume.session import hand_small_batches, stored
 
 # Words of a phrase.
 FEWEST, MOST = 2, 4
@@ -26,13 +28,8 @@ FEWEST, MOST = 2, 4
 STOP_SHARE = 0.1
 # A phrase occurs at least this often in the corpus.
 LEAST_COUNT = 2
-BREAK = "|"
-
-
-def marked_tokens(text: Column) -> Column:
-    """Lower-case alphanumeric tokens in order, and ``|`` wherever punctuation or a line end stands between them."""
-    broken = F.regexp_replace(F.lower(text), r'[.,;:!?()\[\]{}"|\r\n]+', f" {BREAK} ")
-    return F.array_remove(F.split(broken, r"[^a-z0-9|]+"), "")
+# Phrases of a table, and rows, that meet in one part.
+PART_PHRASES, PART_ROWS = 1 << 16, 1 << 12
 
 
 def stop_words(df: DataFrame, text: str = "text", share: float = STOP_SHARE) -> DataFrame:
@@ -44,12 +41,11 @@ def stop_words(df: DataFrame, text: str = "text", share: float = STOP_SHARE) ->
     return found.select(F.col("term").alias("token"), F.lit(1).alias("stop"))
 
 
-def with_candidates(df: DataFrame, stops: KeyedTable, text: str = "text", fewest: int = FEWEST, most: int = MOST) -> DataFrame:
-    """``df`` with ``candidates``: the row's phrases with how often each occurs there."""
-    cut = df.withColumn("_tokens", F.coalesce(marked_tokens(F.col(text)), F.array().cast("array<string>")))
-    known = stops.look_up(cut, F.col("_tokens"), "stop", 0, "_stops")
-    flags = F.zip_with("_tokens", "_stops", lambda t, s: F.when(t == BREAK, F.lit(1)).otherwise(s))
-    return known.withColumn("candidates", phrase_counts(fewest, most)("_tokens", flags)).drop("_tokens", "_stops")
+def _all_stops(stops: KeyedTable) -> Broadcast:
+    """Broadcast of all stop words: together they are no longer than 1 / share texts of average length."""
+    found = stops.rows.select(stops.key).toArrow().column(0)
+    words = pa.concat_arrays([pa.array([], pa.string()), *[c.cast(pa.string()) for c in found.chunks]])
+    return stops.rows.sparkSession.sparkContext.broadcast(words)
 
 
 @dataclass(frozen=True)
@@ -76,10 +72,15 @@ def phrase_table(
     that they take on average is not the phrase's own: weight = idf * log2(1 + words) * (f - around /
     around_n) / f, with idf = ln((n_docs + 1) / (doc_freq + 1)), rounded to 6 digits.
     """
-    rows = with_candidates(df.select(F.col(text).alias("_text")), stops, "_text", fewest, most)
-    each = exploded(rows, F.col("candidates"), "c").select(F.col("c.item").alias("phrase"), F.col("c.n").alias("n"))
-    counted = each.groupBy("phrase").agg(F.sum("n").cast("bigint").alias("f"), F.count(F.lit(1)).alias("doc_freq"))
-    counted = stored(counted.where(F.col("f") >= least).withColumn("_w", F.split("phrase", " ")), "phrases")
+    spark = df.sparkSession
+    hand_small_batches(spark)
+    texts = df.select(F.lower(F.col(text)).alias("text"))
+    n_docs, size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col(text)))).first()
+    words = _all_stops(stops)
+    repeated = spark.sparkContext.broadcast(repeated_phrases(texts, words, fewest, most, least, size or 0))
+    counted = stored(counted_phrases(texts, words, repeated, fewest, most, least, size or 0), "phrases")
+    repeated.unpersist()
+    counted = counted.withColumn("_w", F.split("phrase", " "))
 
     def within(n: int) -> Column:
         """Phrases of n words inside a longer one."""
@@ -88,10 +89,10 @@ def phrase_table(
         return F.coalesce(joined, F.array().cast("array<string>"))
 
     inner = F.array_distinct(F.concat(*[within(n) for n in range(fewest, most)])) if most > fewest else F.array()
-    nested = exploded(counted, inner.cast("array<string>"), "phrase", "f")
+    longer = counted.where(F.size("_w") > fewest)
+    nested = exploded(longer, inner.cast("array<string>"), "phrase", "f")
     around = nested.groupBy("phrase").agg(F.sum("f").alias("around"), F.count(F.lit(1)).alias("around_n"))
-    n_docs = df.agg(F.count(F.lit(1))).scalar()
-    joined = counted.join(around, "phrase", "left").withColumn("n_docs", n_docs)
+    joined = counted.join(around, "phrase", "left").withColumn("n_docs", F.lit(n_docs).cast("bigint"))
     joined = joined.withColumns({"around": F.coalesce("around", F.lit(0)), "around_n": F.coalesce("around_n", F.lit(0))})
     own = F.when(F.col("around_n") > 0, (F.col("f") - F.col("around") / F.col("around_n")) / F.col("f")).otherwise(F.lit(1.0))
     idf = F.log((F.col("n_docs") + 1) / (F.col("doc_freq") + 1))
@@ -123,16 +124,28 @@ def with_ranked_phrases(
     Phrases the table lacks are left out, and so are those without a weight of their own (they occur
     only within longer ones). Ties go to the phrase that comes first.
     """
-    found = with_candidates(df, phrases.stops, text, phrases.fewest, phrases.most)
-    items = F.transform("candidates", lambda c: c["item"])
+    spark = df.sparkSession
+    hand_small_batches(spark)
+    table = phrases.table
+    # what weighs nothing is no row's phrase
+    weighty = table.rows.where(F.col("weight") > 0).select(table.key, "weight")
+    size = weighty.count()
+    known = spark.sparkContext.broadcast(known_phrases(weighty.select(table.key), phrases.most, size))
+    held = table.held_columns("weight")
     kept = [c for c in df.columns if keep is None or c in keep]
-    known = phrases.table.look_up(found, items, "weight", 0.0, "_weight", [*kept, "candidates"])
-    scored = F.zip_with(
-        "candidates", "_weight", lambda c, w: F.struct((-F.round(c["n"] * w, 6)).alias("w"), c["item"].alias("term"))
-    )
-    held = F.array_sort(F.filter(scored, lambda t: t["w"] < 0))
-    best = F.transform(F.slice(held, 1, k), lambda t: F.struct(t["term"].alias("term"), (-t["w"]).alias("score")))
-    return known.select(*kept, best.alias(out))
+    found = ranked_phrases(_all_stops(phrases.stops), known, held, table.small, phrases.fewest, phrases.most, k)
+    rows = df.select(*kept, found(F.col(text)).alias("_found"))
+    if table.small:
+        return rows.select(*kept, F.col("_found.best").alias(out))
+    # written once: the rows are read several times below, and keep their numbers
+    rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "ranked")
+    facts = rows.where("_found.phrases IS NOT NULL").select("_row", "_found.phrases", "_found.n")
+    parts, row_parts = size // PART_PHRASES + 1, rows.count() // PART_ROWS + 1
+    others = best_of_table(facts, weighty, k, parts, row_parts)
+    both = F.concat("_found.best", F.coalesce("ranked", F.array().cast(others.schema["ranked"].dataType)))
+    ordered = F.array_sort(F.transform(both, lambda t: F.struct((-t["score"]).alias("w"), t["term"].alias("term"))))
+    best = F.transform(F.slice(ordered, 1, k), lambda t: F.struct(t["term"].alias("term"), (-t["w"]).alias("score")))
+    return rows.join(others, "_row", "left").select(*kept, best.alias(out))
 
 
 def extract_keyphrases(
