@@ -30,6 +30,10 @@ SLICE = 1024
 LEAST_BITS, MOST_BITS = 20, 28
 # Bits of a hash that tell phrases of one part of the map apart.
 LOW_BITS = 32
+# Strings that are hashed at one time.
+HASHED = 1 << 16
+# Bytes of texts whose phrases meet in one part.
+PART_BYTES = 1 << 24
 # Packed phrases a task holds before it sends them on, in bytes, and rows of a table.
 HELD_BYTES, HELD_ROWS = 1 << 22, 1 << 18
 
@@ -50,6 +54,8 @@ def hashes_of(strings: pa.StringArray) -> np.ndarray:
     """64-bit hashes of strings by their bytes; none is null or empty."""
     if not len(strings):
         return np.zeros(0, np.uint64)
+    if len(strings) > HASHED:
+        return np.concatenate([hashes_of(strings.slice(i, HASHED)) for i in range(0, len(strings), HASHED)])
     _, borders, raw = strings.buffers()
     borders = np.frombuffer(borders, np.int32)[strings.offset : strings.offset + len(strings) + 1]
     raw = np.frombuffer(raw, np.uint8)[borders[0] : borders[-1]]
@@ -259,12 +265,12 @@ def _map_of(sent: DataFrame, least: int, bits: int, part_bits: int) -> np.ndarra
 
 
 def _part_bits(size: int, share: int) -> int:
-    return min(max((size // share).bit_length(), 6), LEAST_BITS - 6)
+    return min(max((size // share).bit_length(), 4), LEAST_BITS - 6)
 
 
 def repeated_phrases(texts: DataFrame, stops: Broadcast, fewest: int, most: int, least: int, size: int) -> np.ndarray:
     """Map of the phrases of lower-cased texts (of ``size`` bytes in all) that occur ``least`` times, and of some others."""
-    bits, part_bits = map_bits(size >> 7), _part_bits(size, 1 << 23)
+    bits, part_bits = map_bits(size >> 7), _part_bits(size, PART_BYTES)
     make = partial(_sent_hashes, stops=stops, fewest=fewest, most=most, least=least, part_bits=part_bits)
     return _map_of(texts.mapInArrow(make, "part int, keys binary, counts binary"), least, bits, part_bits)
 
@@ -290,7 +296,7 @@ def _sent_known(batches: Iterable[pa.RecordBatch], most: int, part_bits: int):
 
 def known_phrases(phrases: DataFrame, most: int, size: int) -> np.ndarray:
     """Map of the phrases in a column of ``size`` rows, and of some others."""
-    bits, part_bits = map_bits(size), _part_bits(size, 1 << 20)
+    bits, part_bits = map_bits(size), _part_bits(size, HELD_ROWS)
     sent = phrases.mapInArrow(partial(_sent_known, most=most, part_bits=part_bits), "part int, keys binary, counts binary")
     return _map_of(sent, 1, bits, part_bits)
 
@@ -307,22 +313,81 @@ def _sent_counts(batches: Iterable[pa.RecordBatch], stops: Broadcast, known: Bro
             yield _packed(_part_of(names, parts), 0, names, np.bincount(at, minlength=len(names)).astype("<i8"), f)
 
 
-def _total_counts(batches: Iterable[pa.RecordBatch], least: int):
-    for _, rows in _whole_parts(batches):
-        coded = _split(rows.column(2)).dictionary_encode()
-        f, docs = np.zeros((2, len(coded.dictionary)), np.int64)
-        np.add.at(f, coded.indices.to_numpy(), _numbers(rows.column(4), "<i8"))
-        np.add.at(docs, coded.indices.to_numpy(), _numbers(rows.column(3), "<i8"))
+def _within(names: pa.Array, fewest: int, most: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct phrases of fewer words inside the phrases, and by pairs: which phrase, and which of them it holds."""
+    flat, ends, _, _ = cut_tokens(names)
+    sizes = np.diff(ends, prepend=0)
+    row = np.repeat(np.arange(len(names)), sizes)
+    none = np.zeros(len(flat) + 1, np.int8)
+    places = []
+    for n in range(fewest, most):
+        at = _starts(row, none, n)
+        places.append((n, at[sizes[row[at]] > n]))
+    inner, each, _ = _counted(flat, row, places)
+    return inner, *np.divmod(each, max(len(inner), 1))
+
+
+def _totals(names: pa.Array, *columns: np.ndarray) -> tuple[pa.Array, list[np.ndarray]]:
+    """Distinct names, and the sums of their numbers."""
+    coded = names.dictionary_encode()
+    sums = [np.zeros(len(coded.dictionary), np.int64) for _ in columns]
+    for total, column in zip(sums, columns, strict=True):
+        np.add.at(total, coded.indices.to_numpy(), column)
+    return coded.dictionary, sums
+
+
+def _total_counts(batches: Iterable[pa.RecordBatch], fewest: int, most: int, least: int, parts: int):
+    """Phrases with f >= ``least`` (kind 1: doc_freq, f), and what they add to the phrases inside them (kind 0: around_n, around)."""
+    inside: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+
+    def packed() -> pa.RecordBatch:
+        names, (around, n) = _totals(pa.concat_arrays([i[0] for i in inside]), *[np.concatenate([i[c] for i in inside]) for c in (1, 2)])
+        return _packed(_part_of(names, parts), 0, names, n, around)
+
+    for part, rows in _whole_parts(batches):
+        names, (f, docs) = _totals(_split(rows.column(2)), _numbers(rows.column(4), "<i8"), _numbers(rows.column(3), "<i8"))
         often = np.flatnonzero(f >= least)
+        names, f, docs = names.take(pa.array(often)), f[often], docs[often]
+        yield _packed(np.full(len(names), part, np.int32), 1, names, docs, f)
+        inner, longer, code = _within(names, fewest, most)
+        around = np.zeros(len(inner), np.int64)
+        np.add.at(around, code, f[longer])
+        inside.append((inner, around, np.bincount(code, minlength=len(inner)).astype("<i8")))
+        if sum(len(i[0]) for i in inside) >= HELD_ROWS:
+            yield packed()
+            inside.clear()
+    if inside:
+        yield packed()
+
+
+def _with_around(batches: Iterable[pa.RecordBatch]):
+    """Phrases with what the longer ones around them add up to; a part's sums come first."""
+    for _, rows in _whole_parts(batches):
+        kind = rows.column(1).to_numpy()
+        sums, own = rows.slice(0, int((kind == 0).sum())), rows.slice(int((kind == 0).sum()))
+        inner, (around, n) = _totals(_split(sums.column(2)), _numbers(sums.column(4), "<i8"), _numbers(sums.column(3), "<i8"))
+        names = _split(own.column(2))
+        where = pc.fill_null(pc.index_in(names, value_set=inner), len(inner)).to_numpy()
+        columns = [_numbers(own.column(4), "<i8"), _numbers(own.column(3), "<i8"), np.r_[around, 0][where], np.r_[n, 0][where]]
+        words = pc.add(pc.count_substring(names, " "), pa.scalar(1, pa.int32()))
         yield pa.RecordBatch.from_arrays(
-            [coded.dictionary.take(pa.array(often)), pa.array(f[often]), pa.array(docs[often])], names=["phrase", "f", "doc_freq"]
+            [names, words, *map(pa.array, columns)], names=["phrase", "words", "f", "doc_freq", "around", "around_n"]
         )
 
 
+COUNTED = "phrase string, words int, f bigint, doc_freq bigint, around bigint, around_n bigint"
+
+
 def counted_phrases(texts: DataFrame, stops: Broadcast, known: Broadcast, fewest: int, most: int, least: int, size: int) -> DataFrame:
-    """(phrase, f, doc_freq) of the phrases in the map that lower-cased texts (of ``size`` bytes in all) hold ``least`` times."""
-    make = partial(_sent_counts, stops=stops, known=known, fewest=fewest, most=most, parts=1 << _part_bits(size, 1 << 23))
-    return _met(texts.mapInArrow(make, PACKED)).mapInArrow(partial(_total_counts, least=least), "phrase string, f bigint, doc_freq bigint")
+    """(phrase, words, f, doc_freq, around, around_n) of the phrases that lower-cased texts hold ``least`` times.
+
+    These are in the map; the texts have ``size`` bytes in all. ``around`` is how often the ``around_n``
+    longer ones of them that contain the phrase occur in sum.
+    """
+    parts = 1 << _part_bits(size, PART_BYTES)
+    sent = texts.mapInArrow(partial(_sent_counts, stops=stops, known=known, fewest=fewest, most=most, parts=parts), PACKED)
+    counted = _met(sent).mapInArrow(partial(_total_counts, fewest=fewest, most=most, least=least, parts=parts), PACKED)
+    return _met(counted).mapInArrow(_with_around, COUNTED)
 
 
 # --- rank within the row -----------------------------------------------------------------------------
@@ -349,19 +414,36 @@ def _ranked(row: np.ndarray, rows: int, terms: pa.Array, score: np.ndarray) -> p
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([terms, pa.array(score)], ["term", "score"]))
 
 
+def by_hash(names: pa.Array, weight: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray, int]:
+    """Phrases in the order of their hashes: hashes, phrases, weights, and how many have one hash at most."""
+    hashed = hashes_of(names)
+    order = np.argsort(hashed)
+    return hashed[order], names.take(pa.array(order)), weight[order], int(np.diff(_borders(hashed[order])).max(initial=0))
+
+
+def weights_of(names: pa.Array, held: tuple[np.ndarray, pa.Array, np.ndarray, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of phrases by those ``held``, and which of them these are; phrases are compared as strings."""
+    hashed, phrases, weights, alike = held
+    weight, found = np.zeros(len(names)), np.zeros(len(names), bool)
+    first = np.searchsorted(hashed, hashes_of(names))
+    for i in range(alike):
+        at = np.minimum(first + i, len(hashed) - 1)
+        same = pc.equal(phrases.take(pa.array(at)), names).to_numpy(zero_copy_only=False)
+        weight[same], found[same] = weights[at[same]], True
+    return weight, found
+
+
 def _ranked_slice(
-    texts: pa.Array, stops: pa.Array, known: np.ndarray, held: tuple[pa.Array, np.ndarray], whole: bool, fewest: int, most: int, k: int
+    texts: pa.Array, stops: pa.Array, known: np.ndarray, held: tuple, whole: bool, fewest: int, most: int, k: int
 ) -> pa.Array:
     names, each, n = Words(texts, stops).counted(fewest, most, known)
     row, code = np.divmod(each, max(len(names), 1))
-    where = pc.index_in(names, value_set=held[0])
-    lacks = pc.is_null(where).to_numpy(zero_copy_only=False)
-    weight = np.r_[held[1], 0.0][pc.fill_null(where, len(held[0])).to_numpy()]
+    weight, has = weights_of(names, held)
     score = _scores(n, weight[code])
     mine = np.flatnonzero(score > 0)
     best = mine[_best(row[mine], code[mine], names, score[mine], k)]
     ranked = _ranked(row[best], len(texts), names.take(pa.array(code[best])), score[best])
-    rare = np.flatnonzero(lacks[code]) if not whole else np.zeros(0, np.int64)
+    rare = np.flatnonzero(~has[code]) if not whole else np.zeros(0, np.int64)
     borders = np.searchsorted(row[rare], np.arange(len(texts) + 1))
     phrases = pc.if_else(pa.array(np.diff(borders) > 0), _joined(names.take(pa.array(code[rare])), borders), pa.scalar(None, pa.string()))
     return pa.StructArray.from_arrays([ranked, phrases, _cells(n[rare].astype("<i4"), borders)], ["best", "phrases", "n"])
@@ -370,7 +452,10 @@ def _ranked_slice(
 def ranked_phrases(
     stops: Broadcast, known: Broadcast, held: Broadcast, whole: bool, fewest: int, most: int, k: int
 ) -> Callable[[Column], Column]:
-    """Column function: a text to (best, phrases, n): its ``k`` best of the held phrases, and unless these are the ``whole`` table the others in the map."""
+    """Column function: a text to (best, phrases, n): its ``k`` best of the held phrases, and the others in the map.
+
+    There are no others when those held are the ``whole`` table.
+    """
 
     @F.arrow_udf("struct<best: array<struct<term: string, score: double>>, phrases: string, n: binary>")
     def found(texts: pa.Array) -> pa.Array:

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
-from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,11 +115,11 @@ class KeyedTable:
             self._broadcast[value] = self.rows.sparkSession.sparkContext.broadcast(known)
         return self._broadcast[value]
 
-    def held_columns(self, value: str) -> Broadcast:
-        """Broadcast of (keys, values) of the rows that every task holds, as Arrow and numpy arrays."""
+    def held_columns(self, value: str) -> tuple[pa.Array, np.ndarray]:
+        """Keys, as strings, and values of the rows that every task holds."""
         held = self.held.select(self.key, value).toArrow()
-        keys = pa.concat_arrays([pa.array([], pa.string()), *[c.cast(pa.string()) for c in held.column(0).chunks]])
-        return self.rows.sparkSession.sparkContext.broadcast((keys, held.column(1).to_numpy()))
+        keys = [c.cast(pa.string()) for c in held.column(0).chunks]
+        return pa.concat_arrays([pa.array([], pa.string()), *keys]), held.column(1).to_numpy()
 
     def join(self, facts: DataFrame, how: str = "left") -> DataFrame:
         """Facts with the columns of their key's row."""

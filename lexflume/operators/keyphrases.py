@@ -2,7 +2,9 @@
 
 Candidates are runs of neighbouring tokens without a stop word or a punctuation mark between them. What
 the corpus knows of a phrase - how often it occurs, in how many rows, and how much of that belongs to
-longer phrases around it - is counted by Spark; a row's phrases are ranked within the row.
+longer phrases around it - is counted in parts of all phrases; phrases that occur once are left out
+ahead of that by a map of hashes. A row's phrases are ranked within the row, or if they are not among
+those that every task holds, once they have met their part of the table.
 """
 
 from __future__ import annotations
@@ -16,8 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexflume.constants import DEFAULT_KEYWORDS
-from lexflume.functions.phrases import best_of_table, counted_phrases, known_phrases, ranked_phrases, repeated_phrases
-from lexflume.operators.distributed import exploded
+from lexflume.functions.phrases import best_of_table, by_hash, counted_phrases, known_phrases, ranked_phrases, repeated_phrases
 from lexflume.operators.keyed import KeyedTable
 from lexflume.operators.models import idf_table
 from lexflume.session import hand_small_batches, stored
@@ -78,27 +79,12 @@ def phrase_table(
     n_docs, size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col(text)))).first()
     words = _all_stops(stops)
     repeated = spark.sparkContext.broadcast(repeated_phrases(texts, words, fewest, most, least, size or 0))
-    counted = stored(counted_phrases(texts, words, repeated, fewest, most, least, size or 0), "phrases")
-    repeated.unpersist()
-    counted = counted.withColumn("_w", F.split("phrase", " "))
-
-    def within(n: int) -> Column:
-        """Phrases of n words inside a longer one."""
-        starts = F.when(F.size("_w") > n, F.sequence(F.lit(1), F.size("_w") - (n - 1)))
-        joined = F.transform(starts, lambda i: F.array_join(F.slice("_w", i, F.lit(n)), " "))
-        return F.coalesce(joined, F.array().cast("array<string>"))
-
-    inner = F.array_distinct(F.concat(*[within(n) for n in range(fewest, most)])) if most > fewest else F.array()
-    longer = counted.where(F.size("_w") > fewest)
-    nested = exploded(longer, inner.cast("array<string>"), "phrase", "f")
-    around = nested.groupBy("phrase").agg(F.sum("f").alias("around"), F.count(F.lit(1)).alias("around_n"))
-    joined = counted.join(around, "phrase", "left").withColumn("n_docs", F.lit(n_docs).cast("bigint"))
-    joined = joined.withColumns({"around": F.coalesce("around", F.lit(0)), "around_n": F.coalesce("around_n", F.lit(0))})
+    counted = counted_phrases(texts, words, repeated, fewest, most, least, size or 0)
     own = F.when(F.col("around_n") > 0, (F.col("f") - F.col("around") / F.col("around_n")) / F.col("f")).otherwise(F.lit(1.0))
     idf = F.log((F.col("n_docs") + 1) / (F.col("doc_freq") + 1))
-    words = F.size("_w")
-    weight = F.round(idf * F.log2(F.lit(1.0) + words) * own, 6)
-    return joined.select("phrase", words.alias("words"), "f", "doc_freq", "n_docs", "around", "around_n", weight.alias("weight"))
+    weight = F.round(idf * F.log2(F.lit(1.0) + F.col("words")) * own, 6)
+    counted = counted.withColumn("n_docs", F.lit(n_docs).cast("bigint"))
+    return counted.select("phrase", "words", "f", "doc_freq", "n_docs", "around", "around_n", weight.alias("weight"))
 
 
 def learn_phrases(
@@ -131,7 +117,7 @@ def with_ranked_phrases(
     weighty = table.rows.where(F.col("weight") > 0).select(table.key, "weight")
     size = weighty.count()
     known = spark.sparkContext.broadcast(known_phrases(weighty.select(table.key), phrases.most, size))
-    held = table.held_columns("weight")
+    held = spark.sparkContext.broadcast(by_hash(*table.held_columns("weight")))
     kept = [c for c in df.columns if keep is None or c in keep]
     found = ranked_phrases(_all_stops(phrases.stops), known, held, table.small, phrases.fewest, phrases.most, k)
     rows = df.select(*kept, found(F.col(text)).alias("_found"))

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from lexflume.functions import items, phrases
@@ -99,3 +100,31 @@ def test_a_map_holds_what_occurs_often_enough(spark, frame):
     known = phrases.known_phrases(frame([(p,) for p in wanted], "phrase string"), 4, len(wanted))
     names = phrases.Words(pa.array(rows), stops.value).counted(2, 4, known)[0].to_pylist()
     assert set(wanted) <= set(names) and len(names) <= len(wanted) + 3
+
+
+def test_held_phrases_of_equal_hashes_stay_apart(monkeypatch):
+    monkeypatch.setattr(phrases, "hashes_of", lambda names: pc.binary_length(names).to_numpy().astype(np.uint64))
+    held = phrases.by_hash(pa.array(["a b", "c d", "long phrase", "e f"]), np.array([1.0, 2.0, 3.0, 4.0]))
+    weight, has = phrases.weights_of(pa.array(["e f", "x y", "a b", "long phrase", "c d", "longer phrase"]), held)
+    assert weight.tolist() == [4.0, 0.0, 1.0, 3.0, 2.0, 0.0] and has.tolist() == [True, False, True, True, True, False]
+    none = phrases.by_hash(pa.array([], pa.string()), np.zeros(0))
+    assert phrases.weights_of(pa.array(["a b"]), none)[1].tolist() == [False]
+
+
+def test_phrases_within_longer_ones_count_once_each(monkeypatch):
+    """Sums of what is around a phrase, whatever the number of parts and of phrases sent at one time."""
+    rng = random.Random(5)
+    f = {" ".join(rng.choice("abc") for _ in range(rng.randrange(1, 5))): rng.randrange(1, 9) for _ in range(90)}
+    wanted = {}
+    for p, n in f.items():
+        longer = [q for q in f if len(q) > len(p) and f" {p} " in f" {q} " and f[q] > 1]
+        if n > 1:
+            wanted[p] = (p.count(" ") + 1, n, n + 7, sum(f[q] for q in longer), len(longer))
+    names = pa.array(list(f))
+    for parts, held in ((1, 1), (5, 1), (5, 1 << 18)):
+        monkeypatch.setattr(phrases, "HELD_ROWS", held)
+        sent = phrases._packed(phrases._part_of(names, parts), 0, names, np.array(list(f.values())) + 7, np.array(list(f.values())))
+        met = [r for b in phrases._total_counts([sent], 1, 4, 2, parts) for r in b.to_pylist()]
+        met = pa.RecordBatch.from_pylist(sorted(met, key=lambda r: (r["part"], r["kind"])), sent.schema)
+        got = [r for b in phrases._with_around([met.slice(0, 2), met.slice(2)]) for r in b.to_pylist()]
+        assert {r["phrase"]: tuple(r.values())[1:] for r in got} == wanted and len(got) == len(wanted)
