@@ -74,6 +74,8 @@ def train_with_history(
         for strength in grid:
             learner = LogisticRegression(labelCol=label, family="multinomial", maxIter=max_iter, regParam=strength)
             fitted = learner.fit(scaled.transform(seen))
+            # the summary of two classes holds the session, which must not travel with the model
+            fitted._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
             tried.append((loss.evaluate(fitted.transform(scaled.transform(held_out))), fitted))
     finally:
         seen.unpersist()
